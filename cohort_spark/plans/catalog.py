@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.columns import col, round_half_up, wilson_ci
+from ..functions.columns import (col, engineer_features, order_keys_first,  # noqa: F401
+                                 round_half_up, wilson_ci)
 from ..functions.icd9 import bucket_icd9
 from ..operators import clean as CL
 from ..sources import encounters
@@ -41,6 +42,11 @@ def cleaned(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFr
     return CL.clean(raw(spark, sf_dir, "pipeline").drop("score"), dedup)
 
 
+def featurized(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
+    """Clean -> engineer features -> keys first, target last (58 columns)."""
+    return order_keys_first(engineer_features(cleaned(spark, sf_dir, dedup)))
+
+
 # ====================================================================== flagship
 @register("flagship_diag_rates")
 def flagship_diag_rates(spark, sf_dir):
@@ -54,3 +60,7 @@ def flagship_diag_rates(spark, sf_dir):
     return agg.select("bucket", "n", "positives",
                       R6(F.col("positives") / F.col("n")).alias("rate"),
                       R6(lo).alias("ci_low"), R6(hi).alias("ci_high"))
+
+
+# Job modules register themselves on import.
+from . import jobs_core  # noqa: E402,F401

@@ -125,3 +125,7 @@ SELECT bucket, n, positives, {r6('CAST(positives AS DOUBLE) / n')} AS rate,
 FROM (SELECT bucket, COUNT(*) AS n, CAST(SUM(target) AS BIGINT) AS positives
       FROM (SELECT {icd9_bucket_sql('diag_1')} AS bucket, target FROM clean) GROUP BY bucket)
 """, clean_cte())
+
+
+# Oracle modules register their SQL on import.
+from . import sql_core  # noqa: E402,F401
