@@ -41,6 +41,14 @@ def round_half_up(c: Column, digits: int) -> Column:
     return (F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
 
 
+def safe_corr(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows where both sides are non-null; null when a
+    side has no variance (Spark's ``corr`` raises divide-by-zero under ANSI)."""
+    both = a.isNotNull() & b.isNotNull()
+    a2, b2 = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
+
+
 # --------------------------------------------------------------------- F3
 def add_diagnosis_features(df: DataFrame) -> DataFrame:
     buckets = {c: bucket_icd9(col(c)) for c in C.DIAG_COLS}

@@ -129,3 +129,4 @@ FROM (SELECT bucket, COUNT(*) AS n, CAST(SUM(target) AS BIGINT) AS positives
 
 # Oracle modules register their SQL on import.
 from . import sql_core  # noqa: E402,F401
+from . import sql_profile  # noqa: E402,F401
