@@ -86,10 +86,12 @@ def raw_pipeline_cte() -> str:
     return "raw AS (SELECT " + ", ".join(cols) + " FROM enc)"
 
 
-def clean_cte(dedup: str = "coalesce") -> str:
+def clean_cte(dedup: str = "coalesce", with_score: bool = False) -> str:
     """Filters + first-encounter dedup + fills + target, as CTEs ``kept``/``clean``."""
     from cohort_spark import constants as C
     others = [c for c in C.RAW_COLUMNS if c not in ("patient_nbr", "encounter_id")]
+    if with_score:
+        others = others + ["score"]
     if dedup == "coalesce":
         aggs = ", ".join(
             f'arg_min("{c}", encounter_id) FILTER (WHERE "{c}" IS NOT NULL) AS "{c}"'
@@ -110,9 +112,11 @@ def clean_cte(dedup: str = "coalesce") -> str:
             sel.append(f"COALESCE({q}, 'Unknown') AS {q}")
         else:
             sel.append(q)
+    if with_score:
+        sel.append("score")
     sel.append("CAST(COALESCE(readmitted = '<30', FALSE) AS TINYINT) AS target")
     return (raw_pipeline_cte() + ",\n"
-            "kept AS (SELECT * EXCLUDE (score) FROM raw WHERE COALESCE(gender IN ('Male','Female'), FALSE) "
+            "kept AS (SELECT * " + ("" if with_score else "EXCLUDE (score) ") + "FROM raw WHERE COALESCE(gender IN ('Male','Female'), FALSE) "
             "AND NOT COALESCE(discharge_disposition_id IN (11,13,14,19,20,21), FALSE)),\n"
             + dd + ",\nclean AS (SELECT " + ", ".join(sel) + " FROM dedup)")
 
@@ -130,3 +134,4 @@ FROM (SELECT bucket, COUNT(*) AS n, CAST(SUM(target) AS BIGINT) AS positives
 # Oracle modules register their SQL on import.
 from . import sql_core  # noqa: E402,F401
 from . import sql_profile  # noqa: E402,F401
+from . import sql_eval  # noqa: E402,F401
