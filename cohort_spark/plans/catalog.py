@@ -66,3 +66,4 @@ def flagship_diag_rates(spark, sf_dir):
 from . import jobs_core  # noqa: E402,F401
 from . import jobs_profile  # noqa: E402,F401
 from . import jobs_eval  # noqa: E402,F401
+from . import jobs_drift  # noqa: E402,F401

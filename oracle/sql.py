@@ -135,3 +135,4 @@ FROM (SELECT bucket, COUNT(*) AS n, CAST(SUM(target) AS BIGINT) AS positives
 from . import sql_core  # noqa: E402,F401
 from . import sql_profile  # noqa: E402,F401
 from . import sql_eval  # noqa: E402,F401
+from . import sql_drift  # noqa: E402,F401
