@@ -68,3 +68,4 @@ from . import jobs_profile  # noqa: E402,F401
 from . import jobs_eval  # noqa: E402,F401
 from . import jobs_drift  # noqa: E402,F401
 from . import jobs_models  # noqa: E402,F401
+from . import jobs_stream  # noqa: E402,F401

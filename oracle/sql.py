@@ -136,3 +136,4 @@ from . import sql_core  # noqa: E402,F401
 from . import sql_profile  # noqa: E402,F401
 from . import sql_eval  # noqa: E402,F401
 from . import sql_drift  # noqa: E402,F401
+from . import sql_stream  # noqa: E402,F401
