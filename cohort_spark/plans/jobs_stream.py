@@ -64,3 +64,48 @@ def session_activity(spark, sf_dir):
 @register("score_histogram")
 def score_histogram(spark, sf_dir):
     return W.score_histogram(events(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- streaming runs
+@register("stream_rates")
+def stream_rates(spark, sf_dir):
+    """Structured Streaming run: the events file as a stream source ->
+    watermarked hourly counts per type (complete mode) -> memory table."""
+    from ..streaming.queries import windowed_rates_stream
+    schema = events(spark, sf_dir).schema
+    import uuid
+    # a file stream source watches a directory or glob; the glob names the table file
+    src = (spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+           .select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value"))
+    name = f"stream_rates_{uuid.uuid4().hex[:8]}"
+    q = windowed_rates_stream(src, "1 hour", "10 minutes", name, "complete")
+    q.awaitTermination()
+    return _r(spark.table(name), ["rate_per_sec"])
+
+
+@register("stream_scoring")
+def stream_scoring(spark, sf_dir):
+    """Structured Streaming run: raw encounter rows written as JSON request
+    records (44 contract fields + request id) -> contract split -> cleaning
+    -> features -> LR model -> probability and flag."""
+    import uuid
+
+    from ..sources.readers import request_schema
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.queries import scoring_stream
+    from .catalog import raw
+    from .jobs_core import OPERATING_THRESHOLD
+    from .jobs_models import LR_REG, train_test
+    from . import models as ML
+
+    train, _, cat, num = train_test(spark, sf_dir)
+    model = ML.build_lr(cat, num, reg=LR_REG).fit(train)
+    fields = [f.name for f in request_schema().fields]
+    src_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/requests-{uuid.uuid4().hex[:8]}"
+    recs = raw(spark, sf_dir, "literal").select(
+        F.col("encounter_id").cast("string").alias("request_id"), *[F.col(f"`{c}`") for c in fields])
+    recs.write.mode("overwrite").json(src_dir)
+    schema = request_schema().add("request_id", "string")
+    name = f"scored_{uuid.uuid4().hex[:8]}"
+    scoring_stream(spark, src_dir, schema, model, OPERATING_THRESHOLD, name).awaitTermination()
+    return spark.table(name).select("request_id", "readmission_probability", "flag")
