@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.columns import age_ordinal, col, round_half_up, safe_corr, wilson_ci
+from ..functions.columns import (age_ordinal, col, pearson_pairs, round_half_up, safe_corr,
+                                 wilson_ci)
 from ..functions.icd9 import icd9_chapter
 from ..sources import dimensions as D
 from .common import attach_row
@@ -17,8 +18,9 @@ from .profile import TARGET_BINARY
 CORR_COLUMNS = C.UTILIZATION_NUMERIC_COLS + ["age_ordinal", TARGET_BINARY]
 
 
-def _corr_frame(df: DataFrame) -> DataFrame:
-    return df.select(*[col(c).cast("double").alias(c) for c in C.UTILIZATION_NUMERIC_COLS],
+def _corr_frame(df: DataFrame, keep: tuple = ()) -> DataFrame:
+    return df.select(*[col(k) for k in keep],
+                     *[col(c).cast("double").alias(c) for c in C.UTILIZATION_NUMERIC_COLS],
                      age_ordinal(F.col("age")).cast("double").alias("age_ordinal"),
                      F.col(TARGET_BINARY).cast("double").alias(TARGET_BINARY))
 
@@ -27,44 +29,42 @@ def _pairwise_corr(frame: DataFrame, columns: list[str]) -> DataFrame:
     """(a, b, corr) for all i<j in ONE aggregation; Spark's ``corr`` skips rows
     where either side is null (pairwise complete)."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    one = frame.agg(*[safe_corr(col(a), col(b)).alias(f"c{j}") for j, (a, b) in enumerate(pairs)])
-    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                     round_half_up(F.col(f"c{j}"), 3).alias("corr"))
-            for j, (a, b) in enumerate(pairs)]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return pearson_pairs(frame, pairs, 3)
 
 
 def corr_pearson(df: DataFrame) -> DataFrame:
     return _pairwise_corr(_corr_frame(df), CORR_COLUMNS)
 
 
-def average_ranks(df: DataFrame, column: str) -> DataFrame:
-    """(value, rank) with ties sharing the average rank, over non-null values.
-
-    Value-frequency table -> scalable running count (no single-task window).
-    """
-    freq = (df.where(col(column).isNotNull())
-            .groupBy(col(column).alias("value")).agg(F.count(F.lit(1)).alias("cnt")))
-    cum = running_totals(freq, F.col("value"), [F.col("value")], {"below_incl": F.col("cnt")})
-    return cum.select("value", (F.col("below_incl") - F.col("cnt")
-                                + (F.col("cnt") + 1) / F.lit(2.0)).alias("rank"))
+def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, rank): ties share the average rank, over each column's
+    non-null values.  One unpivoted value-frequency table and ONE scalable
+    running count for all columns (no single-task window)."""
+    freq = (df.select(*[col(c).cast("double").alias(c) for c in columns])
+            .unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
+            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    cum = running_totals(freq, F.col("value"), [F.col("value")], {"below_incl": F.col("cnt")},
+                         ["column"])
+    return cum.select("column", "value", (F.col("below_incl") - F.col("cnt")
+                                          + (F.col("cnt") + 1) / F.lit(2.0)).alias("rank"))
 
 
-def corr_spearman(df: DataFrame) -> DataFrame:
+def corr_spearman(df: DataFrame, key: str = "encounter_id") -> DataFrame:
     """Spearman = Pearson of average ranks.  Ranks are taken over each column's
     non-null values, which equals pairwise-complete Spearman when the columns
     have no nulls (true for the profiled counts, age ordinal and label).
 
-    Each column's rank table is joined back by VALUE (its size is the number
-    of distinct values; Spark broadcasts it when it is small)."""
-    frame = _corr_frame(df)
-    ranked = frame
-    for c in CORR_COLUMNS:
-        r = average_ranks(frame, c).select(F.col("value").alias(f"_v_{c}"),
-                                           F.col("rank").alias(f"_r_{c}"))
-        ranked = ranked.join(r, ranked[c] == r[f"_v_{c}"], "left").drop(f"_v_{c}")
-    ranked = ranked.select(*[F.col(f"_r_{c}").alias(c) for c in CORR_COLUMNS])
-    return _pairwise_corr(ranked, CORR_COLUMNS)
+    Rows are unpivoted to (key, column, value), joined ONCE to the rank table
+    on (column, value) and regrouped by the row key: two shuffles whatever the
+    number of columns."""
+    frame = _corr_frame(df, (key,)).withColumnRenamed(key, "_key")   # key: one row each
+    ranks = average_ranks(frame, CORR_COLUMNS)
+    long = (frame.select("_key", *[col(c).cast("double").alias(c) for c in CORR_COLUMNS])
+            .unpivot(["_key"], CORR_COLUMNS, "column", "value").where(F.col("value").isNotNull()))
+    ranked_long = long.join(ranks, ["column", "value"])
+    wide = ranked_long.groupBy("_key").agg(*[
+        F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in CORR_COLUMNS])
+    return _pairwise_corr(wide, CORR_COLUMNS)
 
 
 def corr_top_pairs(corr: DataFrame, k: int = 8) -> DataFrame:

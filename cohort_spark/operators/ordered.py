@@ -19,6 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _n_buckets(df: DataFrame, n: int | None) -> int:
     if n:
@@ -52,14 +54,16 @@ def running_totals(df: DataFrame, key: Column, order: list[Column], values: dict
     With ``descending`` the sums run from the largest key down.
     """
     groups = list(groups or [])
-    df = df.withColumns({f"_v_{k}": v for k, v in values.items()})
+    # the input is read three times (bucket edges, bucket totals, windows):
+    # materialise it once in the checkpoint folder so upstream work runs once
+    df = cut_lineage(df.withColumns({f"_v_{k}": v for k, v in values.items()}))
     df = add_bucket(df, key, n_buckets)
     tot = df.groupBy(*groups, "_bkt").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
     bo = F.col("_bkt").desc() if descending else F.col("_bkt").asc()
     w_off = Window.partitionBy(*groups).orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
     offsets = tot.select(*groups, "_bkt", *[
         F.coalesce(F.sum(f"_t_{k}").over(w_off), F.lit(0)).alias(f"_o_{k}") for k in values])
-    ords = [o.desc() if descending else o.asc() for o in order] if descending else order
+    ords = [o.desc() for o in order] if descending else order
     w_in = (Window.partitionBy(*groups, "_bkt").orderBy(*ords)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumns({f"_l_{k}": F.sum(f"_v_{k}").over(w_in) for k in values})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..functions.columns import col, round_half_up, safe_corr
+from ..functions.columns import col, pearson_pairs, round_half_up
 from ..sources import dimensions as D
 from .common import attach_row
 
@@ -266,22 +266,12 @@ def co_missing(df: DataFrame, min_pct: float = 1.0) -> DataFrame:
     shares = df.agg(*[F.avg(col(c).isNull().cast("double")).alias(f"s{i}")
                       for i, c in enumerate(names)]).first()
     keep = [c for i, c in enumerate(names) if 100 * shares[f"s{i}"] >= min_pct]
-    ind = {c: col(c).isNull().cast("double") for c in keep}
-    aggs, pairs = [], []
-    for i, a in enumerate(keep):
-        for b in keep[i + 1:]:
-            pairs.append((a, b))
-            j = len(pairs) - 1
-            aggs += [safe_corr(ind[a], ind[b]).alias(f"c{j}"),
-                     F.stddev_pop(ind[a]).alias(f"sa{j}"), F.stddev_pop(ind[b]).alias(f"sb{j}")]
+    pairs = [(a, b) for i, a in enumerate(keep) for b in keep[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, corr double")
-    one = df.agg(*aggs)
-    rows = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                     F.when((F.col(f"sa{j}") > 0) & (F.col(f"sb{j}") > 0),
-                            round_half_up(F.col(f"c{j}"), 3)).alias("corr"))
-            for j, (a, b) in enumerate(pairs)]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    ind = df.select(*[col(c).isNull().cast("double").alias(c) for c in keep])
+    return (pearson_pairs(ind, pairs, 3)
+            .select(F.col("a").alias("column_a"), F.col("b").alias("column_b"), "corr"))
 
 
 def histogram(df: DataFrame, column: str, n_bins: int = 40) -> DataFrame:

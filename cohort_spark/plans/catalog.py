@@ -33,15 +33,34 @@ def register(name: str):
 R6 = lambda c: round_half_up(c, 6)  # noqa: E731  stable 6-decimal output
 
 
+_PLANS: dict = {}
+
+
+def memo_plan(fn):
+    """Reuse a derived plan (a DataFrame object: a lazy plan, not cached data)
+    per session and arguments, so jobs that share a view build it once."""
+    def wrapper(spark: SparkSession, sf_dir: str, *args):
+        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args)
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, sf_dir, *args)
+        return _PLANS[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@memo_plan
 def raw(spark: SparkSession, sf_dir: str, mode: str = "pipeline") -> DataFrame:
     """Encounter view in a missing mode (literal / pipeline / eda)."""
     return apply_missing_mode(encounters(spark, sf_dir), mode)
 
 
+@memo_plan
 def cleaned(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
     return CL.clean(raw(spark, sf_dir, "pipeline").drop("score"), dedup)
 
 
+@memo_plan
 def featurized(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
     """Clean -> engineer features -> keys first, target last (58 columns)."""
     return order_keys_first(engineer_features(cleaned(spark, sf_dir, dedup)))

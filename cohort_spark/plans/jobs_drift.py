@@ -12,12 +12,13 @@ from ..functions.columns import round_half_up
 from ..operators import clean as CL
 from ..operators import drift as DR
 from ..operators import metrics as M
-from .catalog import register
+from .catalog import memo_plan, register
 from .jobs_eval import split_cohort
 
 BATCHES = ("control", "shifted")
 
 
+@memo_plan
 def drift_inputs(spark, sf_dir):
     """(reference, {batch: frame}, monitored columns).
 

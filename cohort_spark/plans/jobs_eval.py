@@ -15,21 +15,24 @@ from ..operators import fairness as FA
 from ..operators import metrics as M
 from ..operators import split as S
 from ..operators.assoc import hash_row_split
-from .catalog import raw, register
+from .catalog import memo_plan, raw, register
 from .jobs_core import OPERATING_THRESHOLD
 
 ATTRS = ["age_10yr", "age_coarse", "gender", "race"]
 
 
+@memo_plan
 def scored_cohort(spark, sf_dir):
     """Featurized cohort (one row per patient) with its first-encounter score."""
     return engineer_features(CL.clean(raw(spark, sf_dir, "pipeline")))
 
 
+@memo_plan
 def split_cohort(spark, sf_dir):
     return S.stratified_split(scored_cohort(spark, sf_dir), "encounter_id", C.TARGET)
 
 
+@memo_plan
 def test_scores(spark, sf_dir):
     t = split_cohort(spark, sf_dir).where(F.col("split") == "test")
     return t.select("encounter_id", F.col(C.TARGET).alias("label"), "score",

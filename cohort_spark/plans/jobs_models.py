@@ -12,12 +12,13 @@ from ..operators import metrics as M
 from ..operators import split as S
 from ..session import cut_lineage
 from . import models as ML
-from .catalog import register
+from .catalog import memo_plan, register
 from .jobs_eval import split_cohort
 
 LR_REG = 1e-3
 
 
+@memo_plan
 def train_test(spark, sf_dir):
     """Checkpointed (train with folds + weights, test, categorical, numeric)."""
     s = split_cohort(spark, sf_dir)

@@ -7,9 +7,10 @@ from .. import constants as C
 from ..functions.columns import round_half_up
 from ..operators import assoc as A
 from ..operators import profile as PR
-from .catalog import raw, register
+from .catalog import memo_plan, raw, register
 
 
+@memo_plan
 def eda_frame(spark, sf_dir):
     """Raw encounters in the profiling missing mode + binary label."""
     return PR.add_binary_target(raw(spark, sf_dir, "eda").drop("score"))

@@ -48,10 +48,11 @@ def apply_missing_mode(df: DataFrame, mode: str) -> DataFrame:
     if mode == "literal":
         return df
     tokens = [C.MISSING_TOKEN] + (EDA_NA_TOKENS if mode == "eda" else [])
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({
-        c: F.when(~F.col(f"`{c}`").isin(*tokens), F.col(f"`{c}`")) for c in strings
-    })
+    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    lst = ", ".join("'" + t.replace("'", "\\'") + "'" for t in tokens)
+    return df.selectExpr(*[
+        f"CASE WHEN `{c}` IN ({lst}) THEN NULL ELSE `{c}` END AS `{c}`" if c in strings else f"`{c}`"
+        for c in df.columns])
 
 
 def normalize_missing(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ operators' work.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -28,19 +28,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(idx: Column, values: list[str]) -> Column:
-    """values[idx] for a small literal list (a CASE chain, codegen friendly)."""
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(idx == i, F.lit(v)) if expr is None else expr.when(idx == i, F.lit(v))
-    return expr
-
-
-def _drug_level(m: Column) -> Column:
-    return (F.when(m == 0, "Up").when(m == 1, "Down")
-            .when(m.isin(2, 3), "Steady").otherwise("No"))
-
-
 def order_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order line count, summed quantity and distinct parts (one hash agg)."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
@@ -51,6 +38,55 @@ def order_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _case(idx: str, values: list[str], default: str | None = None) -> str:
+    arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    tail = f" ELSE '{default}'" if default is not None else ""
+    return f"CASE {idx} {arms}{tail} END"
+
+
+def _encounter_exprs() -> list[str]:
+    """SQL expressions of the view (parsed once in the JVM, one call per column)."""
+    decade = "(p % 10) * 10"
+    readm = ("CASE WHEN (k * 7 + p * 13 + n_li) % 11 = 0 THEN '<30' "
+             "WHEN k % 3 = 0 THEN '>30' ELSE 'NO' END")
+    e = [
+        "k AS encounter_id", "p AS patient_nbr",
+        _case("k % 9", ["?", "AfricanAmerican", "Asian", "Hispanic", "Other"], "Caucasian") + " AS race",
+        "CASE WHEN k % 499 = 17 THEN 'Unknown/Invalid' WHEN p % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender",
+        f"concat('[', CAST({decade} AS STRING), '-', CAST({decade} + 10 AS STRING), ')') AS age",
+        "'?' AS weight",
+        "CAST(k % 8 + 1 AS INT) AS admission_type_id",
+        "CAST((k * 7) % 30 + 1 AS INT) AS discharge_disposition_id",
+        "CAST((k * 11) % 26 + 1 AS INT) AS admission_source_id",
+        "CAST(qty % 14 + 1 AS INT) AS time_in_hospital",
+        _case("k % 4", ["?", "MC", "HM"], "SP") + " AS payer_code",
+        "CASE WHEN k % 2 = 0 THEN '?' ELSE concat('Spec', CAST(p % 40 AS STRING)) END AS medical_specialty",
+        "CAST(qty % 120 AS INT) AS num_lab_procedures",
+        "CAST(n_li % 13 AS INT) AS num_procedures",
+        "CAST(n_li * 3 + n_part AS INT) AS num_medications",
+        "CAST(k % 3 AS INT) AS number_outpatient",
+        "CAST(CASE WHEN k % 7 = 0 THEN 2 ELSE 0 END AS INT) AS number_emergency",
+        "CAST(CASE WHEN k % 5 = 0 THEN k % 13 ELSE k % 2 END AS INT) AS number_inpatient",
+    ]
+    e += [f"{_case(f'(k + {sh}) % 14', _DIAG_CODES)} AS {c}" for c, sh in _DIAG_SHIFT.items()]
+    e += ["CAST(k % 16 + 1 AS INT) AS number_diagnoses",
+          _case("k % 10", [">200", ">300", "Norm"], "None") + " AS max_glu_serum",
+          _case("k % 6", [">7", ">8", "Norm"], "None") + " AS A1Cresult"]
+    for i, drug in enumerate(C.ALL_DRUGS):
+        if drug in _ALWAYS_NO:
+            e.append(f"'No' AS `{drug}`")
+        else:
+            m = f"((k * {i + 3} + p) % {7 if drug == 'insulin' else 23})"
+            e.append(f"CASE WHEN {m} = 0 THEN 'Up' WHEN {m} = 1 THEN 'Down' "
+                     f"WHEN {m} IN (2, 3) THEN 'Steady' ELSE 'No' END AS `{drug}`")
+    e += ["CASE WHEN (k + p) % 2 = 0 THEN 'Ch' ELSE 'No' END AS change",
+          "CASE WHEN k % 4 = 3 THEN 'No' ELSE 'Yes' END AS diabetesMed",
+          f"{readm} AS readmitted",
+          f"(((k * 37 + p * 11) % 101) + CASE WHEN {readm} = '<30' THEN 20 ELSE 0 END) "
+          "/ CAST(121.0 AS DOUBLE) AS score"]
+    return e
+
+
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw encounter records (literal ``?`` kept, as in the raw CSV) + ``score``."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -60,53 +96,4 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce("n_li", F.lit(0)).alias("n_li"),
                     F.coalesce("qty", F.lit(0)).alias("qty"),
                     F.coalesce("n_part", F.lit(0)).alias("n_part")))
-    k, p = F.col("k"), F.col("p")
-    n_li, qty, n_part = F.col("n_li"), F.col("qty"), F.col("n_part")
-    i32 = lambda c: c.cast("int")
-    decade = (p % 10) * 10
-    readmitted = (F.when((k * 7 + p * 13 + n_li) % 11 == 0, "<30")
-                  .when(k % 3 == 0, ">30").otherwise("NO"))
-    cols: dict[str, Column] = {
-        "encounter_id": k,
-        "patient_nbr": p,
-        "race": F.when(k % 9 == 0, "?").when(k % 9 == 1, "AfricanAmerican").when(k % 9 == 2, "Asian")
-        .when(k % 9 == 3, "Hispanic").when(k % 9 == 4, "Other").otherwise("Caucasian"),
-        "gender": F.when(k % 499 == 17, "Unknown/Invalid")
-        .when(p % 2 == 0, "Female").otherwise("Male"),
-        "age": F.concat(F.lit("["), decade.cast("string"), F.lit("-"),
-                        (decade + 10).cast("string"), F.lit(")")),
-        "weight": F.lit("?"),
-        "admission_type_id": i32(k % 8 + 1),
-        "discharge_disposition_id": i32((k * 7) % 30 + 1),
-        "admission_source_id": i32((k * 11) % 26 + 1),
-        "time_in_hospital": i32(qty % 14 + 1),
-        "payer_code": F.when(k % 4 == 0, "?").when(k % 4 == 1, "MC")
-        .when(k % 4 == 2, "HM").otherwise("SP"),
-        "medical_specialty": F.when(k % 2 == 0, "?")
-        .otherwise(F.concat(F.lit("Spec"), (p % 40).cast("string"))),
-        "num_lab_procedures": i32(qty % 120),
-        "num_procedures": i32(n_li % 13),
-        "num_medications": i32(n_li * 3 + n_part),
-        "number_outpatient": i32(k % 3),
-        "number_emergency": i32(F.when(k % 7 == 0, 2).otherwise(0)),
-        "number_inpatient": i32(F.when(k % 5 == 0, k % 13).otherwise(k % 2)),
-    }
-    for c, s in _DIAG_SHIFT.items():
-        cols[c] = _pick((k + s) % 14, _DIAG_CODES)
-    cols["number_diagnoses"] = i32(k % 16 + 1)
-    cols["max_glu_serum"] = (F.when(k % 10 == 0, ">200").when(k % 10 == 1, ">300")
-                             .when(k % 10 == 2, "Norm").otherwise("None"))
-    cols["A1Cresult"] = (F.when(k % 6 == 0, ">7").when(k % 6 == 1, ">8")
-                         .when(k % 6 == 2, "Norm").otherwise("None"))
-    for i, drug in enumerate(C.ALL_DRUGS):
-        if drug in _ALWAYS_NO:
-            cols[drug] = F.lit("No")
-        else:
-            mod = 7 if drug == "insulin" else 23
-            cols[drug] = _drug_level((k * (i + 3) + p) % mod)
-    cols["change"] = F.when((k + p) % 2 == 0, "Ch").otherwise("No")
-    cols["diabetesMed"] = F.when(k % 4 == 3, "No").otherwise("Yes")
-    cols["readmitted"] = readmitted
-    cols["score"] = (((k * 37 + p * 11) % 101)
-                     + F.when(readmitted == "<30", 20).otherwise(0)) / F.lit(121.0)
-    return base.select([c.alias(n) for n, c in cols.items()])
+    return base.selectExpr(*_encounter_exprs())
