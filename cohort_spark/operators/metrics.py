@@ -67,14 +67,16 @@ def ranking_metrics(df: DataFrame, label: str, score: str, groups: list[str] | N
     groups = list(groups or [])
     c = curve(df, label, score, groups)
     g = c.groupBy(*groups).agg(
-        F.sum(F.col("pos") / F.col("P") * F.col("precision")).alias("_ap"),
+        F.sum(F.try_divide(F.col("pos").cast("double"), F.col("P")) * F.col("precision")).alias("_ap"),
         F.sum(F.col("pos") * (F.col("N") - F.col("fp") + F.col("neg") * F.lit(0.5))).alias("_u"),
         F.first("P").alias("positives"), F.first("N").alias("negatives"))
     both = (F.col("positives") > 0) & (F.col("negatives") > 0)
     return g.select(*groups,
                     F.when(both, F.col("_ap")).alias("average_precision"),
-                    F.when(both, F.col("_u") / (F.col("positives") * F.col("negatives"))).alias("roc_auc"),
-                    (F.col("positives") / (F.col("positives") + F.col("negatives"))).alias("prevalence"),
+                    F.when(both, F.try_divide(F.col("_u"), F.col("positives") * F.col("negatives")))
+                    .alias("roc_auc"),
+                    F.try_divide(F.col("positives").cast("double"),
+                                 F.col("positives") + F.col("negatives")).alias("prevalence"),
                     (F.col("positives") + F.col("negatives")).alias("n"),
                     F.col("positives").cast("long").alias("positives"))
 
