@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a ONE-row frame (a global aggregate) to every row.
 
-    Broadcast hash join on a constant key: the broadcast side is one row by
-    construction, so there is no pair explosion and no shuffle of ``df``.
+    The row is packed into a struct and used as a scalar subquery: Spark runs
+    the aggregate once and substitutes its value, so there is no join at all
+    (no shuffle of ``df``, no nested-loop or cross product).
     """
-    left = df.withColumn("_attach_key", F.lit(1))
-    right = one_row.withColumn("_attach_key", F.lit(1))
-    return left.join(F.broadcast(right), "_attach_key", "inner").drop("_attach_key")
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_one")).scalar()
+    return (df.withColumn("_one_row", packed)
+              .select("*", *[F.col(f"_one_row.`{c}`").alias(c) for c in cols])
+              .drop("_one_row"))
