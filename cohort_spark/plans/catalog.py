@@ -17,6 +17,7 @@ from ..functions.columns import (col, engineer_features, order_keys_first,  # no
 from ..functions.icd9 import bucket_icd9
 from ..operators import clean as CL
 from ..sources import encounters
+from ..session import materialize
 from ..sources.readers import apply_missing_mode
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -49,21 +50,33 @@ def memo_plan(fn):
     return wrapper
 
 
+@memo_plan
+def encounter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encounter view derived from ``orders`` + ``lineitem``, written once
+    per session as a Parquet table (the raw stage every other job reads)."""
+    return materialize(encounters(spark, sf_dir), "encounters")
+
+
 @memo_plan
 def raw(spark: SparkSession, sf_dir: str, mode: str = "pipeline") -> DataFrame:
-    """Encounter view in a missing mode (literal / pipeline / eda)."""
-    return apply_missing_mode(encounters(spark, sf_dir), mode)
+    """Encounter table in a missing mode (literal / pipeline / eda)."""
+    return apply_missing_mode(encounter_table(spark, sf_dir), mode)
 
 
 @memo_plan
 def cleaned(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
-    return CL.clean(raw(spark, sf_dir, "pipeline").drop("score"), dedup)
+    """Clean stage (filters, first-encounter dedup, fills, target), written as
+    a Parquet table like the pipeline's clean stage."""
+    return materialize(CL.clean(raw(spark, sf_dir, "pipeline").drop("score"), dedup),
+                       f"clean-{dedup}")
 
 
 @memo_plan
 def featurized(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
-    """Clean -> engineer features -> keys first, target last (58 columns)."""
-    return order_keys_first(engineer_features(cleaned(spark, sf_dir, dedup)))
+    """Clean -> engineer features -> keys first, target last (58 columns),
+    written as a Parquet table like the pipeline's feature stage."""
+    return materialize(order_keys_first(engineer_features(cleaned(spark, sf_dir, dedup))),
+                       f"features-{dedup}")
 
 
 # ====================================================================== flagship

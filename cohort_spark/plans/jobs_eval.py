@@ -15,6 +15,7 @@ from ..operators import fairness as FA
 from ..operators import metrics as M
 from ..operators import split as S
 from ..operators.assoc import hash_row_split
+from ..session import materialize
 from .catalog import memo_plan, raw, register
 from .jobs_core import OPERATING_THRESHOLD
 
@@ -23,8 +24,9 @@ ATTRS = ["age_10yr", "age_coarse", "gender", "race"]
 
 @memo_plan
 def scored_cohort(spark, sf_dir):
-    """Featurized cohort (one row per patient) with its first-encounter score."""
-    return engineer_features(CL.clean(raw(spark, sf_dir, "pipeline")))
+    """Featurized cohort (one row per patient) with its first-encounter score
+    (written once as a Parquet table)."""
+    return materialize(engineer_features(CL.clean(raw(spark, sf_dir, "pipeline"))), "scored")
 
 
 @memo_plan
