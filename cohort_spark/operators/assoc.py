@@ -3,6 +3,7 @@ association, diagnosis and medication landscapes, subgroup rates with Wilson
 intervals, encounter distribution, split leakage and prior-visit signal."""
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,21 +50,34 @@ def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
                                           + (F.col("cnt") + 1) / F.lit(2.0)).alias("rank"))
 
 
+BROADCAST_MAX_VALUES = 2_000_000   # rank-table rows per column that may be broadcast
+
+
 def corr_spearman(df: DataFrame, key: str = "encounter_id") -> DataFrame:
     """Spearman = Pearson of average ranks.  Ranks are taken over each column's
     non-null values, which equals pairwise-complete Spearman when the columns
     have no nulls (true for the profiled counts, age ordinal and label).
 
-    Rows are unpivoted to (key, column, value), joined ONCE to the rank table
-    on (column, value) and regrouped by the row key: two shuffles whatever the
-    number of columns."""
+    The rank table has one row per (column, distinct value).  When every
+    column's table is at most BROADCAST_MAX_VALUES rows (checked with one
+    small count per column), each column's ranks are joined by broadcast;
+    otherwise rows are unpivoted to (key, column, value), joined once on
+    (column, value) and regrouped by the row key (two shuffles)."""
     frame = _corr_frame(df, (key,)).withColumnRenamed(key, "_key")   # key: one row each
-    ranks = average_ranks(frame, CORR_COLUMNS)
-    long = (frame.select("_key", *[col(c).cast("double").alias(c) for c in CORR_COLUMNS])
-            .unpivot(["_key"], CORR_COLUMNS, "column", "value").where(F.col("value").isNotNull()))
-    ranked_long = long.join(ranks, ["column", "value"])
-    wide = ranked_long.groupBy("_key").agg(*[
-        F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in CORR_COLUMNS])
+    ranks = average_ranks(frame, CORR_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
+    if sizes and max(sizes.values()) <= BROADCAST_MAX_VALUES:
+        ranked = frame
+        for c in CORR_COLUMNS:
+            r = F.broadcast(ranks.where(F.col("column") == c).select(
+                F.col("value").alias(f"_v_{c}"), F.col("rank").alias(f"_r_{c}")))
+            ranked = ranked.join(r, ranked[c] == r[f"_v_{c}"], "left").drop(f"_v_{c}")
+        wide = ranked.select(*[F.col(f"_r_{c}").alias(c) for c in CORR_COLUMNS])
+    else:
+        long = (frame.select("_key", *CORR_COLUMNS)
+                .unpivot(["_key"], CORR_COLUMNS, "column", "value").where(F.col("value").isNotNull()))
+        wide = long.join(ranks, ["column", "value"]).groupBy("_key").agg(*[
+            F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in CORR_COLUMNS])
     return _pairwise_corr(wide, CORR_COLUMNS)
 
 

@@ -19,7 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from pyspark import StorageLevel
 
 
 def _n_buckets(df: DataFrame, n: int | None) -> int:
@@ -55,8 +55,10 @@ def running_totals(df: DataFrame, key: Column, order: list[Column], values: dict
     """
     groups = list(groups or [])
     # the input is read three times (bucket edges, bucket totals, windows):
-    # materialise it once in the checkpoint folder so upstream work runs once
-    df = cut_lineage(df.withColumns({f"_v_{k}": v for k, v in values.items()}))
+    # persist it (memory, spilling to disk) so upstream work runs once; a lost
+    # partition is recomputed from its short lineage
+    df = df.withColumns({f"_v_{k}": v for k, v in values.items()}).persist(
+        StorageLevel.MEMORY_AND_DISK)
     df = add_bucket(df, key, n_buckets)
     tot = df.groupBy(*groups, "_bkt").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
     bo = F.col("_bkt").desc() if descending else F.col("_bkt").asc()

@@ -47,23 +47,44 @@ def level_table(df: DataFrame, columns: list[str], target: str = TARGET_BINARY)
             .agg(F.count(F.lit(1)).alias("count"), F.sum("_y").cast("long").alias("positives")))
 
 
+_LEVELS: dict = {}
+
+
+def profile_levels(df: DataFrame) -> DataFrame:
+    """Level table of every non-identifier profiled column, checkpointed once
+    per input plan and shared by roles, profiles, level stats, lift and
+    association (its size is the number of distinct levels, not of rows)."""
+    hit = _LEVELS.get(id(df))
+    if hit is not None and hit[0] is df:
+        return hit[1]
+    from ..session import cut_lineage
+    src = add_binary_target(df) if TARGET_BINARY not in df.columns else df
+    names = [f.name for f in profiled_columns(df) if f.name not in C.KEY_COLS]
+    levels = cut_lineage(level_table(src, names))
+    _LEVELS[id(df)] = (df, levels)
+    return levels
+
+
 def column_basics(df: DataFrame) -> DataFrame:
     """(column, n, n_missing, n_unique) for every profiled column.
 
-    Missing counts come from one aggregation; distinct counts from the level
-    table (identifiers included, as the profile reports their cardinality).
+    Missing counts and identifier cardinalities come from one aggregation;
+    other distinct counts from the shared level table.
     """
     fields = profiled_columns(df)
     names = [f.name for f in fields]
+    ids = [c for c in names if c in C.KEY_COLS]
     miss = df.agg(F.count(F.lit(1)).alias("n"),
-                  *[F.count_if(col(c).isNull()).alias(f"m{i}") for i, c in enumerate(names)])
+                  *[F.count_if(col(c).isNull()).alias(f"m{i}") for i, c in enumerate(names)],
+                  *[F.countDistinct(col(c)).alias(f"u{i}") for i, c in enumerate(ids)])
     miss_long = miss.select("n", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("n_missing"))
-        for i, c in enumerate(names)])).alias("r")).select("r.column", "n", "r.n_missing")
-    uniq = (level_table(add_binary_target(df) if TARGET_BINARY not in df.columns else df, names)
-            .groupBy("column").agg(F.count(F.lit(1)).alias("n_unique")))
+        F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("n_missing"),
+                 (F.col(f"u{ids.index(c)}") if c in ids else F.lit(None)).cast("long").alias("id_unique"))
+        for i, c in enumerate(names)])).alias("r")).select("r.column", "n", "r.n_missing", "r.id_unique")
+    uniq = profile_levels(df).groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
     return (miss_long.join(uniq, "column", "left")
-            .withColumn("n_unique", F.coalesce("n_unique", F.lit(0)).cast("long")))
+            .withColumn("n_unique", F.coalesce("id_unique", "n_unique", F.lit(0)).cast("long"))
+            .drop("id_unique"))
 
 
 def infer_roles(df: DataFrame) -> DataFrame:
@@ -101,7 +122,7 @@ def level_stats(df: DataFrame, top_k: int = C.TOP_LEVELS) -> DataFrame:
     names = [r.column for r in roles.where(F.col("role").isin(*cat_roles)).select("column").collect()]
     if not names:
         return df.sparkSession.createDataFrame([], "column string")
-    levels = level_table(df, names)
+    levels = profile_levels(df).where(F.col("column").isin(*names))
     n_all = df.agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
     ranked = (levels.withColumn("rank", F.row_number().over(w))
