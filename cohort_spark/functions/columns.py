@@ -206,6 +206,15 @@ def order_keys_first(df: DataFrame, target: str = C.TARGET) -> DataFrame:
     return df.select([col(c) for c in keys + mid + tail])
 
 
+def reindex(df: DataFrame, columns: list[str], types: dict | None = None) -> DataFrame:
+    """Select exactly ``columns`` in order; a column the frame lacks becomes a
+    typed null (the model frame of a record with absent fields)."""
+    present = set(df.columns)
+    types = types or {}
+    return df.select(*[col(c) if c in present else F.lit(None).cast(types.get(c, "string")).alias(c)
+                       for c in columns])
+
+
 # --------------------------------------------------------------------- F23-F25
 def risk_band(prob: Column, threshold: float) -> Column:
     return (F.when(prob >= threshold, "HIGH")

