@@ -12,7 +12,7 @@ from ..functions.columns import (age_ordinal, col, pearson_pairs, round_half_up,
                                  wilson_ci)
 from ..functions.icd9 import icd9_chapter
 from ..sources import dimensions as D
-from .common import attach_row
+from .common import attach_row, top_k_per_group
 from .ordered import md5_key, positions, running_totals
 from .profile import TARGET_BINARY
 
@@ -131,12 +131,10 @@ def categorical_cells(df: DataFrame, columns: list[str], y: str = TARGET_BINARY,
             .withColumn("x", F.coalesce("x", F.lit(C.MISSING_LEVEL))))
     cells = long.groupBy("column", "x", "y").agg(F.count(F.lit(1)).alias("count"))
     lv = cells.groupBy("column", "x").agg(F.sum("count").alias("lc"))
-    w = Window.partitionBy("column").orderBy(F.desc("lc"), F.asc("x"))
-    lv = (lv.withColumn("_rk", F.row_number().over(w))
-          .withColumn("_nl", F.count(F.lit(1)).over(Window.partitionBy("column"))))
-    keep = lv.select("column", "x", ((F.col("_nl") <= max_levels) | (F.col("_rk") <= max_levels))
-                     .alias("_keep"))
-    mapped = (cells.join(keep, ["column", "x"])
+    top = (top_k_per_group(lv, ["column"], [F.desc("lc"), F.asc("x")], max_levels, rank_col="_rk")
+           .select("column", "x", F.lit(True).alias("_keep")))
+    # levels outside the top ``max_levels`` of their column become «other»
+    mapped = (cells.join(top, ["column", "x"], "left")
               .withColumn("x", F.when(F.col("_keep"), F.col("x")).otherwise(F.lit(C.OTHER_LEVEL))))
     return mapped.groupBy("column", "x", "y").agg(F.sum("count").alias("count"))
 

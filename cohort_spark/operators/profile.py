@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from .. import constants as C
 from ..functions.columns import col, pearson_pairs, round_half_up
 from ..sources import dimensions as D
-from .common import attach_row
+from .common import attach_row, top_k_per_group
 
 TARGET_BINARY = "readmitted_30d"
 QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
@@ -124,10 +124,9 @@ def level_stats(df: DataFrame, top_k: int = C.TOP_LEVELS) -> DataFrame:
         return df.sparkSession.createDataFrame([], "column string")
     levels = profile_levels(df).where(F.col("column").isin(*names))
     n_all = df.agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
-    ranked = (levels.withColumn("rank", F.row_number().over(w))
-              .withColumn("n_levels_total", F.count(F.lit(1)).over(Window.partitionBy("column"))))
-    top = ranked.where(F.col("rank") <= top_k)
+    totals = levels.groupBy("column").agg(F.count(F.lit(1)).alias("n_levels_total"))
+    top = top_k_per_group(levels, ["column"], [F.desc("count"), F.asc("value")], top_k)
+    top = top.join(F.broadcast(totals), "column")          # one row per column
     dec = D.decoder_table(df.sparkSession).select(
         F.col("column").alias("_dc"), F.col("code").cast("string").alias("_code"), "label")
     top = top.join(F.broadcast(dec), (top.column == dec._dc) & (top.value == dec._code), "left")

@@ -69,7 +69,7 @@ SQL["roc_auc"] = with_enc("SELECT " + _r(["roc_auc"]) + " FROM rk", CURVE + ",\n
 SQL["brier"] = with_enc(f"SELECT {r6('AVG((score - label) * (score - label))')} AS brier FROM t", SPLIT)
 SQL["recall_at_precision"] = with_enc(
     f"SELECT {r6('GREATEST(0.0, COALESCE(MAX(recall) FILTER (WHERE precision >= 0.3), 0.0))')} AS recall_at_precision, "
-    "0.3 AS target_precision FROM cur", CURVE)
+    "CAST(0.3 AS DOUBLE) AS target_precision FROM cur", CURVE)
 
 
 def _sens(targets: list[float], src: str = "cur", groups: str = "") -> str:
@@ -79,7 +79,7 @@ def _sens(targets: list[float], src: str = "cur", groups: str = "") -> str:
     parts = []
     for tr in targets:
         parts.append(
-            f"SELECT {gs}{tr} AS target_recall, COALESCE(h.thr, 0.0) AS threshold, "
+            f"SELECT {gs}CAST({tr} AS DOUBLE) AS target_recall, COALESCE(h.thr, 0.0) AS threshold, "
             f"CASE WHEN h.thr IS NULL THEN lo.precision ELSE c.precision END AS precision, "
             f"CASE WHEN h.thr IS NULL THEN lo.recall ELSE c.recall END AS recall, "
             f"CASE WHEN h.thr IS NULL THEN 1.0 ELSE c.flag_rate END AS flag_rate "

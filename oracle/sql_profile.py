@@ -46,7 +46,7 @@ SQL["column_profile"] = with_enc(
     f"FROM roles r LEFT JOIN fam f ON r.\"column\" = f.\"column\"", LEVELS + ",\n" + _FAM_VALUES)
 
 _LEVEL_STATS = (
-    "ls AS (SELECT l.\"column\", rank, COALESCE(d.label, l.value) AS label, count, "
+    "ls AS (SELECT l.\"column\", CAST(rank AS INTEGER) AS rank, COALESCE(d.label, l.value) AS label, count, "
     f"{rn('100.0 * count / (SELECT COUNT(*) FROM eda)', 3)} AS pct, positives, "
     f"{rn('CAST(positives AS DOUBLE) / count', 5)} AS positive_rate, n_levels_total FROM "
     "(SELECT lv.*, ROW_NUMBER() OVER (PARTITION BY lv.\"column\" ORDER BY count DESC, value) AS rank, "
@@ -293,7 +293,7 @@ _LEAK_SELECT = ("SELECT COUNT(*) AS n_test_rows, (SELECT COUNT(DISTINCT patient_
                 "(SELECT COUNT(DISTINCT patient_nbr) FROM tl WHERE inn) AS n_leaked_patients, "
                 f"{rn('100.0 * AVG(CAST(inn AS DOUBLE))', 2)} AS pct_test_rows_leaked, "
                 f"{rn('100.0 * (SELECT COUNT(DISTINCT patient_nbr) FROM tl WHERE inn) / GREATEST((SELECT COUNT(DISTINCT patient_nbr) FROM tl), 1)', 2)} "
-                "AS pct_test_patients_leaked, 0.2 AS test_frac FROM tl")
+                "AS pct_test_patients_leaked, CAST(0.2 AS DOUBLE) AS test_frac FROM tl")
 SQL["leakage_overlap"] = with_enc(_LEAK_SELECT, EDA + ",\n" + _leak(
     "sp AS (SELECT patient_nbr, ROW_NUMBER() OVER (ORDER BY md5('42:' || CAST(encounter_id AS VARCHAR))) > "
     "FLOOR((SELECT COUNT(*) FROM eda) * 0.8) AS is_test FROM eda)"))

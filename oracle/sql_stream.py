@@ -22,7 +22,7 @@ SQL["error_share"] = (
     + r6("COUNT(*) FILTER (WHERE event_type = 'error') / GREATEST(COUNT(*), 1)") + " AS error_share "
     "FROM events GROUP BY 1")
 SQL["served_total"] = (
-    "SELECT window_start, served, SUM(served) OVER (ORDER BY window_start) AS served_total FROM ("
+    "SELECT window_start, served, CAST(SUM(served) OVER (ORDER BY window_start) AS BIGINT) AS served_total FROM ("
     "SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, COUNT(*) AS served FROM events "
     "WHERE event_type <> 'error' GROUP BY 1)")
 SQL["alert_for_duration"] = (

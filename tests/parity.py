@@ -7,6 +7,7 @@ same parquet tables and compares column names, row counts and values
 from __future__ import annotations
 
 import math
+import os
 import sys
 
 import duckdb
@@ -54,10 +55,32 @@ def _rows(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None) -> tuple[bool, str]:
+SPARK_TO_DUCK = {"tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT",
+                 "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def type_mismatches(sdf_spark, rel) -> list[str]:
+    """Columns whose Spark type and DuckDB type differ (by family name)."""
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.dtypes)}
+    out = []
+    for n, t in sdf_spark.dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        got = duck_types.get(n, "?")
+        if not (got == want or (t.startswith("decimal") and got.startswith("DECIMAL"))):
+            out.append(f"{n}: spark {t} vs duckdb {got}")
+    return out
+
+
+def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None, check_types=False) -> tuple[bool, str]:
     con = con or duck(sf_dir)
-    sdf = fn(spark, sf_dir).toPandas()
+    sdf_spark = fn(spark, sf_dir)
+    sdf = sdf_spark.toPandas()
     odf = con.execute(sql).fetchdf()
+    if check_types:
+        mism = type_mismatches(sdf_spark, con.sql(sql))
+        if mism:
+            return False, "types differ: " + "; ".join(mism)
     if sorted(sdf.columns) != sorted(odf.columns):
         return False, f"columns differ: spark={sorted(sdf.columns)} oracle={sorted(odf.columns)}"
     if len(sdf) != len(odf):
@@ -87,7 +110,8 @@ def main(argv):
             print(f"[rows-only] {name}: {n} rows")
             continue
         try:
-            ok, msg = compare(spark, name, fn, sqls[name], sf_dir, con)
+            ok, msg = compare(spark, name, fn, sqls[name], sf_dir, con,
+                              check_types=os.environ.get("PARITY_TYPES") == "1")
         except Exception as e:  # noqa: BLE001
             ok, msg = False, f"error: {type(e).__name__}: {str(e)[:400]}"
         bad += not ok

@@ -15,7 +15,7 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", KEYS)
 def test_matches_oracle(spark, sf_dir, con, name):
-    ok, msg = compare(spark, name, E.queries()[name], SQL[name], sf_dir, con)
+    ok, msg = compare(spark, name, E.queries()[name], SQL[name], sf_dir, con, check_types=True)
     assert ok, msg
 
 

@@ -34,3 +34,15 @@ def test_constant_key_single_bucket(spark):
     df = spark.createDataFrame([(i, 1.0) for i in range(50)], "id long, x double")
     got = running_totals(df, F.col("x"), [F.col("x"), F.col("id")], {"c": F.lit(1)}).toPandas()
     assert sorted(got["c"]) == list(range(1, 51))
+
+
+def test_two_level_top_k_is_exact(spark):
+    from cohort_spark.operators.common import top_k_per_group
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b"]), f"v{i}", rnd.randint(0, 50)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, v string, n long")
+    got = top_k_per_group(df, ["g"], [F.desc("n"), F.asc("v")], 30, buckets=16).toPandas()
+    pdf = pd.DataFrame(rows, columns=["g", "v", "n"]).sort_values(["g", "n", "v"], ascending=[True, False, True])
+    want = pdf.groupby("g").head(30)
+    assert sorted(zip(got.g, got.v)) == sorted(zip(want.g, want.v))
+    assert set(got["rank"]) == set(range(1, 31))
