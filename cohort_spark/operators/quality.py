@@ -71,7 +71,6 @@ def _violation(chk: Check) -> Column | None:
 
 def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite") -> DataFrame:
     """Evaluate ``checks`` on ``df``; one aggregation for all value checks."""
-    spark = df.sparkSession
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, chk in enumerate(checks):
         v = _violation(chk)

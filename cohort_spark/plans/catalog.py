@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.columns import (col, engineer_features, order_keys_first,  # noqa: F401
-                                 round_half_up, wilson_ci)
+from ..functions.columns import engineer_features, order_keys_first, round_half_up, wilson_ci
 from ..functions.icd9 import bucket_icd9
 from ..operators import clean as CL
 from ..sources import encounters

@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import constants as C
 from ..functions.columns import round_half_up
 from ..operators import assoc as A
 from ..operators import profile as PR

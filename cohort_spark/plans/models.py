@@ -22,7 +22,6 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import constants as C
 from ..operators import metrics as M
@@ -219,12 +218,10 @@ def choose_calibrator(briers: dict[str, float]) -> str:
 def save_bundle(model: PipelineModel, threshold: float, path: str, meta: dict | None = None) -> None:
     """Model and its operating threshold travel together: the pipeline plus a
     one-row sidecar table."""
-    model.write().overwrite().save(f"{path}/model")
-    spark = model.stages[0].sparkSession if hasattr(model.stages[0], "sparkSession") else None
     from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
+    model.write().overwrite().save(f"{path}/model")
     info = {"threshold": float(threshold), **(meta or {})}
-    spark.createDataFrame([(json.dumps(info, sort_keys=True),)], "meta string") \
+    SparkSession.getActiveSession().createDataFrame([(json.dumps(info, sort_keys=True),)], "meta string") \
         .write.mode("overwrite").json(f"{path}/meta")
 
 

@@ -70,9 +70,6 @@ def wilson_sql(k: str, n: str, z: float = 1.96) -> tuple[str, str]:
 
 
 # Pipeline-mode raw view: '?' -> NULL on every string column.
-_STRING_COLS = None
-
-
 def raw_pipeline_cte() -> str:
     from cohort_spark import constants as C
     cols = []
