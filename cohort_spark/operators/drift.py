@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..functions.columns import col, round_half_up
+from ..functions.columns import col, quantile_columns, round_half_up
 from .ordered import running_totals
 from .split import hash_fraction
 
@@ -143,8 +143,8 @@ def psi(ref: DataFrame, cur: DataFrame, columns: list[str], bins: int = C.PSI_BI
     categories over the union of both sides."""
     num, _ = split_columns(ref, columns)
     probs = [i / bins for i in range(bins + 1)]
-    edge_rows = ref.agg(*[F.percentile(col(c).cast("double"), F.array(*[F.lit(p) for p in probs]))
-                          .alias(f"e{i}") for i, c in enumerate(num)]) if num else None
+    qs = quantile_columns(ref, num, probs) if num else {}
+    edge_rows = ref.agg(*[qs[c].alias(f"e{i}") for i, c in enumerate(num)]) if num else None
     n_ref_distinct = (ref.select(*[col(c).cast("string").alias(c) for c in columns])
                       .unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
                       .groupBy("column").agg(F.countDistinct("value").alias("nd")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..functions.columns import col, pearson_pairs, round_half_up
+from ..functions.columns import col, pearson_pairs, quantile_columns, round_half_up
 from ..sources import dimensions as D
 from .common import attach_row, top_k_per_group
 
@@ -146,16 +146,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def numeric_summary(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """min, p01..p99, mean, max, std (ddof 1), bias-corrected skew, zeros % (2 dp).
 
-    ``exact`` uses ``percentile`` (linear interpolation; its buffer is a
-    value->count map, small for count columns); ``exact=False`` switches to
-    ``percentile_approx`` for continuous columns at scale.
+    ``exact`` uses ``percentile`` (linear interpolation) while a column has at
+    most ``EXACT_MAX_DISTINCT`` distinct values, and ``percentile_approx``
+    beyond; ``exact=False`` always uses ``percentile_approx``.
     """
     columns = columns or numeric_columns(df)
+    qs = (quantile_columns(df, columns, QUANTILES) if exact else
+          {c: F.percentile_approx(col(c).cast("double"), QUANTILES, 100000) for c in columns})
     aggs = []
     for i, c in enumerate(columns):
         x = col(c).cast("double")
-        q = (F.percentile(x, F.array(*[F.lit(p) for p in QUANTILES])) if exact
-             else F.percentile_approx(x, QUANTILES, 100000))
+        q = qs[c]
         aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), q.alias(f"q{i}"),
                  F.avg(x).alias(f"av{i}"), F.stddev_samp(x).alias(f"sd{i}"),
                  F.skewness(x).alias(f"sk{i}"), F.count(x).alias(f"n{i}"),
@@ -178,8 +179,8 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None, exact: bool
 def decile_edges(df: DataFrame, columns: list[str], n_bins: int = 10) -> DataFrame:
     """(column, edges) -- distinct quantile edges at 0, 1/n, ..., 1 (exact)."""
     probs = [i / n_bins for i in range(n_bins + 1)]
-    one = df.agg(*[F.percentile(col(c).cast("double"), F.array(*[F.lit(p) for p in probs]))
-                   .alias(f"e{i}") for i, c in enumerate(columns)])
+    qs = quantile_columns(df, columns, probs)
+    one = df.agg(*[qs[c].alias(f"e{i}") for i, c in enumerate(columns)])
     return one.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.array_distinct(F.col(f"e{i}")).alias("edges"))
         for i, c in enumerate(columns)])).alias("r")).select("r.*")

@@ -78,6 +78,8 @@ def stream_rates(spark, sf_dir):
     src = (spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
            .select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value"))
     name = f"stream_rates_{uuid.uuid4().hex[:8]}"
+    # complete mode so this bounded run can be compared with the batch twin;
+    # a long-running query uses the default append mode (bounded state)
     q = windowed_rates_stream(src, "1 hour", "10 minutes", name, "complete")
     q.awaitTermination()
     return _r(spark.table(name), ["rate_per_sec"])

@@ -77,10 +77,12 @@ def audit_sink(scored: DataFrame, path: str, watermark: str = "10 minutes"):
 
 
 def windowed_rates_stream(events: DataFrame, width: str = "1 hour", watermark: str = "10 minutes",
-                          sink: str = "rates", mode: str = "complete"):
-    """Watermarked tumbling-window counts per event type.  ``append`` emits a
-    window once the watermark passes its end (late rows beyond the watermark
-    are dropped); ``complete`` re-emits the whole result table."""
+                          sink: str = "rates", mode: str = "append"):
+    """Watermarked tumbling-window counts per event type.  ``append`` (the
+    production mode) emits a window once the watermark passes its end and
+    drops its state, so state stays bounded; rows later than the watermark are
+    dropped.  ``complete`` keeps every window and re-emits the whole table
+    (used to check a bounded run against the batch result)."""
     spark = events.sparkSession
     agg = W.rate_tumbling(events.withWatermark("ts", watermark), width)
     return (agg.writeStream.format("memory").queryName(sink).outputMode(mode)
@@ -102,7 +104,9 @@ def label_feedback_stream(preds: DataFrame, labels: DataFrame, max_delay: str =
 
 def drift_per_batch(stream: DataFrame, reference: DataFrame, columns: list[str], out_path: str):
     """Evaluate column drift, dataset drift and the retrain rule for every
-    micro-batch against ``reference``; append one verdict row per batch."""
+    micro-batch against ``reference``; one verdict row per batch, written to
+    its own ``batch_id=N`` partition with overwrite, so a micro-batch replayed
+    after a failure rewrites the same output (idempotent)."""
     from ..operators import drift as DR
     spark = stream.sparkSession
 
@@ -112,8 +116,7 @@ def drift_per_batch(stream: DataFrame, reference: DataFrame, columns: list[str],
         share = DR.drift_summary(DR.column_drift(reference, batch, columns))
         psis = DR.psi(reference, batch, [c for c in C.TOP_SHAP_FEATURES if c in columns])
         verdict = DR.retrain_decision(share, psis)
-        (verdict.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(out_path))
+        verdict.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     return (stream.writeStream.foreachBatch(handle)
             .option("checkpointLocation", checkpoint_path(spark, "drift")).trigger(availableNow=True).start())
