@@ -19,10 +19,17 @@ def _class_counts(df: DataFrame, label: str) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, key: str, label: str = C.TARGET, seed: int = C.SPLIT_SEED,
-                     test_frac: float = C.TEST_FRACTION) -> DataFrame:
-    """Add ``split`` ('train'/'test'): within each class the first
-    ceil(n_c·f) rows in hash order are test.  Class counts are a tiny table
-    (one row per class) joined by broadcast."""
+                     test_frac: float = C.TEST_FRACTION, mode: str = "exact") -> DataFrame:
+    """Add ``split`` ('train'/'test').
+
+    ``exact``: within each class the first ceil(n_c·f) rows in hash order are
+    test (scalable running count; class counts are a broadcast 2-row table).
+    ``hash``: a row is test when its salted hash falls below ``f`` -- no
+    shuffle at all, class shares are binomial around ``f`` (the large-table
+    default); both are deterministic and disjoint."""
+    if mode == "hash":
+        return df.withColumn("split", F.when(hash_fraction(key, seed, test_frac), "test")
+                             .otherwise("train"))
     h, pre = md5_key(seed, F.col(key))
     d = positions(df.withColumns({"_h": h, "_hp": pre}), F.col("_hp"), [F.col("_h")],
                   groups=[label], out="_pos")

@@ -46,3 +46,22 @@ def test_two_level_top_k_is_exact(spark):
     want = pdf.groupby("g").head(30)
     assert sorted(zip(got.g, got.v)) == sorted(zip(want.g, want.v))
     assert set(got["rank"]) == set(range(1, 31))
+
+
+def test_hash_split_mode_is_disjoint_deterministic(spark):
+    from cohort_spark.operators.split import stratified_split
+    df = spark.range(20000).withColumn("target", (F.col("id") % 10 == 0).cast("int"))
+    a = stratified_split(df, "id", "target", mode="hash")
+    b = stratified_split(df, "id", "target", mode="hash")
+    assert a.exceptAll(b).count() == 0
+    share = a.where("split = 'test'").count() / 20000
+    assert 0.18 < share < 0.22
+
+
+def test_approx_roles_match_exact_roles_on_low_cardinality(spark, sf_dir):
+    from cohort_spark.operators.profile import infer_roles
+    from cohort_spark.plans.jobs_profile import eda_frame
+    df = eda_frame(spark, sf_dir)
+    ex = {r.column: r.role for r in infer_roles(df).collect()}
+    ap = {r.column: r.role for r in infer_roles(df, approx=True).collect()}
+    assert ex == ap
