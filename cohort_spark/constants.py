@@ -95,7 +95,7 @@ REJECTED_GENDER = "Unknown/Invalid"
 N_FEATURIZED_COLUMNS = 58
 POS_RATE_RANGE = (0.08, 0.12)
 DIAG_COLS = ["diag_1", "diag_2", "diag_3"]
-STRACK_BUCKETS = ["Circulatory", "Respiratory", "Digestive", "Diabetes", "Injury",
+DIAG_BUCKETS = ["Circulatory", "Respiratory", "Digestive", "Diabetes", "Injury",
                   "Musculoskeletal", "Genitourinary", "Neoplasms", "Other", "Missing"]
 ENGINEERED_FEATURES = [
     "diag_1_bucket", "diag_2_bucket", "diag_3_bucket", "diabetes_primary",

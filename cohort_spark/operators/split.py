@@ -25,8 +25,8 @@ def stratified_split(df: DataFrame, key: str, label: str = C.TARGET, seed: int =
     ``exact``: within each class the first ceil(n_c·f) rows in hash order are
     test (scalable running count; class counts are a broadcast 2-row table).
     ``hash``: a row is test when its salted hash falls below ``f`` -- no
-    shuffle at all, class shares are binomial around ``f`` (the large-table
-    default); both are deterministic and disjoint."""
+    shuffle at all, class shares are binomial around ``f`` (recommended for very
+    large tables); both are deterministic and disjoint."""
     if mode == "hash":
         return df.withColumn("split", F.when(hash_fraction(key, seed, test_frac), "test")
                              .otherwise("train"))

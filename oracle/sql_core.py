@@ -180,7 +180,7 @@ def _processed_rows() -> str:
     vals = [("in_set:target", "target IS NOT NULL AND target NOT IN (0, 1)"),
             ("in_set:a1c_state", f"a1c_state IS NOT NULL AND a1c_state NOT IN {in_list(C.A1C_STATE_VALUES)}"),
             ("in_set:age_bucket", f"age_bucket IS NOT NULL AND age_bucket NOT IN {in_list(C.AGE_BUCKET_VALUES)}")]
-    vals += [(f"in_set:{c}", f"{c} IS NOT NULL AND {c} NOT IN {in_list(C.STRACK_BUCKETS)}")
+    vals += [(f"in_set:{c}", f"{c} IS NOT NULL AND {c} NOT IN {in_list(C.DIAG_BUCKETS)}")
              for c in ("diag_1_bucket", "diag_2_bucket", "diag_3_bucket")]
     vals += [(f"not_null:{c}", f"{c} IS NULL") for c in C.ENGINEERED_FEATURES]
     aggs = ", ".join(f"SUM(CASE WHEN {v} THEN 1 ELSE 0 END) AS p{i}" for i, (_, v) in enumerate(vals))
