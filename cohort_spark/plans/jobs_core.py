@@ -396,3 +396,18 @@ def audit_json(spark, sf_dir):
         F.get_json_object(rec, "$.output.flag").cast("boolean").alias("flag"),
         F.get_json_object(rec, "$.inputs.race").alias("race"),
     )
+
+
+@register("stage_gate_report")
+def stage_gate_report(spark, sf_dir):
+    """Run the staged batch (raw suite gate -> clean -> features -> processed
+    suite gate), writing each stage as Parquet in the checkpoint folder."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from .stages import run_stages
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages-{uuid.uuid4().hex[:8]}"
+    status = run_stages(_raw_literal(spark, sf_dir), out)
+    return spark.read.json(f"{out}/status/*").select(
+        "suite", "evaluated", "successful", "failed", "success").join(
+        status.select("suite", "rows_written"), "suite")

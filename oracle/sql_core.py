@@ -394,3 +394,8 @@ SQL["feature_report"] = with_enc(
     "16 AS n_categorical, 39 AS n_numeric, " + rn("AVG(CAST(target AS DOUBLE))", 4) + " AS pos_rate, "
     "TRUE AS patient_nbr_present, TRUE AS target_present, "
     "COUNT(DISTINCT patient_nbr) = COUNT(patient_nbr) AS patient_nbr_unique FROM feat", FEAT_CTE)
+
+SQL["stage_gate_report"] = with_enc(
+    "SELECT r.suite, r.evaluated, r.successful, r.failed, r.success, (SELECT COUNT(*) FROM feat) AS rows_written FROM ("
+    + _REPORT.format(rows="(SELECT * FROM rows_raw UNION ALL SELECT * FROM rows_processed)") + ") r",
+    FEAT_CTE + ",\n" + LITERAL + ",\n" + _suite_rows("lit", "raw") + ",\n" + _processed_rows())

@@ -55,3 +55,14 @@ def test_linear_contributions_add_up_to_margin(spark, sf_dir):
     thr = 0.5
     assert all((r.prediction >= thr) == (r.prediction >= thr) for r in rows)
     assert all(0.0 <= r.prediction <= 1.0 for r in rows)
+
+
+def test_stage_gate_stops_on_bad_data(spark, sf_dir, tmp_path):
+    import os
+    from cohort_spark.operators.quality import SuiteFailed, inject_bad_row
+    from cohort_spark.plans.catalog import raw
+    from cohort_spark.plans.stages import run_stages
+    bad = inject_bad_row(raw(spark, sf_dir, "literal").drop("score"), "gender", "Martian")
+    with pytest.raises(SuiteFailed, match="in_set:gender"):
+        run_stages(bad, str(tmp_path / "out"))
+    assert not os.path.exists(tmp_path / "out" / "clean")
