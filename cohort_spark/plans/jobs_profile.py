@@ -178,3 +178,26 @@ def factorize_codes(spark, sf_dir):
     cols = ["race", "payer_code", "medical_specialty", "A1Cresult"]
     df = eda_frame(spark, sf_dir).select("encounter_id", *cols)
     return factorize(df, cols, "encounter_id").select("encounter_id", *[f"{c}_code" for c in cols])
+
+
+# ---------------------------------------------------------------- second target (documents)
+def labelled_documents(spark, sf_dir):
+    """Documents with their quality / toxicity labels (inner join on doc_id)."""
+    from ..sources import read_table
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return docs.join(labels, "doc_id")
+
+
+@register("label_subgroup_rates")
+def label_subgroup_rates(spark, sf_dir):
+    """Quality rate with Wilson CI per language and per source (one GROUPING SETS pass)."""
+    return A.subgroup_rates(labelled_documents(spark, sf_dir), ["lang", "source"], y="quality")
+
+
+@register("label_association")
+def label_association(spark, sf_dir):
+    """Bias-corrected Cramér's V of language and source against toxicity."""
+    cells = A.categorical_cells(labelled_documents(spark, sf_dir), ["lang", "source"], y="toxic")
+    v = A.cramers_v_table(cells)
+    return v.select("column", round_half_up(F.col("cramers_v"), 6).alias("cramers_v"), "n", "n_levels")

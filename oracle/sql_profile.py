@@ -315,3 +315,15 @@ SQL["factorize_codes"] = with_enc(
         f"LEFT JOIN (SELECT v, CAST(ROW_NUMBER() OVER (ORDER BY fk, v) - 1 AS INTEGER) AS code FROM "
         f"(SELECT {c} AS v, MIN(encounter_id) AS fk FROM eda WHERE {c} IS NOT NULL GROUP BY 1)) f_{c} "
         f"ON e.{c} = f_{c}.v" for c in _FCOLS), EDA)
+
+_DOCS = "ld AS (SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
+SQL["label_subgroup_rates"] = (
+    "WITH " + _DOCS + f" SELECT attribute, level, n AS count, {rn('CAST(k AS DOUBLE) / n', 5)} AS positive_rate, "
+    f"{rn(_wlo, 5)} AS ci_low, {rn(_whi, 5)} AS ci_high, (SELECT {rn('AVG(CAST(quality AS DOUBLE))', 5)} FROM ld) AS base "
+    "FROM (" + " UNION ALL ".join(
+        f"SELECT '{a}' AS attribute, COALESCE(CAST({a} AS VARCHAR), '«missing»') AS level, COUNT(*) AS n, "
+        f"CAST(SUM(quality) AS BIGINT) AS k FROM ld GROUP BY 2" for a in ["lang", "source"]) + ")")
+SQL["label_association"] = (
+    "WITH " + _DOCS + ",\n" + cells_sql(["lang", "source"]).replace("FROM eda)", "FROM ld)").replace(
+        f"SELECT {Y} AS y", "SELECT toxic AS y")
+    + f"\nSELECT \"column\", {r6('v')} AS cramers_v, n, CAST(n_levels AS BIGINT) AS n_levels FROM ({cramer_sql('cells')})")
