@@ -62,22 +62,34 @@ def raw(spark: SparkSession, sf_dir: str, mode: str = "pipeline") -> DataFrame:
     return apply_missing_mode(encounter_table(spark, sf_dir), mode)
 
 
+@memo_plan
+def clean_scored(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
+    """Clean stage (filters, first-encounter dedup, fills, target) carrying the
+    encounter's ``score``; written once as a Parquet table like the
+    pipeline's clean stage."""
+    return materialize(CL.clean(raw(spark, sf_dir, "pipeline"), dedup), f"clean-{dedup}")
+
+
 @memo_plan
 def cleaned(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
-    """Clean stage (filters, first-encounter dedup, fills, target), written as
-    a Parquet table like the pipeline's clean stage."""
-    return materialize(CL.clean(raw(spark, sf_dir, "pipeline").drop("score"), dedup),
-                       f"clean-{dedup}")
+    """The 47-column clean table (a projection of the written clean stage)."""
+    return clean_scored(spark, sf_dir, dedup).drop("score")
 
 
 @memo_plan
-def featurized(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
-    """Clean -> engineer features -> keys first, target last (58 columns),
-    written as a Parquet table like the pipeline's feature stage."""
-    return materialize(order_keys_first(engineer_features(cleaned(spark, sf_dir, dedup))),
+def features_scored(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
+    """Clean -> engineer features -> keys first, target last, plus ``score``;
+    written once as a Parquet table like the pipeline's feature stage."""
+    return materialize(order_keys_first(engineer_features(clean_scored(spark, sf_dir, dedup))),
                        f"features-{dedup}")
 
 
+@memo_plan
+def featurized(spark: SparkSession, sf_dir: str, dedup: str = "coalesce") -> DataFrame:
+    """The 58-column feature table (a projection of the written feature stage)."""
+    return features_scored(spark, sf_dir, dedup).drop("score")
+
+
 # ====================================================================== flagship
 @register("flagship_diag_rates")
 def flagship_diag_rates(spark, sf_dir):

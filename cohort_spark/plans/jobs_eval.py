@@ -9,14 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.columns import age_band_10yr, engineer_features
+from ..functions.columns import age_band_10yr
 from ..operators import clean as CL
 from ..operators import fairness as FA
 from ..operators import metrics as M
 from ..operators import split as S
 from ..operators.assoc import hash_row_split
-from ..session import materialize
-from .catalog import memo_plan, raw, register
+from .catalog import features_scored, memo_plan, raw, register
 from .jobs_core import OPERATING_THRESHOLD
 
 ATTRS = ["age_10yr", "age_coarse", "gender", "race"]
@@ -25,8 +24,8 @@ ATTRS = ["age_10yr", "age_coarse", "gender", "race"]
 @memo_plan
 def scored_cohort(spark, sf_dir):
     """Featurized cohort (one row per patient) with its first-encounter score
-    (written once as a Parquet table)."""
-    return materialize(engineer_features(CL.clean(raw(spark, sf_dir, "pipeline"))), "scored")
+    (the written feature stage)."""
+    return features_scored(spark, sf_dir)
 
 
 @memo_plan
