@@ -20,6 +20,7 @@ share > 0.10 OR any top-feature PSI > 0.20 OR labelled PR-AUC < 0.15.
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,7 +120,8 @@ def column_drift(ref: DataFrame, cur: DataFrame, columns: list[str],
     num, cat = split_columns(ref, columns)
     parts = []
     if num:
-        fn = frequencies(ref, cur, num, as_string=False)
+        # one row per (column, value): small, and read by three statistics
+        fn = frequencies(ref, cur, num, as_string=False).persist(StorageLevel.MEMORY_AND_DISK)
         counts = fn.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
         w = wasserstein_ks(fn, reference_std(ref, num)).join(counts, "column")
         js_num = jensen_shannon(fn)
@@ -128,7 +130,7 @@ def column_drift(ref: DataFrame, cur: DataFrame, columns: list[str],
             F.when(F.col("n_values") > 5, "wasserstein").otherwise("jensenshannon").alias("method"),
             F.when(F.col("n_values") > 5, F.col("wasserstein_norm")).otherwise(F.col("js")).alias("score")))
     if cat:
-        fc = frequencies(ref, cur, cat, as_string=True)
+        fc = frequencies(ref, cur, cat, as_string=True).persist(StorageLevel.MEMORY_AND_DISK)
         parts.append(jensen_shannon(fc).select("column", F.lit("jensenshannon").alias("method"),
                                                F.col("js").alias("score")))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -43,29 +43,46 @@ def add_bucket(df: DataFrame, key: Column, n_buckets: int | None = None,
     return bz.transform(df).drop("_bkey")
 
 
+import os
+
+# a group this small may be ordered in one task (override for experiments)
+SMALL_GROUP_ROWS = int(os.environ.get("COHORT_SPARK_SMALL_GROUP_ROWS", "1000000"))
+
+
 def running_totals(df: DataFrame, key: Column, order: list[Column], values: dict[str, Column],
                    groups: list[str] | None = None, descending: bool = False,
-                   n_buckets: int | None = None) -> DataFrame:
+                   n_buckets: int | None = None, small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """Inclusive running sums of ``values`` (name -> Column) within ``groups``.
 
     ``key`` is a numeric column that is monotone in ``order`` (it decides the
     bucket); ``order`` must be a total order within each group for the sums to
     be deterministic (collapse ties first, or add tie-break columns).
     With ``descending`` the sums run from the largest key down.
+
+    When the largest group has at most ``small_group_rows`` rows (one small
+    count), a per-group window is bounded per task and is used directly;
+    otherwise the bucketed path below keeps every task bounded.
     """
     groups = list(groups or [])
-    # the input is read three times (bucket edges, bucket totals, windows):
-    # persist it (memory, spilling to disk) so upstream work runs once; a lost
-    # partition is recomputed from its short lineage
+    # the input is read several times (size check, bucket edges, totals,
+    # windows): persist it (memory, spilling to disk) so upstream work runs
+    # once; a lost partition is recomputed from its short lineage
     df = df.withColumns({f"_v_{k}": v for k, v in values.items()}).persist(
         StorageLevel.MEMORY_AND_DISK)
+    ords = [o.desc() for o in order] if descending else order
+    largest = (df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0) \
+        if small_group_rows else small_group_rows + 1
+    if largest <= small_group_rows:
+        w = (Window.partitionBy(*groups).orderBy(*ords)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        out = df.withColumns({k: F.sum(f"_v_{k}").over(w) for k in values})
+        return out.drop(*[f"_v_{k}" for k in values])
     df = add_bucket(df, key, n_buckets)
     tot = df.groupBy(*groups, "_bkt").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
     bo = F.col("_bkt").desc() if descending else F.col("_bkt").asc()
     w_off = Window.partitionBy(*groups).orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
     offsets = tot.select(*groups, "_bkt", *[
         F.coalesce(F.sum(f"_t_{k}").over(w_off), F.lit(0)).alias(f"_o_{k}") for k in values])
-    ords = [o.desc() for o in order] if descending else order
     w_in = (Window.partitionBy(*groups, "_bkt").orderBy(*ords)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumns({f"_l_{k}": F.sum(f"_v_{k}").over(w_in) for k in values})
@@ -84,7 +101,8 @@ def md5_key(seed: int, key: Column) -> tuple[Column, Column]:
 
 
 def positions(df: DataFrame, key: Column, order: list[Column], groups: list[str] | None = None,
-              out: str = "pos", n_buckets: int | None = None) -> DataFrame:
+              out: str = "pos", n_buckets: int | None = None,
+              small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """1-based row position within ``groups`` in ``order`` (a scalable row_number)."""
     return running_totals(df, key, order, {out: F.lit(1).cast("long")}, groups,
-                          n_buckets=n_buckets)
+                          n_buckets=n_buckets, small_group_rows=small_group_rows)
