@@ -156,3 +156,23 @@ def drift_validation(spark, sf_dir):
     from ..operators.common import attach_row
     j = attach_row(attach_row(ctl, sh), caught)
     return j.withColumn("detector_pass", ~F.col("control_drift") & F.col("shifted_drift"))
+
+
+@register("stream_drift")
+def stream_drift(spark, sf_dir, files_per_batch: int = 4):
+    """Structured Streaming run of the monitoring rule: the control and the
+    shifted batch arrive as files (``files_per_batch`` each, written in that
+    order) and each micro-batch is checked against the training reference by
+    ``foreachBatch`` (column drift, dataset drift, retrain rule)."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.queries import drift_per_batch
+    ref, batches, cols = drift_inputs(spark, sf_dir)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drift-stream-{uuid.uuid4().hex[:8]}"
+    for name in BATCHES:
+        batches[name].select(*cols).repartition(files_per_batch).write.mode("append").parquet(f"{base}/src")
+    schema = spark.read.parquet(f"{base}/src").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{base}/src")
+    drift_per_batch(stream, ref, cols, f"{base}/out").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("batch_id", "trigger", "n_reasons", "reasons")

@@ -29,6 +29,6 @@ def test_entry_runs(spark):
 def test_every_key_has_sql_or_is_declared_rows_only():
     rows_only = {"score_lr", "score_gbt", "oof_scores", "cv_fold_metrics", "hyper_search",
                  "calibration_delta", "calibrated_ensemble", "model_comparison", "top_factors",
-                 "global_importance", "stream_rates", "stream_scoring"}
+                 "global_importance", "stream_rates", "stream_scoring", "stream_drift"}
     missing = set(E.queries()) - set(SQL) - rows_only
     assert not missing, missing

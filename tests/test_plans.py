@@ -6,7 +6,7 @@ import __spark_entry__ as E
 
 ROWS_ONLY = {"score_lr", "score_gbt", "oof_scores", "cv_fold_metrics", "hyper_search",
              "calibration_delta", "calibrated_ensemble", "model_comparison", "top_factors",
-             "global_importance", "stream_rates", "stream_scoring"}
+             "global_importance", "stream_rates", "stream_scoring", "stream_drift"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"]
 
 

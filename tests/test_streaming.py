@@ -32,3 +32,10 @@ def test_scoring_stream_accepts_contract_rows(spark, sf_dir):
     rows = scored.collect()
     assert len(rows) == accepted
     assert all(0.0 <= r.readmission_probability <= 1.0 for r in rows)
+
+
+def test_stream_drift_verdicts_equal_batch_rule(spark, sf_dir):
+    q = E.queries()
+    streamed = {r.batch_id: r.reasons for r in q["stream_drift"](spark, sf_dir).collect()}
+    batch = {r.batch: r.reasons for r in q["retrain_decision"](spark, sf_dir).collect()}
+    assert streamed == {0: batch["control"], 1: batch["shifted"]}
