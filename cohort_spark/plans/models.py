@@ -73,8 +73,10 @@ def build_lr(cat: list[str], num: list[str], weight_col: str | None = "weight",
     stages.append(VectorAssembler(inputCols=num, outputCol="_num", handleInvalid="keep"))
     stages.append(StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True))
     stages.append(VectorAssembler(inputCols=oh + ["_num_s"], outputCol="features"))
-    lr = LogisticRegression(featuresCol="features", labelCol=C.TARGET, maxIter=200, regParam=reg,
-                            standardization=False)
+    # stopping tolerance 1e-4 (the usual lbfgs default of the studied
+    # pipeline's library); every L-BFGS iteration is one Spark job
+    lr = LogisticRegression(featuresCol="features", labelCol=C.TARGET, maxIter=100, tol=1e-4,
+                            regParam=reg, standardization=False)
     if weight_col:
         lr.setWeightCol(weight_col)
     stages.append(lr)
