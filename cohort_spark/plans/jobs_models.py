@@ -48,19 +48,23 @@ def score_gbt(spark, sf_dir):
     return _out(scored)
 
 
+@memo_plan
+def lr_oof(spark, sf_dir):
+    """Out-of-fold LR predictions (the 5 fold models are fitted once per session)."""
+    train, _, cat, num = train_test(spark, sf_dir)
+    return ML.oof_predict(lambda: ML.build_lr(cat, num, reg=LR_REG), train)
+
+
 @register("oof_scores")
 def oof_scores(spark, sf_dir):
-    train, _, cat, num = train_test(spark, sf_dir)
-    oof = ML.oof_predict(lambda: ML.build_lr(cat, num, reg=LR_REG), train)
+    oof = lr_oof(spark, sf_dir)
     return oof.select("encounter_id", "fold", F.col(C.TARGET).alias("label"), "prediction")
 
 
 @register("cv_fold_metrics")
 def cv_fold_metrics(spark, sf_dir):
     """Per-fold AP / ROC-AUC of the out-of-fold predictions."""
-    train, _, cat, num = train_test(spark, sf_dir)
-    oof = ML.oof_predict(lambda: ML.build_lr(cat, num, reg=LR_REG), train)
-    return M.rounded(ML.fold_metrics(oof))
+    return M.rounded(ML.fold_metrics(lr_oof(spark, sf_dir)))
 
 
 @register("hyper_search")
