@@ -2,9 +2,10 @@
 import pytest
 
 import __spark_entry__ as E
+from cohort_spark.plans.catalog import QUERIES
+from oracle.sql import SQL
 from tests.parity import compare, duck
 
-SQL = E.oracle_sql()
 KEYS = sorted(SQL)
 
 
@@ -15,7 +16,7 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", KEYS)
 def test_matches_oracle(spark, sf_dir, con, name):
-    ok, msg = compare(spark, name, E.queries()[name], SQL[name], sf_dir, con, check_types=True)
+    ok, msg = compare(spark, name, QUERIES[name], SQL[name], sf_dir, con, check_types=True)
     assert ok, msg
 
 
@@ -30,5 +31,5 @@ def test_every_key_has_sql_or_is_declared_rows_only():
     rows_only = {"score_lr", "score_gbt", "oof_scores", "cv_fold_metrics", "hyper_search",
                  "calibration_delta", "calibrated_ensemble", "model_comparison", "top_factors",
                  "global_importance", "stream_rates", "stream_scoring", "stream_drift"}
-    missing = set(E.queries()) - set(SQL) - rows_only
+    missing = set(QUERIES) - set(SQL) - rows_only
     assert not missing, missing
