@@ -1,19 +1,18 @@
 """Registry of the training-data operators: name -> query, and SQL twins."""
 from __future__ import annotations
 
-from .rabitq import op2_rabitq
 from .bitpack import op6_bitpack
+from .decontaminate import op3_decontaminate
 from .htmltext import op8_htmltext
+from .jaccard import op9_jaccard
+from .langid import op7_langid
 from .linededup import OP5_SQL, op5_linededup
 from .packing import op4_packing
+from .rabitq import op2_rabitq
+from .toxicity import op1_toxicity
 from .warc import OP10_SQL, op10_warc
 
-QUERIES = {
-    "op2_rabitq": op2_rabitq,
-    "op4_packing": op4_packing,
-    "op5_linededup": op5_linededup,
-    "op6_bitpack": op6_bitpack,
-    "op8_htmltext": op8_htmltext,
-    "op10_warc": op10_warc,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_rabitq, op3_decontaminate, op4_packing, op5_linededup, op6_bitpack, op7_langid, op8_htmltext,
+    op9_jaccard, op10_warc)}
 SQL = {"op5_linededup": OP5_SQL, "op10_warc": OP10_SQL}

@@ -1,34 +1,67 @@
 """Corpus pipeline: toxicity filter, line dedup, near-duplicate removal, benchmark
-decontamination and packing, each written as Parquet and read again by the next."""
+decontamination and packing, each written as Parquet and read again by the next.
+
+Every stage takes the documents that its predecessor kept; all but the last return the
+columns of ``documents``.  Rows with null doc_id stay unless a stage rejects their own
+text; null texts pass as empty from the line stage on; rows repeating doc_id and text
+are one document of a near-duplicate group; an empty table passes through empty.
+"""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohort_spark.llm.common import documents, shared_path
+from cohort_spark.llm.common import documents, shared_path, table
+from cohort_spark.llm.decontaminate import contaminated
+from cohort_spark.llm.jaccard import join_components
 from cohort_spark.llm.linededup import dedup_lines
 from cohort_spark.llm.packing import pack, pieces_with_crc
+from cohort_spark.llm.toxicity import score, train
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: documents whose grade is likelier above 0 than 0 go."""
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).where(~F.col("rejected")).select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: lines of 40 characters or more that five documents hold stay in one."""
     return dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: of each component (5-word shingles, similarity 0.8) the smallest doc_id stays."""
+    found = join_components(docs, size=5, percent=80)
+    keeps = F.max((F.col("doc_id") == F.col("component_id")).cast("int"))
+    losers = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(keeps.alias("keeps")).where("keeps = 0").select("doc_id")
+    kept = docs.join(losers, "doc_id", "left_anti")
+    same = Window.partitionBy("doc_id", "text").orderBy("source", "lang", "n_chars")
+    return kept.withColumn("row", F.row_number().over(same)).where("row = 1").select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: documents that hold a benchmark item go."""
+    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: what is left, in sequences of at most 1024 ids."""
     return pieces_with_crc(pack(docs))
 
 
-STAGES = [("line_dedup", lines), ("packing", packing)]
+STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
+          ("decontamination", decontamination), ("packing", packing)]
 
-#: Model fitting and tokenising have no SQL form; tests hold stages against brute force.
+#: Model fitting and tokenising have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the packed pieces."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         path = shared_path(spark, f"pipeline-{name}")
