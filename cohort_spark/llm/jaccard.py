@@ -8,9 +8,13 @@ candidates its prefix would meet, as estimated from the counters, and a pair mus
 their two ``m`` before it is verified on the full sets.
 
 Only reachability is asked for, so no pairs are listed within a group that is already
-known to hang together: first every class is compared with the first and the last class of each of its prefix
-shingles; components of those links follow; then, exactly, all pairs under a shingle whose
-components differ.  Every link between different components is thus verified, and no cap is set anywhere.
+known to hang together.  In the star rounds every class is compared, under each of its
+prefix shingles, with one class of each of two components there (drawn by hash, anew for each shingle);
+the links found give new components.  The last round takes, exactly, all pairs under a shingle whose components
+differ.  Bounds that lose nothing thin them out: what lies before a shared shingle in no other
+class's prefix is not shared; the parities of 256 cells of the hash space bound from below
+how much two sets differ.  Every link between different components is verified, and no cap is set
+anywhere.
 
 Results for odd input: a null or empty text (or one without words) has no shingles and links
 with nothing; fewer words than ``size`` are one shingle; a null doc_id takes part but lends its
@@ -23,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, stage
@@ -31,6 +35,7 @@ from .common import documents, stage
 COUNTERS, SLICES = 1 << 18, 64
 NEED_BITS = 1 << 23
 MATCHES = (1, 2, 3, 4, 6, 8)
+PARITY = ("p0", "p1", "p2", "p3")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -73,6 +78,13 @@ def prefix(own: np.ndarray, counters: np.ndarray, percent: int) -> tuple[np.ndar
     return own[order[:base + best]], best
 
 
+def parity(own: np.ndarray) -> np.ndarray:
+    """Whether each of 256 cells of the hash space holds an odd number of shingles, as four
+    longs: sets differ in at least as many shingles as in cells."""
+    cells = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64)
+
+
 def sets_and_counters(docs: DataFrame, size: int) -> DataFrame:
     """Rows (doc_id, n, key) for documents, and (part, counts) for each task's counters."""
 
@@ -82,9 +94,11 @@ def sets_and_counters(docs: DataFrame, size: int) -> DataFrame:
         counts = np.zeros(COUNTERS, np.int64)
         some = False
         for batch in batches:
-            out: dict[str, list] = {"n": [], "key": []}
+            out: dict[str, list] = {"n": [], "key": [], **{p: [] for p in PARITY}}
             for text in batch.column("text"):
                 own = shingles(text.as_py(), size)
+                for p, x in zip(PARITY, parity(own).tolist()):
+                    out[p].append(x)
                 np.add.at(counts, (own % np.uint64(COUNTERS)).astype(np.int64), 1)
                 out["n"].append(len(own))
                 out["key"].append(int(np.uint64(xxhash.xxh64_intdigest(own.tobytes())).astype(np.int64)) if len(own) else None)
@@ -92,13 +106,13 @@ def sets_and_counters(docs: DataFrame, size: int) -> DataFrame:
             k = len(out["n"])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n": pa.array(out["n"], pa.int64()), "key": pa.array(out["key"], pa.int64()),
-                "part": pa.nulls(k, pa.int64()), "counts": pa.nulls(k, pa.binary())})
+                **{p: pa.array(out[p], pa.int64()) for p in PARITY}, "part": pa.nulls(k, pa.int64()), "counts": pa.nulls(k, pa.binary())})
         if some:
             parts = counts.reshape(SLICES, -1)
             none = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_pydict({"doc_id": none, "n": none, "key": none, "part": np.arange(SLICES), "counts": [x.tobytes() for x in parts]})
+            yield pa.RecordBatch.from_pydict({"doc_id": none, "n": none, "key": none, **{p: none for p in PARITY}, "part": np.arange(SLICES), "counts": [x.tobytes() for x in parts]})
 
-    return docs.mapInArrow(read, "doc_id long, n long, key long, part long, counts binary")
+    return docs.mapInArrow(read, f"doc_id long, n long, key long, {', '.join(f'{p} long' for p in PARITY)}, part long, counts binary")
 
 
 def summed_counters(rows: DataFrame) -> np.ndarray:
@@ -118,14 +132,14 @@ def summed_counters(rows: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, counters: np.ndarray, size: int, percent: int) -> DataFrame:
-    """h, key, n, m: one row for each prefix shingle of each class."""
+    """h, key, n, m, at (place in the class's order): one row for each prefix shingle of each class."""
     table = np.minimum(counters, 2 ** 31 - 1).astype(np.int32)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            h, key, n, m = [np.zeros(0, np.uint64)], [], [], []
+            h, key, n, m, at = [np.zeros(0, np.uint64)], [], [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), size)
                 if not len(own):
@@ -136,21 +150,66 @@ def postings(docs: DataFrame, counters: np.ndarray, size: int, percent: int) ->
                 key.append(np.full(k, np.uint64(xxhash.xxh64_intdigest(own.tobytes()))))
                 n.append(np.full(k, len(own)))
                 m.append(np.full(k, matches))
+                at.append(np.arange(k))
             if key:
                 yield pa.RecordBatch.from_pydict({
                     "h": np.concatenate(h).view(np.int64), "key": np.concatenate(key).view(np.int64),
-                    "n": np.concatenate(n).astype(np.int64), "m": np.concatenate(m).astype(np.int64)})
+                    "n": np.concatenate(n).astype(np.int64), "m": np.concatenate(m).astype(np.int64),
+                    "at": np.concatenate(at).astype(np.int64)})
+
+    rows = docs.select("text").mapInArrow(read, "h long, key long, n long, m long, at long")
+    return rows.groupBy("h", "key", "n").agg(F.min("m").alias("m"), F.min("at").alias("at"))
+
+
+SIDE = ("key", "n", "m", "at", "u", *PARITY)
+
 
-    return docs.select("text").mapInArrow(read, "h long, key long, n long, m long").groupBy("h", "key", "n").agg(F.first("m").alias("m"))
+def side(name: str, source: str = "") -> list:
+    """The posting columns as name, name_n, name_m and so on."""
+    return [F.col(f"{source}{c}").alias(name if c == "key" else f"{name}_{c}") for c in SIDE]
 
 
 def candidates(pairs: DataFrame, percent: int) -> DataFrame:
-    """a, b of pairs (with an, am, bn, bm; one row per shared prefix shingle) that share
-    enough and whose sizes allow the overlap."""
-    fits = (F.col("an") * 100 >= F.col("bn") * percent) & (F.col("bn") * 100 >= F.col("an") * percent)
-    pairs = pairs.where(fits).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("am", "bm").alias("least"), "h")
-    return pairs.groupBy("a", "b").agg(F.max("least").alias("least"), F.count(F.lit(1)).alias("shared")).where("shared >= least").select("a", "b")
+    """a, b of pairs (one row per shared prefix shingle, columns of two sides and h) that
+    share enough, and whose order leaves room for the overlap: what both share up to the
+    last shared prefix shingle is all counted, and behind it lie at most the shorter rest."""
+    swap = F.col("a") > F.col("b")
+    one = lambda c: F.when(swap, F.col(f"b{c}")).otherwise(F.col(f"a{c}"))
+    two = lambda c: F.when(swap, F.col(f"a{c}")).otherwise(F.col(f"b{c}"))
+    rows = pairs.where(may_be_similar(percent)).select(
+        "h", one("").alias("a"), two("").alias("b"), F.least("a_m", "b_m").alias("least"), (one("_n") + two("_n")).alias("sizes"),
+        (one("_n") - one("_at")).alias("a_rest"), (two("_n") - two("_at")).alias("b_rest"))
+    room = F.col("shared") - 1 + F.least("a_rest", "b_rest")
+    return (rows.groupBy("a", "b").agg(F.max("least").alias("least"), F.max("sizes").alias("sizes"), F.count(F.lit(1)).alias("shared"),
+                                       F.min("a_rest").alias("a_rest"), F.min("b_rest").alias("b_rest"))
+            .where((F.col("shared") >= F.col("least")) & (room * (100 + percent) >= F.col("sizes") * percent)).select("a", "b"))
+
+
+def may_be_similar(percent: int):
+    """Sizes allow the overlap, also without the ``u`` earlier shingles that neither can share,
+    and the sets do not differ in too many cells."""
+    sizes = F.col("a_n") + F.col("b_n")
+    room = F.least(F.col("a_n") - F.col("a_u"), F.col("b_n") - F.col("b_u"))
+    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITY), F.lit(0))
+    return (room * (100 + percent) >= sizes * percent) & (differ * (100 + percent) <= sizes * (100 - percent))
+
+
+def with_unshared(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` with ``u``: how many shingles before this one in its class's order are not in
+    ``rows``.  A partner under this shingle would hold them in its own prefix, so no partner
+    does; postings that this leaves without room for any partner go."""
+    earlier = F.row_number().over(Window.partitionBy("key", "n").orderBy("at")) - 1
+    rows = rows.withColumn("u", (F.col("at") - earlier).cast("long"))
+    return rows.where((F.col("n") - F.col("u")) * 100 >= F.col("n") * percent)
+
+
+def mixed(known: DataFrame, percent: int) -> DataFrame:
+    """Postings under shingles held in two components (``c``): only those can link further.
+    What the bound lets go may leave other shingles to one component, so twice."""
+    for _ in range(2):
+        two = known.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("h")
+        known = stage(with_unshared(known.join(two, "h"), percent), "jaccard-mixed")
+    return known
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -224,35 +283,42 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("key"), "low").unionByName(stars.select(F.col("low").alias("key"), "low").distinct())
 
 
-def join_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
+def join_components(docs: DataFrame, size: int = 3, percent: int = 90, stars: int = 2) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row.
+    ``stars`` rounds against shingles' end classes come before the exact round."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = stage(sets_and_counters(docs, size), "jaccard-base")
     counters = summed_counters(base)
-    rows = base.where(F.col("part").isNull()).select("doc_id", "n", "key")
-    classes = rows.where(F.col("key").isNotNull()).groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"))
+    rows = base.where(F.col("part").isNull()).drop("part", "counts")
+    classes = rows.where(F.col("key").isNotNull()).groupBy("key", "n").agg(
+        F.min("doc_id").alias("doc_id"), *[F.first(p).alias(p) for p in PARITY])
 
     index = stage(postings(docs, counters, size, percent), "jaccard-postings")
-    ends = index.groupBy("h").agg(F.min(F.struct("key", "n", "m")).alias("lo"), F.max(F.struct("key", "n", "m")).alias("hi"))
-    ends = ends.where(F.col("lo.key") != F.col("hi.key"))
-    met = index.join(ends, "h")
-    star = met.select("h", F.col("key").alias("a"), F.col("n").alias("an"), F.col("m").alias("am"), F.explode(F.array("lo", "hi")).alias("e"))
-    star = star.select("h", "a", "an", "am", F.col("e.key").alias("b"), F.col("e.n").alias("bn"), F.col("e.m").alias("bm")).where("a <> b")
-    # the pair of a shingle's two ends is met from both sides
-    star = stage(candidates(star.distinct(), percent), "jaccard-stars")
-    links = stage(verified(star, docs, classes, size, percent), "jaccard-links")
-    found = stage(components(links), "jaccard-found")
-
-    known = index.join(ends.select("h"), "h").join(found, "key", "left").withColumn("c", F.coalesce("low", "key"))
-    mixed = known.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("h")
-    known = stage(known.select("h", "key", "n", "m", "c").join(mixed, "h"), "jaccard-mixed")
-    left = known.select("h", F.col("key").alias("a"), F.col("n").alias("an"), F.col("m").alias("am"), F.col("c").alias("ac"))
-    right = known.select(F.col("h").alias("g"), F.col("key").alias("b"), F.col("n").alias("bn"), F.col("m").alias("bm"), F.col("c").alias("bc"))
-    fits = (F.col("an") * 100 >= F.col("bn") * percent) & (F.col("bn") * 100 >= F.col("an") * percent)
-    across = left.join(right, (F.col("h") == F.col("g")) & (F.col("ac") < F.col("bc")) & fits)
-    more = stage(candidates(across, percent).join(star, ["a", "b"], "left_anti"), "jaccard-across")
-    links = links.unionByName(verified(more, docs, classes, size, percent))
-    final = stage(components(links), "jaccard-components")
+    often = index.groupBy("h").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("h")
+    index = stage(index.join(often, "h").join(classes.drop("doc_id"), ["key", "n"]), "jaccard-shared")
+
+    known, links, tried, found = index.withColumn("low", F.lit(None).cast("long")), None, None, None
+    for step in (*["star"] * stars, "all"):
+        if found is not None:
+            known = index.join(found, "key", "left")
+        known = mixed(known.withColumn("c", F.coalesce("low", "key")).select("h", *SIDE[:4], *PARITY, "c"), percent)
+        left = known.select("h", *side("a"), F.col("c").alias("ac"))
+        if step == "star":  # a class each of two components, by an order of the shingle's own
+            end = F.struct(F.xxhash64("h", "c").alias("x"), F.xxhash64("h", "key").alias("y"), "c", *SIDE)
+            ends = known.groupBy("h").agg(F.min(end).alias("lo"), F.max(end).alias("hi"))
+            pairs = left.join(ends, "h").withColumn("e", F.explode(F.array("lo", "hi"))).where("ac <> e.c")
+            pairs = pairs.select("h", *(c for c in left.columns if c not in ("h", "ac")), *side("b", "e."))
+            pairs = pairs.where(may_be_similar(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        else:
+            right = known.select(F.col("h").alias("g"), *side("b"), F.col("c").alias("bc"))
+            pairs = left.join(right, (F.col("h") == F.col("g")) & (F.col("ac") < F.col("bc")) & may_be_similar(percent))
+            pairs = candidates(pairs, percent)
+        pairs = stage(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "jaccard-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        more = stage(verified(pairs, docs, classes, size, percent), "jaccard-links")
+        links = more if links is None else links.unionByName(more)
+        found = stage(components(links), "jaccard-found")
+    final = found
 
     label = classes.join(final, "key", "left").withColumn("low", F.coalesce("low", "key"))
     smallest = label.groupBy("low").agg(F.min("doc_id").alias("component_id"))

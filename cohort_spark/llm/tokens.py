@@ -7,6 +7,7 @@ Python worker saves encoding a frequent word again.
 from __future__ import annotations
 
 import re
+import struct
 
 #: Unicode White_Space, as the tokenizer's own pattern reads ``\s`` (fixed values).
 _WS = "\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -14,7 +15,7 @@ _WS = "\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x202
 #: characters; or white space (all but the last of a run stand together).
 CHUNK = re.compile(
     f" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[{_WS}.,])| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-MAX_CACHED, MAX_CHUNK = 600_000, 64
+MAX_CACHED, MAX_CHUNK = 1_200_000, 64
 
 
 class Encoder(dict):
@@ -31,9 +32,8 @@ class Encoder(dict):
         self.tok.encode_special_tokens = True
 
     def raw(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.tok.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.raw(chunk)
