@@ -46,6 +46,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def slices(batches, rows: int = 1000):
+    """Arrow batches of at most ``rows`` rows, so a task holds few whole texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fs_of(uri: str):
     """pyarrow file system and path of a shared folder (file, hdfs, s3, gs ...)."""
     from pyarrow import fs

@@ -19,7 +19,6 @@ items match alike; an empty table on either side gives no rows; further columns
 """
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, stage, table
+from .common import documents, slices, stage, table
 
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?…\n%$€£]")
 #: Unit names and symbols (fixed values).
@@ -40,12 +39,14 @@ UNITS = frozenset("""% $ € £ mm cm m km in ft yd mi inch inches foot feet yar
 ENDS = frozenset(".!?…\n")
 LITERAL, CAPITAL, NUMBER, UNIT, END = range(5)
 PLACE = {NUMBER: "num", UNIT: "unit", CAPITAL: "name"}
-LEAST, MAX_KNOWN = 5, 300_000
+LEAST, MAX_KNOWN, GROUP = 5, 1_000_000, 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def hash64(token: str) -> int:
-    return int.from_bytes(hashlib.blake2b(token.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+    import xxhash
+
+    return xxhash.xxh64_intdigest(token.encode("utf-8", "replace"))
 
 
 class Canon:
@@ -70,30 +71,35 @@ class Canon:
         self.used += 1
         return k
 
-    def template(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Tokens without sentence marks, their hashes, and their slot kind (LITERAL: none)."""
-        tokens = TOKEN.findall(text)
-        if not tokens:
-            return [], np.zeros(0, np.uint64), np.zeros(0, np.int8)
+    def templates(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of all texts in turn without sentence marks, their hashes, their slot kind
+        (LITERAL: none) and the number of their text."""
         if self.used > MAX_KNOWN:
             self.clear()
+        tokens: list[str] = []
+        sizes = []
+        for text in texts:
+            before = len(tokens)
+            tokens += TOKEN.findall(text)
+            tokens.append("\n")  # no sentence goes on in the next text
+            sizes.append(len(tokens) - before)
         get, new = self.at.get, self._new
         ids = np.array([k if (k := get(t)) is not None else new(t) for t in tokens])
+        of = np.repeat(np.arange(len(texts)), sizes)
         kind, hashes = self.kind[ids], self.hash[ids]
         end = kind == END
-        first = np.concatenate([[True], end[:-1]])
-        name = (kind == CAPITAL) & ~first
-        if name.any():
-            name |= (kind == CAPITAL) & np.isin(ids, ids[name])
+        capital = np.flatnonzero(kind == CAPITAL)
+        inside = capital[~np.concatenate([[True], end[:-1]])[capital]]
+        name = np.zeros(len(ids), bool)
+        both = (of.astype(np.int64) << 32) | ids
+        name[capital[np.isin(both[capital], both[inside])]] = True
         number = kind == NUMBER
         unit = (kind == UNIT) & np.concatenate([[False], number[:-1]])
         slot = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, CAPITAL, LITERAL))).astype(np.int8)
         for k, h in self.place.items():
             hashes[slot == k] = h
-        if end.any():
-            keep = ~end
-            return [t for t, k in zip(tokens, keep) if k], hashes[keep], slot[keep]
-        return tokens, hashes, slot
+        keep = np.flatnonzero(~end)
+        return [tokens[k] for k in keep.tolist()], hashes[keep], slot[keep], of[keep]
 
 
 def windows(hashes: np.ndarray, slot: np.ndarray, length: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,24 +141,28 @@ def template_windows(rows: DataFrame, id_column: str, window: int, literals: int
         c = canon()
         schema = pa.schema([("id", pa.int64()), ("place", pa.int64()), ("length", pa.int64()), ("h", pa.int64()),
                             ("slots", pa.list_(pa.string())), ("n", pa.int64())])
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {f: [] for f in schema.names}
-            for i, text in zip(batch.column("id").to_pylist(), batch.column("text")):
-                text = text.as_py()
-                if not text or i is None:
-                    continue
-                tokens, hashes, slot = c.template(text)
-                for length in lengths or ([window] if len(tokens) >= window else [len(tokens)]):
+            rows = [(i, t) for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()) if t and i is not None]
+            step = GROUP if lengths else 1
+            for k in range(0, len(rows), step):
+                group = rows[k:k + step]
+                tokens, hashes, slot, of = c.templates([t for _, t in group])
+                first = np.searchsorted(of, np.arange(len(group)))
+                for length in lengths or [min(window, len(tokens))]:
                     if length < LEAST:
                         continue
                     places, h = windows(hashes, slot, length, min(literals, -(-length // 2)) if length < window else literals)
-                    n = len(places)
+                    own = of[places] == of[places + length - 1] if len(places) else np.zeros(0, bool)
+                    places, h = places[own], h[own]
+                    n = np.bincount(of[places], minlength=len(group))
                     if bits is not None:
                         at = h % np.uint64(len(bits) * 8)
                         hit = (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
                         places, h = places[hit], h[hit]
                     for place, x in zip(places.tolist(), h.view(np.int64).tolist()):
-                        for name, value in zip(out, (i, place, length, x, slots_of(tokens, slot, place, length), n)):
+                        g = int(of[place])
+                        for name, value in zip(out, (group[g][0], place - int(first[g]), length, x, slots_of(tokens, slot, place, length), int(n[g]))):
                             out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, stage
+from .common import documents, slices, stage
 
 COUNTERS, SLICES = 1 << 18, 64
 NEED_BITS = 1 << 23
@@ -93,7 +93,7 @@ def sets_and_counters(docs: DataFrame, size: int) -> DataFrame:
 
         counts = np.zeros(COUNTERS, np.int64)
         some = False
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {"n": [], "key": [], **{p: [] for p in PARITY}}
             for text in batch.column("text"):
                 own = shingles(text.as_py(), size)
@@ -138,7 +138,7 @@ def postings(docs: DataFrame, counters: np.ndarray, size: int, percent: int) ->
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in slices(batches):
             h, key, n, m, at = [np.zeros(0, np.uint64)], [], [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), size)

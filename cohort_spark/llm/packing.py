@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import documents, shuffle_width, stage
+from .common import documents, shuffle_width, slices, stage
 
 
 # ------------------------------------------------------------------ the driver's linear program
@@ -171,7 +171,7 @@ def encoded(docs: DataFrame, vocabulary: str | None, end_id: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, uid, end = tokens.encoder(vocab), TaskContext.get().partitionId() << 40, np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             ids = [np.frombuffer(enc.encode(t.as_py()) + end, dtype="<u4") for t in batch.column("text")]
             yield pa.RecordBatch.from_pydict({
                 "uid": np.arange(uid, uid + len(ids)), "doc_id": batch.column("doc_id"),
@@ -241,7 +241,7 @@ def pack(docs: DataFrame, capacity: int = 1024, vocabulary: str | None = None, e
     wide = vocabulary_kind(vocabulary, end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {k: [] for k in ("uid", "doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
             for uid, doc, n, raw, parts in zip(*(batch.column(c) for c in ("uid", "doc_id", "n", "ids", "pieces"))):
                 values = np.frombuffer(raw.as_py(), dtype=wide).astype("<u4")
