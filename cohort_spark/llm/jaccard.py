@@ -204,12 +204,9 @@ def with_unshared(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def mixed(known: DataFrame, percent: int) -> DataFrame:
-    """Postings under shingles held in two components (``c``): only those can link further.
-    What the bound lets go may leave other shingles to one component, so twice."""
-    for _ in range(2):
-        two = known.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("h")
-        known = stage(with_unshared(known.join(two, "h"), percent), "jaccard-mixed")
-    return known
+    """Postings under shingles held in two components (``c``): only those can link further."""
+    two = known.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("h")
+    return stage(with_unshared(known.join(two, "h"), percent), "jaccard-mixed")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -283,7 +280,7 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("key"), "low").unionByName(stars.select(F.col("low").alias("key"), "low").distinct())
 
 
-def join_components(docs: DataFrame, size: int = 3, percent: int = 90, stars: int = 2) -> DataFrame:
+def join_components(docs: DataFrame, size: int = 3, percent: int = 90, stars: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row.
     ``stars`` rounds against shingles' end classes come before the exact round."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -19,6 +19,7 @@ among the labels nothing is rejected (severity 0); an empty table gives no rows;
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -137,7 +138,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[li
     n = Counter(toxic)
     weight = [counts[t] / n[t] for t in toxic]
     scale = len(weight) / sum(weight) if weight else 1
-    return [set(r["words"].split()) for r in got], toxic, [w * scale for w in weight]
+    return [{sys.intern(w) for w in r["words"].split()} for r in got], toxic, [w * scale for w in weight]
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> Ordinal:
