@@ -62,14 +62,16 @@ def _with_totals(freq: DataFrame) -> DataFrame:
 
 
 def jensen_shannon(freq: DataFrame) -> DataFrame:
-    """(column, js) -- distance with natural log, shares over non-null values."""
+    """(column, js) -- distance with natural log, shares over non-null values; null when a
+    side holds no value at all."""
     f = _with_totals(freq)
-    p = F.col("n_ref") / F.col("tot_ref")
-    q = F.col("n_cur") / F.col("tot_cur")
+    p = F.try_divide(F.col("n_ref"), F.col("tot_ref"))
+    q = F.try_divide(F.col("n_cur"), F.col("tot_cur"))
     m = (p + q) / 2
     term = (F.when(p > 0, p * F.log(p / m)).otherwise(0.0)
             + F.when(q > 0, q * F.log(q / m)).otherwise(0.0))
-    return f.groupBy("column").agg(F.sqrt(F.greatest(F.sum(term) / 2, F.lit(0.0))).alias("js"))
+    some = (F.max("tot_ref") > 0) & (F.max("tot_cur") > 0)
+    return f.groupBy("column").agg(F.when(some, F.sqrt(F.greatest(F.sum(term) / 2, F.lit(0.0)))).alias("js"))
 
 
 def cdf_table(freq_num: DataFrame) -> DataFrame:
@@ -80,8 +82,8 @@ def cdf_table(freq_num: DataFrame) -> DataFrame:
                           "pos": F.lit(1).cast("long")}, ["column"])
     nxt = cum.select("column", (F.col("pos") - 1).alias("pos"), F.col("value").alias("next_value"))
     j = cum.join(nxt, ["column", "pos"], "left")
-    return j.withColumns({"F_ref": F.col("c_ref") / F.col("tot_ref"),
-                          "F_cur": F.col("c_cur") / F.col("tot_cur")})
+    return j.withColumns({"F_ref": F.try_divide(F.col("c_ref"), F.col("tot_ref")),
+                          "F_cur": F.try_divide(F.col("c_cur"), F.col("tot_cur"))})
 
 
 def wasserstein_ks(freq_num: DataFrame, ref_std: DataFrame) -> DataFrame:
@@ -109,8 +111,8 @@ def chi2_statistic(freq: DataFrame) -> DataFrame:
     f = _with_totals(freq)
     n = F.col("tot_ref") + F.col("tot_cur")
     tot = F.col("n_ref") + F.col("n_cur")
-    s = (F.col("n_ref") * F.col("n_ref") / (F.col("tot_ref") * tot)
-         + F.col("n_cur") * F.col("n_cur") / (F.col("tot_cur") * tot))
+    s = (F.try_divide(F.col("n_ref") * F.col("n_ref"), F.col("tot_ref") * tot)
+         + F.try_divide(F.col("n_cur") * F.col("n_cur"), F.col("tot_cur") * tot))
     return f.groupBy("column").agg((F.first(n) * (F.sum(s) - 1)).alias("chi2"))
 
 
@@ -168,8 +170,8 @@ def psi(ref: DataFrame, cur: DataFrame, columns: list[str], bins: int = C.PSI_BI
         F.count_if(F.col("side") == "ref").alias("n_ref"),
         F.count_if(F.col("side") == "cur").alias("n_cur"))
     f = _with_totals(freq)
-    r = F.greatest(F.col("n_ref") / F.col("tot_ref"), F.lit(eps))
-    c = F.greatest(F.col("n_cur") / F.col("tot_cur"), F.lit(eps))
+    r = F.greatest(F.try_divide(F.col("n_ref"), F.col("tot_ref")), F.lit(eps))
+    c = F.greatest(F.try_divide(F.col("n_cur"), F.col("tot_cur")), F.lit(eps))
     return f.groupBy("column").agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
 
 

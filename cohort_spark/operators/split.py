@@ -23,7 +23,7 @@ def stratified_split(df: DataFrame, key: str, label: str = C.TARGET, seed: int =
     """Add ``split`` ('train'/'test').
 
     ``exact``: within each class the first ceil(n_c·f) rows in hash order are
-    test (scalable running count; class counts are a broadcast 2-row table).
+    test (scalable running count); rows without a label are a class of their own.
     ``hash``: a row is test when its salted hash falls below ``f`` -- no
     shuffle at all, class shares are binomial around ``f`` (recommended for very
     large tables); both are deterministic and disjoint."""
@@ -33,7 +33,8 @@ def stratified_split(df: DataFrame, key: str, label: str = C.TARGET, seed: int =
     h, pre = md5_key(seed, F.col(key))
     d = positions(df.withColumns({"_h": h, "_hp": pre}), F.col("_hp"), [F.col("_h")],
                   groups=[label], out="_pos")
-    d = d.join(F.broadcast(_class_counts(df, label)), label)
+    counts = _class_counts(df, label).withColumnRenamed(label, "_label")
+    d = d.join(counts, d[label].eqNullSafe(counts["_label"])).drop("_label")
     is_test = F.col("_pos") <= F.ceil(F.col("_nc") * F.lit(test_frac))
     return (d.withColumn("split", F.when(is_test, "test").otherwise("train"))
             .drop("_h", "_hp", "_pos", "_nc"))

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 def get_spark(master: str | None = None, partitions: int | None = None,
               app: str = "cohort_spark") -> SparkSession:
     """Build (or reuse) a session with the settings this library assumes."""
-    master = master or os.environ.get("COHORT_SPARK_MASTER", "local[8]")
+    from pyspark import SparkConf
+    # a submit names its own master; local threads only where nothing does
+    master = master or os.environ.get("COHORT_SPARK_MASTER") or SparkConf().get("spark.master", "local[8]")
     parts = partitions or int(os.environ.get("COHORT_SPARK_PARTITIONS", "8"))
     builder = (
         SparkSession.builder.master(master).appName(app)
@@ -50,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share: "
+                           f"on {sc.master} a machine-local folder would lose data")
     path = tempfile.mkdtemp(prefix="cohort-spark-ckpt-")
     sc.setCheckpointDir(path)
     return path
