@@ -19,7 +19,6 @@ among the labels nothing is rejected (severity 0); an empty table gives no rows;
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -56,34 +55,36 @@ class Ordinal:
         return sum(self.weights[w] for w in self.weights.keys() & words)
 
 
-def chosen_features(rows: list[set[str]], grades: np.ndarray, weight: np.ndarray, min_docs: int, min_z: float, most: int) -> list[str]:
-    """Words whose presence goes with the grade: |z| of the score statistic."""
-    df = Counter(w for r in rows for w in r)
-    often = {w: i for i, w in enumerate(sorted(w for w, n in df.items() if n >= min_docs))}
-    n, s = np.zeros(len(often)), np.zeros(len(often))
+def chosen_features(flat: np.ndarray, of: np.ndarray, names: list[str], grades: np.ndarray, weight: np.ndarray,
+                    min_docs: int, min_z: float, most: int) -> list[int]:
+    """Words (``flat``, each in row ``of``) whose presence goes with the grade: |z| of the score statistic."""
     centred = grades - np.average(grades, weights=weight)
-    for r, c in zip(rows, centred):
-        own = [often[w] for w in r & often.keys()]
-        n[own] += 1
-        s[own] += c
+    n, s = np.bincount(flat, minlength=len(names)), np.bincount(flat, centred[of], len(names))
     z = s / np.sqrt(np.maximum(n, 1) * max(1e-12, float(np.average(centred ** 2, weights=weight))))
-    names = list(often)
-    order = sorted(np.flatnonzero(np.abs(z) >= min_z), key=lambda i: (-abs(z[i]), names[i]))[:most]
-    return [names[i] for i in order]
+    strong = np.flatnonzero((n >= min_docs) & (np.abs(z) >= min_z))
+    return sorted(strong.tolist(), key=lambda i: (-abs(z[i]), names[i]))[:most]
 
 
-def fit(rows: list[set[str]], grades: list[int], weight: list[float] | None = None, min_docs: int = 8,
+def flattened(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All rows' word numbers in turn, and the row of each."""
+    return np.concatenate([*rows, np.zeros(0, np.int32)]), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+
+
+def fit(rows: list[np.ndarray], names: list[str], grades: list[int], weight: list[float] | None = None, min_docs: int = 8,
         min_z: float = 8.0, most_features: int = 4096, ridge: float = 0.05, steps: int = 500) -> Ordinal:
-    """Weighted maximum likelihood with a ridge on the weights, by Adam on the full sample."""
+    """Weighted maximum likelihood with a ridge on the weights, by Adam on the full sample.
+    Rows are the numbers of their different words in ``names``."""
     y = np.array(grades)
     k = int(y.max(initial=0))
     if not k or len(set(grades)) < 2:
         return Ordinal()
     own = np.ones(len(y)) if weight is None else np.array(weight)
-    names = chosen_features(rows, y.astype(float), own, min_docs, min_z, most_features)
-    at = {w: i for i, w in enumerate(names)}
-    cols = [np.array(sorted(at[w] for w in r & at.keys()), dtype=np.int64) for r in rows]
-    flat, rid = np.concatenate([*cols, np.zeros(0, np.int64)]), np.repeat(np.arange(len(rows)), [len(c) for c in cols])
+    flat, rid = flattened(rows)
+    chosen = chosen_features(flat, rid, names, y.astype(float), own, min_docs, min_z, most_features)
+    place = np.full(len(names), -1)
+    place[chosen] = np.arange(len(chosen))
+    names, flat = [names[i] for i in chosen], place[flat]
+    flat, rid = flat[flat >= 0], rid[flat >= 0]
     share = np.array([np.average(y <= j, weights=own) for j in range(k)]).clip(1e-4, 1 - 1e-4)
     start = np.log(share / (1 - share))
     # theta_0, then log gaps: the order holds by construction
@@ -109,18 +110,20 @@ def fit(rows: list[set[str]], grades: list[int], weight: list[float] | None = No
     return Ordinal({n: float(x) for n, x in zip(names, w)}, tuple(theta.tolist()))
 
 
-def evidence_grades(rows: list[set[str]], toxic: list[int], least: float = 0.02) -> list[int]:
+def evidence_grades(rows: list[np.ndarray], names: list[str], toxic: list[int], least: float = 0.02) -> list[int]:
     """Grades 0 .. 3 from 0/1 labels, by different marker words (terciles)."""
     n1, n0 = max(1, sum(toxic)), max(1, len(toxic) - sum(toxic))
-    one, zero = Counter(w for r, t in zip(rows, toxic) if t for w in r), Counter(w for r, t in zip(rows, toxic) if not t for w in r)
-    marks = {w for w, n in one.items() if n >= 2 and n / n1 >= least and zero[w] / n0 <= 0.1 * n / n1}
-    held = [len(r & marks) for r in rows]
+    flat, of = flattened(rows)
+    one = np.bincount(flat, np.array(toxic, float)[of], len(names))
+    zero = np.bincount(flat, minlength=len(names)) - one
+    marks = (one >= 2) & (one / n1 >= least) & (zero / n0 <= 0.1 * one / n1)
+    held = [int(marks[r].sum()) for r in rows]
     cuts = np.quantile([h for h, t in zip(held, toxic) if t] or [0], [1 / 3, 2 / 3])
     return [1 + int((h > cuts).sum()) if t else 0 for h, t in zip(held, toxic)]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[list[set[str]], list[int], list[float]]:
-    """Words, 0/1 label and weight of at most ``sample`` labelled rows."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[list[np.ndarray], list[str], list[int], list[float]]:
+    """Numbers of their different words, the words, 0/1 labels and weights of at most ``sample`` labelled rows."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = {1: sample // 3, 0: sample - sample // 3}
@@ -134,16 +137,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[li
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few, "doc_id").select("toxic", "text")
     got = rows.mapInArrow(words, "toxic long, words string").limit(2 * sample).collect()
+    at: dict[str, int] = {}
+    rows = [np.array([at.setdefault(w, len(at)) for w in r["words"].split()], np.int32) for r in got]
     toxic = [r["toxic"] for r in got]
     n = Counter(toxic)
     weight = [counts[t] / n[t] for t in toxic]
     scale = len(weight) / sum(weight) if weight else 1
-    return [{sys.intern(w) for w in r["words"].split()} for r in got], toxic, [w * scale for w in weight]
+    return rows, list(at), toxic, [w * scale for w in weight]
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> Ordinal:
-    rows, toxic, weight = labelled_sample(docs, labels, sample)
-    return fit(rows, evidence_grades(rows, toxic), weight) if len(set(toxic)) == 2 else Ordinal()
+    rows, names, toxic, weight = labelled_sample(docs, labels, sample)
+    return fit(rows, names, evidence_grades(rows, names, toxic), weight) if len(set(toxic)) == 2 else Ordinal()
 
 
 def score(docs: DataFrame, model: Ordinal, cut: float = 0.5) -> DataFrame:
