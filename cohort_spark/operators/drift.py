@@ -20,13 +20,16 @@ share > 0.10 OR any top-feature PSI > 0.20 OR labelled PR-AUC < 0.15.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..functions.columns import col, quantile_columns, round_half_up
+from ..functions.columns import add_utilization_features, age_bucket, col, quantile_columns, round_half_up
 from .ordered import running_totals
 from .split import hash_fraction
 
@@ -200,48 +203,55 @@ def retrain_decision(share: DataFrame, psis: DataFrame, prauc: DataFrame | None
         s["column"], F.lit("="), F.format_string("%.2f", round_half_up(s["psi"], 2)))), ", ")
     reasons = F.array_compact(F.array(
         F.when(F.col("share") > C.DRIFT_SHARE, F.concat(
-            F.lit("dataset-drift share "), F.format_string("%.3f", round_half_up(F.col("share"), 3)),
-            F.lit(f" > {C.DRIFT_SHARE}"))),
-        F.when(F.size("h") > 0, F.concat(F.lit(f"PSI>{C.PSI_THRESHOLD} on top-SHAP feature(s): "),
+            F.lit("drifted columns: "), F.format_string("%.3f", round_half_up(F.col("share"), 3)),
+            F.lit(f" of all, at most {C.DRIFT_SHARE} allowed"))),
+        F.when(F.size("h") > 0, F.concat(F.lit(f"watched features with PSI over {C.PSI_THRESHOLD}: "),
                                          hot_txt)),
         F.when(F.col("new_data_prauc") < C.PRAUC_FLOOR, F.concat(
-            F.lit("new-data PR-AUC "), F.format_string("%.3f", round_half_up(F.col("new_data_prauc"), 3)),
-            F.lit(f" < {C.PRAUC_FLOOR}")))))
+            F.lit("average precision: "), F.format_string("%.3f", round_half_up(F.col("new_data_prauc"), 3)),
+            F.lit(f", at least {C.PRAUC_FLOOR} wanted")))))
     return j.select((F.size(reasons) > 0).alias("trigger"), F.size(reasons).alias("n_reasons"),
                     F.array_join(reasons, "; ").alias("reasons"))
 
 
-def what_if_shift(df: DataFrame, key: str, age_shift: int = 20, diag1_frac: float = 0.40,
-                  inpatient_bump: int = 2, emergency_frac: float = 0.30,
-                  seed: int = C.SPLIT_SEED) -> DataFrame:
-    """Deliberate scenario shift of a featurized batch: ages older (clipped to
-    5..95, bucket recomputed), a share of primary diagnoses recoded to
-    Circulatory, more prior inpatient stays (derived columns kept coherent),
-    a share of admissions recoded to Emergency.  Shares are salted-hash
-    thresholds, so the shift is reproducible."""
-    out = df
-    if age_shift:
-        mid = F.least(F.greatest(F.col("age_midpoint") + age_shift, F.lit(5)), F.lit(95)).cast("short")
-        out = out.withColumn("age_midpoint", mid).withColumn(
-            "age_bucket", F.when(F.col("age_midpoint") >= 60, "[60-100)")
-            .when(F.col("age_midpoint") >= 30, "[30-60)").otherwise("[0-30)"))
-    if diag1_frac:
-        out = out.withColumn("diag_1_bucket", F.when(hash_fraction(key, f"{seed}-diag", diag1_frac),
-                                                     F.lit("Circulatory")).otherwise(F.col("diag_1_bucket")))
-    if inpatient_bump:
-        out = out.withColumns({
-            "number_inpatient": (F.col("number_inpatient") + inpatient_bump).cast("int"),
-            "service_utilization": (F.col("service_utilization") + inpatient_bump).cast("int")})
-        out = out.withColumn("inpatient_ge_2", (F.col("number_inpatient") >= 2).cast("byte"))
-    if emergency_frac:
-        out = out.withColumn("admission_type_grp", F.when(
-            hash_fraction(key, f"{seed}-adm", emergency_frac), F.lit("Emergency"))
-            .otherwise(F.col("admission_type_grp")))
-    return out
-
-
-SHIFTED_FEATURES = sorted(["age_midpoint", "age_bucket", "diag_1_bucket", "number_inpatient",
-                           "service_utilization", "inpatient_ge_2", "admission_type_grp"])
+@dataclass(frozen=True)
+class Shift:
+    """``column`` becomes ``value(column)`` in a ``fraction`` of the rows (by salted hash, so
+    the same rows are hit each time)."""
+
+    column: str
+    value: Callable[[Column], Column]
+    fraction: float = 1.0
+    salt: str = ""
+
+
+#: The registered scenario (fixed values).
+SCENARIO = (
+    Shift("number_inpatient", lambda c: c + 2),
+    Shift("admission_type_grp", lambda c: F.lit("Emergency"), 0.30, "adm"),
+    Shift("diag_1_bucket", lambda c: F.lit("Circulatory"), 0.40, "diag"),
+    Shift("age_midpoint", lambda c: F.least(F.greatest(c + 20, F.lit(5)), F.lit(95))),
+)
+#: What the feature functions derive from a column.
+FOLLOWERS = {"age_midpoint": ["age_bucket"], "number_inpatient": ["service_utilization", "inpatient_ge_2"]}
+SHIFTED_FEATURES = sorted({c for s in SCENARIO for c in (s.column, *FOLLOWERS.get(s.column, []))})
+
+
+def shifted(df: DataFrame, key: str, shifts: tuple[Shift, ...] = SCENARIO, seed: int = C.SPLIT_SEED) -> DataFrame:
+    """A featurized batch under the given shift rules, in one projection; columns derived
+    from a shifted one are computed again by the feature functions."""
+    types = dict(df.dtypes)
+
+    def after(s: Shift) -> Column:
+        new = s.value(F.col(s.column)).cast(types[s.column])
+        return new if s.fraction >= 1 else F.when(
+            hash_fraction(key, f"{seed}-{s.salt}", s.fraction), new).otherwise(F.col(s.column))
+
+    moved = {s.column: after(s) for s in shifts}
+    out = df.withColumns(moved)
+    if "number_inpatient" in moved:
+        out = add_utilization_features(out)
+    return out.withColumn("age_bucket", age_bucket(F.col("age_midpoint"))) if "age_midpoint" in moved else out
 
 
 def rounded_psi(psis: DataFrame) -> DataFrame:

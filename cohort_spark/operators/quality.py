@@ -27,35 +27,64 @@ class Check:
     hi: float | None = None
 
 
+@dataclass(frozen=True)
+class Field:
+    """One declared column; suites, contract rows and row rules are all read off it."""
+
+    name: str
+    levels: list | None = None             # allowed values
+    bounds: tuple[int, int] | None = None  # inclusive integer range
+    mean: tuple[float, float] | None = None
+    nullable: bool = False                 # may be the missing token
+    required: bool = False                 # a null breaks the table's suite
+    unique: bool = False
+    request: bool = False                  # part of a scoring request
+
+    @property
+    def kind(self) -> str:
+        return "categorical" if self.levels else "integer" if self.bounds else "string"
+
+    def checks(self) -> list[Check]:
+        """The table checks this declaration stands for."""
+        token = [C.MISSING_TOKEN] if self.nullable else []
+        stated = {
+            "unique": self.unique and Check("unique", self.name),
+            "not_null": self.required and Check("not_null", self.name),
+            "in_set": self.levels and Check("in_set", self.name, self.levels + token),
+            "between": self.bounds and Check("between", self.name, lo=self.bounds[0], hi=self.bounds[1]),
+            "mean": self.mean and Check("mean_between", self.name, lo=self.mean[0], hi=self.mean[1])}
+        return [c for c in stated.values() if c]
+
+
+def raw_fields() -> list[Field]:
+    """The raw table, column by column."""
+    levels = C.CATEGORICAL_VALUES | dict.fromkeys(C.ALL_DRUGS, C.DRUG_VALUES) | {C.TARGET_RAW: C.READMITTED_VALUES}
+    outside = {*C.KEY_COLS, *C.DROPPED_IN_CLEANING, C.TARGET_RAW}
+    return [Field(c, levels=levels.get(c), bounds=C.INT_RANGES.get(c), nullable=c in C.NULLABLE,
+                  required=c == "gender", request=c not in outside) for c in C.RAW_COLUMNS]
+
+
+def featurized_fields() -> list[Field]:
+    """The declared columns of the featurized table."""
+    levels = {C.TARGET: [0, 1], "a1c_state": C.A1C_STATE_VALUES, "age_bucket": C.AGE_BUCKET_VALUES,
+              **{f"{d}_bucket": C.DIAG_BUCKETS for d in C.DIAG_COLS}}
+    return [Field(c, levels=levels.get(c), unique=c == "patient_nbr", required=c in C.ENGINEERED_FEATURES,
+                  mean=C.POS_RATE_RANGE if c == C.TARGET else None)
+            for c in ("patient_nbr", C.TARGET, *C.ENGINEERED_FEATURES)]
+
+
+def suite_of(fields: list[Field], *table_checks: Check) -> list[Check]:
+    return [*table_checks, *(c for f in fields for c in f.checks())]
+
+
 def raw_suite() -> list[Check]:
-    """45 checks on the raw table read literally (``?`` kept as a string)."""
-    checks = [Check("columns_match", values=list(C.RAW_COLUMNS)),
-              Check("row_count", lo=1),
-              Check("in_set", C.TARGET_RAW, list(C.READMITTED_VALUES)),
-              Check("not_null", "gender")]
-    for c, vals in C.CATEGORICAL_VALUES.items():
-        checks.append(Check("in_set", c, list(vals) + ([C.MISSING_TOKEN] if c in C.NULLABLE else [])))
-    for c, (lo, hi) in C.INT_RANGES.items():
-        checks.append(Check("between", c, lo=lo, hi=hi))
-    for d in C.ALL_DRUGS:
-        checks.append(Check("in_set", d, list(C.DRUG_VALUES)))
-    return checks
+    """Checks on the raw table read literally (``?`` kept as a string)."""
+    return suite_of(raw_fields(), Check("columns_match", values=C.RAW_COLUMNS), Check("row_count", lo=1))
 
 
 def processed_suite() -> list[Check]:
-    """28 checks on the featurized table."""
-    checks = [Check("column_count", lo=C.N_FEATURIZED_COLUMNS),
-              Check("row_count", lo=1),
-              Check("unique", "patient_nbr"),
-              Check("in_set", C.TARGET, [0, 1]),
-              Check("mean_between", C.TARGET, lo=C.POS_RATE_RANGE[0], hi=C.POS_RATE_RANGE[1]),
-              Check("in_set", "a1c_state", list(C.A1C_STATE_VALUES)),
-              Check("in_set", "age_bucket", list(C.AGE_BUCKET_VALUES))]
-    for c in ("diag_1_bucket", "diag_2_bucket", "diag_3_bucket"):
-        checks.append(Check("in_set", c, list(C.DIAG_BUCKETS)))
-    for c in C.ENGINEERED_FEATURES:
-        checks.append(Check("not_null", c))
-    return checks
+    """Checks on the featurized table."""
+    return suite_of(featurized_fields(), Check("column_count", lo=C.N_FEATURIZED_COLUMNS), Check("row_count", lo=1))
 
 
 def _violation(chk: Check) -> Column | None:
@@ -158,20 +187,10 @@ def inject_bad_row(df: DataFrame, column: str, value, key: str = "encounter_id")
 
 # --------------------------------------------------------------- contract
 def contract_fields() -> list[dict]:
-    """The 44 request fields with their rules, sorted by name."""
-    fields = {}
-    for c, vals in C.CATEGORICAL_VALUES.items():
-        fields[c] = dict(type="categorical", allowed=list(vals), nullable=c in C.NULLABLE,
-                         min=None, max=None)
-    for d in C.MODEL_DRUGS:
-        fields[d] = dict(type="categorical", allowed=list(C.DRUG_VALUES), nullable=False,
-                         min=None, max=None)
-    for c in C.STRING_FIELDS:
-        fields[c] = dict(type="string", allowed=None, nullable=c in C.NULLABLE,
-                         min=None, max=None)
-    for c, (lo, hi) in C.INT_RANGES.items():
-        fields[c] = dict(type="integer", allowed=None, nullable=False, min=lo, max=hi)
-    return [dict(field=k, **v) for k, v in sorted(fields.items())]
+    """The request fields with their rules, by name."""
+    asked = {f.name: f for f in raw_fields() if f.request}
+    return [{"field": n, "type": f.kind, "allowed": f.levels, "nullable": f.nullable,
+             "min": f.bounds and f.bounds[0], "max": f.bounds and f.bounds[1]} for n, f in sorted(asked.items())]
 
 
 CONTRACT_SCHEMA = T.StructType([

@@ -34,7 +34,7 @@ def drift_inputs(spark, sf_dir):
               .where("constant").collect()}
     cols = [c for c in feats if c not in consts] + ["prediction"]
     control = s.where(F.col("split") == "test")
-    shifted = DR.what_if_shift(control, "encounter_id")
+    shifted = DR.shifted(control, "encounter_id")
     return ref, {"control": control, "shifted": shifted}, cols
 
 

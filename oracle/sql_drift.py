@@ -153,9 +153,9 @@ def _decision(b: str) -> str:
            f"FROM psi_{b} WHERE psi > 0.2)")
     share = f"(SELECT share FROM ds_{b})"
     ap = _ap(b)
-    r1 = f"CASE WHEN {share} > 0.1 THEN 'dataset-drift share ' || printf('%.3f', {rn(share, 3)}) || ' > 0.1' END"
-    r2 = f"CASE WHEN {hot} IS NOT NULL THEN 'PSI>0.2 on top-SHAP feature(s): ' || {hot} END"
-    r3 = f"CASE WHEN {ap} < 0.15 THEN 'new-data PR-AUC ' || printf('%.3f', {rn(ap, 3)}) || ' < 0.15' END"
+    r1 = f"CASE WHEN {share} > 0.1 THEN 'drifted columns: ' || printf('%.3f', {rn(share, 3)}) || ' of all, at most 0.1 allowed' END"
+    r2 = f"CASE WHEN {hot} IS NOT NULL THEN 'watched features with PSI over 0.2: ' || {hot} END"
+    r3 = f"CASE WHEN {ap} < 0.15 THEN 'average precision: ' || printf('%.3f', {rn(ap, 3)}) || ', at least 0.15 wanted' END"
     n = " + ".join(f"CAST(({r}) IS NOT NULL AS INTEGER)" for r in (r1, r2, r3))
     return (f"SELECT ({n}) > 0 AS trigger, CAST({n} AS INTEGER) AS n_reasons, concat_ws('; ', {r1}, {r2}, {r3}) "
             f"AS reasons, '{b}' AS batch")

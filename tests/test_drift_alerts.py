@@ -21,7 +21,7 @@ def test_retrain_reasons_sorted_by_psi(spark):
     s = spark.createDataFrame([(0.2,)], "share double")
     psis = spark.createDataFrame([("a", 0.3), ("b", 0.9), ("c", 0.1)], "column string, psi double")
     dec = DR.retrain_decision(s, psis).first()
-    assert dec.trigger and dec.reasons.startswith("dataset-drift share 0.200 > 0.1; PSI>0.2")
+    assert dec.trigger and dec.reasons.startswith("drifted columns: 0.200 of all, at most 0.1 allowed; watched features with PSI over 0.2: ")
     assert dec.reasons.endswith("b=0.90, a=0.30")
 
 
