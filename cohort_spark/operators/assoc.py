@@ -3,7 +3,6 @@ association, diagnosis and medication landscapes, subgroup rates with Wilson
 intervals, encounter distribution, split leakage and prior-visit signal."""
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,48 +36,32 @@ def corr_pearson(df: DataFrame) -> DataFrame:
     return _pairwise_corr(_corr_frame(df), CORR_COLUMNS)
 
 
-def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, rank): ties share the average rank, over each column's
-    non-null values.  One unpivoted value-frequency table and ONE scalable
-    running count for all columns (no single-task window)."""
-    freq = (df.select(*[col(c).cast("double").alias(c) for c in columns])
-            .unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
-            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    cum = running_totals(freq, F.col("value"), [F.col("value")], {"below_incl": F.col("cnt")},
-                         ["column"])
-    return cum.select("column", "value", (F.col("below_incl") - F.col("cnt")
-                                          + (F.col("cnt") + 1) / F.lit(2.0)).alias("rank"))
-
-
-BROADCAST_MAX_VALUES = 2_000_000   # rank-table rows per column that may be broadcast
-
-
-def corr_spearman(df: DataFrame, key: str = "encounter_id") -> DataFrame:
-    """Spearman = Pearson of average ranks.  Ranks are taken over each column's
-    non-null values, which equals pairwise-complete Spearman when the columns
-    have no nulls (true for the profiled counts, age ordinal and label).
-
-    The rank table has one row per (column, distinct value).  When every
-    column's table is at most BROADCAST_MAX_VALUES rows (checked with one
-    small count per column), each column's ranks are joined by broadcast;
-    otherwise rows are unpivoted to (key, column, value), joined once on
-    (column, value) and regrouped by the row key (two shuffles)."""
-    frame = _corr_frame(df, (key,)).withColumnRenamed(key, "_key")   # key: one row each
-    ranks = average_ranks(frame, CORR_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
-    if sizes and max(sizes.values()) <= BROADCAST_MAX_VALUES:
-        ranked = frame
-        for c in CORR_COLUMNS:
-            r = F.broadcast(ranks.where(F.col("column") == c).select(
-                F.col("value").alias(f"_v_{c}"), F.col("rank").alias(f"_r_{c}")))
-            ranked = ranked.join(r, ranked[c] == r[f"_v_{c}"], "left").drop(f"_v_{c}")
-        wide = ranked.select(*[F.col(f"_r_{c}").alias(c) for c in CORR_COLUMNS])
-    else:
-        long = (frame.select("_key", *CORR_COLUMNS)
-                .unpivot(["_key"], CORR_COLUMNS, "column", "value").where(F.col("value").isNotNull()))
-        wide = long.join(ranks, ["column", "value"]).groupBy("_key").agg(*[
-            F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c) for c in CORR_COLUMNS])
-    return _pairwise_corr(wide, CORR_COLUMNS)
+def _average_ranks(cells: DataFrame, value: str) -> DataFrame:
+    """(a, b, ``value``, its average rank) within each pair of columns."""
+    freq = cells.groupBy("a", "b", value).agg(F.sum("n").alias("cnt"))
+    cum = running_totals(freq, F.col(value), [F.col(value)], {"upto": F.col("cnt")}, ["a", "b"])
+    return cum.select("a", "b", value, (F.col("upto") - (F.col("cnt") - 1) / F.lit(2.0)).alias(f"rank_{value}"))
+
+
+def corr_spearman(df: DataFrame) -> DataFrame:
+    """Spearman = Pearson of average ranks, pairwise complete: each pair is ranked over the
+    rows where both columns are present.
+
+    One table of cells (a, b, x, y, n) for all pairs; ranks come from its marginals and are
+    joined back to the cells, so a value that most rows share is one row per partner value.
+    The mean rank of N rows is (N + 1) / 2 whatever the ties, so one centred aggregation ends it."""
+    frame = _corr_frame(df)
+    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), col(a).alias("x"), col(b).alias("y"))
+             for i, a in enumerate(CORR_COLUMNS) for b in CORR_COLUMNS[i + 1:]]
+    cells = (frame.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+             .where(F.col("x").isNotNull() & F.col("y").isNotNull())
+             .groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).alias("n")))
+    middle = cells.groupBy("a", "b").agg(((F.sum("n") + 1) / F.lit(2.0)).alias("middle"))
+    ranked = (cells.join(_average_ranks(cells, "x"), ["a", "b", "x"]).join(_average_ranks(cells, "y"), ["a", "b", "y"])
+              .join(F.broadcast(middle), ["a", "b"]))   # one row per pair of columns
+    dx, dy = F.col("rank_x") - F.col("middle"), F.col("rank_y") - F.col("middle")
+    sums = ranked.groupBy("a", "b").agg(*[F.sum(F.col("n") * p).alias(k) for k, p in (("xy", dx * dy), ("xx", dx * dx), ("yy", dy * dy))])
+    return sums.select("a", "b", round_half_up(F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy"))), 3).alias("corr"))
 
 
 def corr_top_pairs(corr: DataFrame, k: int = 8) -> DataFrame:

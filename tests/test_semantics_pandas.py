@@ -83,3 +83,23 @@ def test_psi_matches_numpy_histogram(spark, sf_dir):
     rp, cp = ref.toPandas(), cur.toPandas()
     for c in cols:
         assert got[c] == pytest.approx(_psi_numpy(rp[c], cp[c]), rel=1e-9, abs=1e-12)
+
+
+def test_spearman_is_pairwise_complete(spark):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):  # every key twice, nulls in two columns, one constant column
+        base = rnd.randrange(6)
+        rows.append((*[base + rnd.randrange(4) for _ in A.C.UTILIZATION_NUMERIC_COLS[:-1]], 7, rnd.choice(A.C.AGE_ORDER), int(base > 3)))
+    names = A.C.UTILIZATION_NUMERIC_COLS
+    rows = [(*(None if (j == 1 and i % 5 < 2) or (j == 4 and i % 3 == 0) else v for j, v in enumerate(r)),) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(rows + rows, ", ".join(f"{n} int" for n in names) + f", age string, {A.TARGET_BINARY} int")
+    pdf = df.toPandas()
+    pdf["age_ordinal"] = pdf.pop("age").map({a: i for i, a in enumerate(A.C.AGE_ORDER)})
+    want = pdf.astype(float).corr(method="spearman")
+    got = A.corr_spearman(df).collect()
+    assert len(got) == 45
+    for r in got:
+        w = want.loc[r.a, r.b]
+        assert (r["corr"] is None) if w != w else abs(r["corr"] - w) <= 0.00051, (r, w)
