@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, slices, stage
+from .tokens import release
 
 COUNTERS, SLICES = 1 << 18, 64
 NEED_BITS = 1 << 23
@@ -91,6 +92,7 @@ def sets_and_counters(docs: DataFrame, size: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        release()
         counts = np.zeros(COUNTERS, np.int64)
         some = False
         for batch in slices(batches):
@@ -218,11 +220,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
     marks = np.zeros(NEED_BITS // 64, np.int64)
     for r in ids.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).collect():
         marks[r["word"]] = r["bits"]
-    bits = np.unpackbits(marks.view(np.uint8), bitorder="little").astype(bool)
 
     def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(bits[batch.column("at").to_numpy()])).select(["doc_id", "text"])
+            places = batch.column("at").to_numpy()
+            yield batch.filter(pa.array((marks[places >> 6] >> (places & 63) & 1).astype(bool))).select(["doc_id", "text"])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash

@@ -55,6 +55,13 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def release() -> None:
+    """Empty the chunk tables of this worker process: Spark reuses workers, and tasks that
+    encode nothing should not hold what earlier ones filled."""
+    for known in _ENCODERS.values():
+        known.clear()
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
