@@ -214,33 +214,28 @@ def mixed(known: DataFrame, percent: int) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs of classes whose full sets are similar enough."""
     needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    ids = stage(classes.join(needed, "key").select("key", "doc_id"), "jaccard-needed")
-    # documents out of the question stay where they are: a bit filter of fixed size
+    needed = stage(classes.join(needed, "key").select("key", "doc_id"), "jaccard-needed")
+    # texts out of the question are not hashed again: a bit filter of fixed size
     at = F.pmod(F.xxhash64("doc_id"), F.lit(NEED_BITS))
     marks = np.zeros(NEED_BITS // 64, np.int64)
-    for r in ids.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).collect():
+    for r in needed.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).collect():
         marks[r["word"]] = r["bits"]
 
-    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places = batch.column("at").to_numpy()
-            yield batch.filter(pa.array((marks[places >> 6] >> (places & 63) & 1).astype(bool))).select(["doc_id", "text"])
-
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
+            places = batch.column("at").to_numpy()
+            batch = batch.filter(pa.array((marks[places >> 6] >> (places & 63) & 1).astype(bool)))
+            for part in slices([batch], 512):
                 sets = [shingles(t.as_py(), size) for t in part.column("text")]
                 yield pa.RecordBatch.from_pydict({
-                    "wanted": part.column("key"), "key": [int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64)) for s in sets],
-                    "own": [s.tobytes() for s in sets]}, schema=pa.schema([("wanted", pa.int64()), ("key", pa.int64()), ("own", pa.binary())]))
+                    "key": [int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64)) for s in sets],
+                    "own": [s.tobytes() for s in sets]}, schema=pa.schema([("key", pa.int64()), ("own", pa.binary())]))
 
-    some = docs.withColumn("at", F.coalesce(at, F.lit(0))).select("doc_id", "text", "at").mapInArrow(maybe, "doc_id long, text string")
-    # rows repeating a doc_id may hold other texts: the set's own key decides
-    sets = some.join(ids, some["doc_id"].eqNullSafe(ids["doc_id"])).select("key", "text").mapInArrow(hashed, "wanted long, key long, own binary")
-    sets = stage(sets.where("wanted = key").select("key", "own").groupBy("key").agg(F.first("own").alias("own")), "jaccard-sets")
+    sets = docs.select("text", F.coalesce(at, F.lit(0)).alias("at")).mapInArrow(hashed, "key long, own binary")
+    # other texts under a marked bit, or under a repeated doc_id, have another key and go
+    sets = stage(sets.join(needed.select("key"), "key", "left_semi").groupBy("key").agg(F.first("own").alias("own")), "jaccard-sets")
 
     @F.pandas_udf("boolean")
     def similar(a, b):
