@@ -10,8 +10,10 @@
 * ``drift_per_batch``: ``foreachBatch`` that evaluates drift + the retrain
   rule for every micro-batch against a fixed reference and appends verdicts.
 
-All checkpoints live under the session's checkpoint folder (shared storage on
-a cluster), so a restarted query resumes exactly once.
+The audit log and the drift verdicts keep their checkpoint beside their output
+(or where the caller says), so a query started again goes on after the last
+committed batch.  Queries into in-memory tables, which end with the session,
+take a fresh folder in the session's checkpoint folder at each start.
 """
 from __future__ import annotations
 
@@ -29,6 +31,7 @@ from . import windows as W
 
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder, for queries that do not outlive the session."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
 
 
@@ -68,12 +71,17 @@ def scoring_stream(spark: SparkSession, source_dir: str, schema, model, threshol
     return (w.trigger(availableNow=True) if trigger_available_now else w).start()
 
 
-def audit_sink(scored: DataFrame, path: str, watermark: str = "10 minutes"):
-    """Append-only audit log; a replayed request id is written once."""
-    spark = scored.sparkSession
+def checkpoint_beside(path: str) -> str:
+    """The one checkpoint folder of a query that writes to ``path``."""
+    return f"{path.rstrip('/')}-checkpoint"
+
+
+def audit_sink(scored: DataFrame, path: str, watermark: str = "10 minutes", checkpoint: str | None = None):
+    """Append-only audit log; a replayed request id is written once, also by a
+    query that was stopped and started again on the same ``path``."""
     dedup = scored.withWatermark("request_ts", watermark).dropDuplicatesWithinWatermark(["request_id"])
     return (dedup.writeStream.format("json").outputMode("append").option("path", path)
-            .option("checkpointLocation", checkpoint_path(spark, "audit")).trigger(availableNow=True).start())
+            .option("checkpointLocation", checkpoint or checkpoint_beside(path)).trigger(availableNow=True).start())
 
 
 def windowed_rates_stream(events: DataFrame, width: str = "1 hour", watermark: str = "10 minutes",
@@ -102,13 +110,13 @@ def label_feedback_stream(preds: DataFrame, labels: DataFrame, max_delay: str =
                                              "l.label_ts", "l.label")
 
 
-def drift_per_batch(stream: DataFrame, reference: DataFrame, columns: list[str], out_path: str):
+def drift_per_batch(stream: DataFrame, reference: DataFrame, columns: list[str], out_path: str,
+                    checkpoint: str | None = None):
     """Evaluate column drift, dataset drift and the retrain rule for every
     micro-batch against ``reference``; one verdict row per batch, written to
     its own ``batch_id=N`` partition with overwrite, so a micro-batch replayed
     after a failure rewrites the same output (idempotent)."""
     from ..operators import drift as DR
-    spark = stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -119,4 +127,4 @@ def drift_per_batch(stream: DataFrame, reference: DataFrame, columns: list[str],
         verdict.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     return (stream.writeStream.foreachBatch(handle)
-            .option("checkpointLocation", checkpoint_path(spark, "drift")).trigger(availableNow=True).start())
+            .option("checkpointLocation", checkpoint or checkpoint_beside(out_path)).trigger(availableNow=True).start())
