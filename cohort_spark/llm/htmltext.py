@@ -43,20 +43,36 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"},
           "option": {"select"}}
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]*+))?""")
 WORD = re.compile(r"[a-z]+")
 MARKS = re.compile(r"[.,;:!?…。，、！？；：]")
 
 
+def not_displayed(style: str) -> bool:
+    """Whether the declaration of ``display`` that counts (the last, ``!important`` first) is none."""
+    display, forced = "", False
+    for declaration in style.split(";"):
+        name, _, value = declaration.partition(":")
+        if name.strip() == "display":
+            value, mark, _ = value.partition("!")
+            if mark or not forced:
+                display, forced = value.strip(), bool(mark)
+    return display == "none"
+
+
 def switched_off(tag: str, attributes: str, in_article: bool) -> bool:
     """Whether an element holds no article text, by its name, role, class or id."""
     if tag in OFF_TAGS or (tag == "header" and not in_article):
         return True
     if not attributes:
         return False
+    seen = set()
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        if name in seen:
+            continue  # the first of a name counts
+        seen.add(name)
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and not_displayed(value)):
             return True
         if name == "role" and value in OFF_ROLES:
             return True

@@ -231,6 +231,20 @@ def test_main_text():
     assert [htmltext.main_text(x) for x in (None, "", "<p>", "<!-- x", "<a <b")][:4] == [""] * 4
 
 
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'style="color:red;--display:none"', 'style="display:none;display:block"', "title='a role=banner b'", 'data-role="banner"', 'data-hidden="1"',
+    "data-id=sidebar", 'alt="Hidden gems"', 'title="class = sidebar"', "href=/hidden-falls", 'aria-hidden="false"', 'x="1"data-class="ad"'])
+def test_words_in_other_attributes_switch_nothing_off(attributes):
+    assert htmltext.main_text(f"<article><h1>T</h1><div {attributes}><p>One, two.</p></div></article>") == "T\nOne, two."
+    assert htmltext.main_text(f"<article><p>One <a {attributes}>two</a> three.</p></article>") == "One two three."
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'hidden=""', "HIDDEN", 'aria-hidden="true"', "role=banner", 'x="1"role=\'banner\'', 'alt="a" class="b sidebar"',
+                                        "id = comments", 'style="color:red; Display : none"', "style='display:none!important;display:block'"])
+def test_attributes_that_switch_off(attributes):
+    assert htmltext.main_text(f"<article><h1>T</h1><div {attributes}><p>One, two.</p></div><p>Three.</p></article>") == "T\nThree."
+
+
 def test_pages_keep_every_article(spark):
     got = {r["page_id"]: r["text"] for r in htmltext.op8_htmltext(spark, SF).collect()}
     for i, page in duckdb.sql(f"SELECT page_id, html FROM '{SF}/pages.parquet'").fetchall():
