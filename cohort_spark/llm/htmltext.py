@@ -219,8 +219,9 @@ def main_text(page: str | None, share: float = 0.5) -> str:
     for k in content:
         n = next((i for i, (x, y) in enumerate(zip(common, found[k].chain)) if x != y), min(len(common), len(found[k].chain)))
         common = common[:n]
-    low = min(scores[found[k].path] for k in content)
-    return "\n".join(t for b, t in zip(found, texts) if b.chain[:len(common)] == common and scores[b.path] >= low)
+    if len(content) == 1 and found[content[0]].path[-1:] not in (("body",), ("html",)):
+        common = common[:-1]  # one block alone is no container: its parent holds its heading and siblings
+    return "\n".join(t for b, t in zip(found, texts) if b.chain[:len(common)] == common)
 
 
 def extract(pages: DataFrame, column: str = "html", share: float = 0.5) -> DataFrame:

@@ -245,6 +245,21 @@ def test_attributes_that_switch_off(attributes):
     assert htmltext.main_text(f"<article><h1>T</h1><div {attributes}><p>One, two.</p></div><p>Three.</p></article>") == "T\nThree."
 
 
+def test_fallback_keeps_every_block_of_the_container():
+    long = "A sentence of some length, with marks, that goes on for a good while. " * 20
+    rest = ["Short item", "Cell", "Said so", "Far heading"]
+    inner = (f"<h1>Title</h1><p>{long}</p><p>{long}</p><section><table><tr><td>{rest[1]}</td></tr></table><ul><li>{rest[0]}</li></ul>"
+             f"<blockquote>{rest[2]}</blockquote><h4>{rest[3]}</h4></section><p>{long}</p>")
+    page = f"<body><nav>Menu</nav><div>{inner}</div><div><ul><li><a href=x>Elsewhere</a></li></ul></div></body>"
+    said = " ".join(long.split())
+    assert htmltext.main_text(page) == "\n".join(["Title", said, said, rest[1], rest[0], rest[2], rest[3], said])
+
+
+def test_fallback_of_a_single_block_takes_its_parent():
+    long = "A sentence of some length, with marks, that goes on for a good while. " * 40
+    assert htmltext.main_text(f"<body><div><h1>T</h1><p>{long}</p></div><div><h2>E</h2></div></body>", 1.0) == "T\n" + " ".join(long.split())
+
+
 def test_pages_keep_every_article(spark):
     got = {r["page_id"]: r["text"] for r in htmltext.op8_htmltext(spark, SF).collect()}
     for i, page in duckdb.sql(f"SELECT page_id, html FROM '{SF}/pages.parquet'").fetchall():
