@@ -1,8 +1,11 @@
 """Operator 3: benchmark decontamination by template canonicalisation.
 
 Texts become token sequences in which numbers, names (capitalised words inside a
-sentence, and the same word anywhere in that text) and units (after a number) are
-typed placeholders and all else is lower-cased.  Every window of ``window`` tokens
+sentence, and the same word anywhere in that item) and units (after a number) are
+typed placeholders and all else is lower-cased.  A capitalised word at the start of a
+sentence may be a name or not: windows over one are hashed in both forms on both sides, so the
+rest of a document never decides what its passage looks like; where the item takes it for a
+literal, the document must hold the same word.  Every item window of ``window`` tokens
 with at least ``literals`` literal ones is hashed; document windows that
 pass a bit filter of fixed size, made of the benchmark's windows, are
 hash-joined with them.  Along one alignment (document place minus item place) the
@@ -71,9 +74,10 @@ class Canon:
         self.used += 1
         return k
 
-    def templates(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    def templates(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of all texts in turn without sentence marks, their hashes, their slot kind
-        (LITERAL: none) and the number of their text."""
+        (LITERAL: none) by their text, with every capitalised word as a name, and with those that
+        start a sentence as literals, and the number of their text."""
         if self.used > MAX_KNOWN:
             self.clear()
         tokens: list[str] = []
@@ -96,24 +100,30 @@ class Canon:
         number = kind == NUMBER
         unit = (kind == UNIT) & np.concatenate([[False], number[:-1]])
         slot = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, CAPITAL, LITERAL))).astype(np.int8)
-        for k, h in self.place.items():
-            hashes[slot == k] = h
+        named, plain = slot.copy(), slot.copy()
+        named[capital] = CAPITAL
+        plain[capital] = LITERAL
+        plain[inside] = CAPITAL
         keep = np.flatnonzero(~end)
-        return [tokens[k] for k in keep.tolist()], hashes[keep], slot[keep], of[keep]
-
-
-def windows(hashes: np.ndarray, slot: np.ndarray, length: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows of ``length`` tokens with enough literal ones."""
-    n = len(hashes) - length + 1
-    if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = np.full(n, np.uint64(length))
-    for k in range(length):
-        h = (h ^ hashes[k:k + n]) * _MIX
-        h ^= h >> np.uint64(29)
+        return [tokens[k] for k in keep.tolist()], hashes[keep], slot[keep], named[keep], plain[keep], of[keep]
+
+    def windows(self, hashes: np.ndarray, slot: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the windows of ``length`` tokens, by place, with placeholders for ``slot``."""
+        n = max(0, len(hashes) - length + 1)
+        hashes = hashes.copy()
+        for k, x in self.place.items():
+            hashes[slot == k] = x
+        h = np.full(n, np.uint64(length))
+        for k in range(length):
+            h = (h ^ hashes[k:k + n]) * _MIX
+            h ^= h >> np.uint64(29)
+        return h
+
+
+def enough(slot: np.ndarray, length: int, literals: int) -> np.ndarray:
+    """By place, whether the window of ``length`` tokens has ``literals`` literal ones."""
     plain = np.concatenate([[0], np.cumsum(slot == LITERAL)])
-    places = np.flatnonzero(plain[length:] - plain[:n] >= literals)
-    return places, h[places]
+    return plain[length:] - plain[:len(plain) - length] >= literals
 
 
 _CANON: list[Canon] = []
@@ -125,8 +135,10 @@ def canon() -> Canon:
     return _CANON[0]
 
 
-def slots_of(tokens: list[str], slot: np.ndarray, place: int, length: int) -> list[str]:
-    return [f"{PLACE[int(slot[i])]}:{tokens[i].lower()}" for i in range(place, place + length) if slot[i] != LITERAL]
+def slots_of(tokens: list[str], slot: np.ndarray, place: int, length: int, own: np.ndarray | None = None) -> list[str]:
+    """Slot values of a window; names that are literals by ``own`` are ``same``."""
+    return [f"{'same' if own is not None and own[i] == LITERAL else PLACE[int(slot[i])]}:{tokens[i].lower()}"
+            for i in range(place, place + length) if slot[i] != LITERAL]
 
 
 WINDOWS = "id long, place long, length long, h long, slots array<string>, n long"
@@ -135,7 +147,7 @@ WINDOWS = "id long, place long, length long, h long, slots array<string>, n long
 def template_windows(rows: DataFrame, id_column: str, window: int, literals: int, bits: np.ndarray | None = None,
                      lengths: list[int] | None = None) -> DataFrame:
     """Windows of every text of ``rows``; with ``bits`` only those the filter lets pass.
-    ``n`` is the number of windows of the text."""
+    ``n`` is the number of window places of the text."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = canon()
@@ -147,23 +159,31 @@ def template_windows(rows: DataFrame, id_column: str, window: int, literals: int
             step = GROUP if lengths else 1
             for k in range(0, len(rows), step):
                 group = rows[k:k + step]
-                tokens, hashes, slot, of = c.templates([t for _, t in group])
+                tokens, hashes, slot, named, plain, of = c.templates([t for _, t in group])
                 first = np.searchsorted(of, np.arange(len(group)))
                 for length in lengths or [min(window, len(tokens))]:
-                    if length < LEAST:
+                    if length < LEAST or length > len(tokens):
                         continue
-                    places, h = windows(hashes, slot, length, min(literals, -(-length // 2)) if length < window else literals)
-                    own = of[places] == of[places + length - 1] if len(places) else np.zeros(0, bool)
-                    places, h = places[own], h[own]
-                    n = np.bincount(of[places], minlength=len(group))
-                    if bits is not None:
-                        at = h % np.uint64(len(bits) * 8)
-                        hit = (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                        places, h = places[hit], h[hit]
-                    for place, x in zip(places.tolist(), h.view(np.int64).tolist()):
-                        g = int(of[place])
-                        for name, value in zip(out, (group[g][0], place - int(first[g]), length, x, slots_of(tokens, slot, place, length), int(n[g]))):
-                            out[name].append(value)
+                    fits = of[:len(of) - length + 1] == of[length - 1:]
+                    if bits is None:  # only the benchmark's windows need literal tokens
+                        fits &= enough(slot, length, min(literals, -(-length // 2)) if length < window else literals)
+                    n = np.bincount(of[:len(fits)][fits], minlength=len(group))
+                    known: list[np.ndarray] = []
+                    for form in (slot, named) if bits is None else (named, plain, slot):
+                        h = c.windows(hashes, form, length)
+                        hit = fits.copy()
+                        for other in known:
+                            hit &= h != other
+                        known.append(h)
+                        if bits is not None:
+                            at = h % np.uint64(len(bits) * 8)
+                            hit &= (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                        places = np.flatnonzero(hit)
+                        for place, x in zip(places.tolist(), h[places].view(np.int64).tolist()):
+                            g = int(of[place])
+                            values = slots_of(tokens, form, place, length, slot if bits is None else None)
+                            for name, value in zip(out, (group[g][0], place - int(first[g]), length, x, values, int(n[g]))):
+                                out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return rows.select(F.col(id_column).cast("long").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(read, WINDOWS)
@@ -186,11 +206,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
 
     found = template_windows(docs, "doc_id", window, literals, bits, lengths)
     item = bench.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "length", "h", F.col("slots").alias("item_slots"), "n")
-    hits = stage(found.drop("n").withColumnRenamed("id", "doc_id").join(item, ["h", "length"]).where(F.size("slots") == F.size("item_slots")), "bench-hits")
+    hits = stage(found.drop("n").withColumnRenamed("id", "doc_id").join(item, ["h", "length"]).where(F.size("slots") == F.size("item_slots")).where(
+        "forall(zip_with(item_slots, slots, (a, b) -> not startswith(a, 'same:') or substr(a, 6) = substr(b, 6)), x -> x)"), "bench-hits")
     hits = hits.withColumn("diagonal", F.col("place") - F.col("item_place"))
     line = ["doc_id", "item_id", "diagonal"]
     pairs = hits.select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(
-        *line, F.col("s.item_slots").alias("theirs"), F.col("s.slots").alias("ours")).distinct()
+        *line, F.col("s.item_slots").alias("theirs"), F.col("s.slots").alias("ours")).where("not startswith(theirs, 'same:')").distinct()
     one = lambda a, b: pairs.groupBy(*line, a).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*line)
     clash = one("theirs", "ours").unionByName(one("ours", "theirs")).distinct()
     changed = pairs.where(F.col("ours") != F.col("theirs")).select(*line).distinct().withColumn("changed", F.lit(True))

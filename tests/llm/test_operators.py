@@ -170,6 +170,20 @@ def test_decontamination(spark, empty):
     assert decontaminate.contaminated(empty, bench).count() == 0
 
 
+SHORT = "The cat sat down. What did it see then? If it saw a bird, the bird flew off. The cat ran home. What was left? If any, a feather."
+
+
+def test_decontamination_whatever_else_the_document_says(spark):
+    before = "He read: The end of it, What a day and If only, as they say. "
+    rows = [(1, before + SHORT), (2, SHORT), (3, SHORT.replace("What was", "Who was").replace("The cat", "My cat").replace("If", "When")),
+            (4, before + SHORT.lower()), (5, before + SHORT.replace(". ", ", "))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(9, SHORT), (8, SHORT.lower().replace(". ", ", "))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (round(r["coverage"], 2), r["kind"]) for r in decontaminate.contaminated(df, bench).collect()}
+    assert got[1, 9] == got[2, 9] == got[4, 9] == got[1, 8] == got[2, 8] == got[4, 8] == (1.0, "exact")
+    assert (3, 9) not in got and (3, 8) not in got  # other words are no other names
+
+
 # ---- operator 1
 def test_toxicity(spark, empty):
     rng = np.random.default_rng(1)
