@@ -8,11 +8,13 @@ rest of a document never decides what its passage looks like; where the item tak
 literal, the document must hold the same word.  Every item window of ``window`` tokens
 with at least ``literals`` literal ones is hashed; document windows that
 pass a bit filter of fixed size, made of the benchmark's windows, are
-hash-joined with them.  Along one alignment (document place minus item place) the
-slots must be consistent: each of the item's values stands for one value of the
-document and the reverse.  A document is contaminated by an item if
-consistent alignments cover ``coverage`` of the item's windows.  Items shorter than the
-window are one window of their own length (five tokens at least).
+hash-joined with them.  Item windows with fewer literal tokens are hashed over their
+tokens as they stand, so a copy of them matches whatever they hold.  Along one alignment (document
+place minus item place) the slots must be consistent: each of the item's values stands for one
+value of the document (the one it meets at most places; its own in a tie), and windows
+with another are dropped.  A document is contaminated by an item if
+consistent alignments cover ``coverage`` of the item's windows, or of those with enough literal
+tokens.  Items shorter than the window are one window of their own length (five tokens at least).
 
 ``kind`` is ``exact`` if all slots hold the item's own values, else ``reparameterised``.
 
@@ -107,13 +109,15 @@ class Canon:
         keep = np.flatnonzero(~end)
         return [tokens[k] for k in keep.tolist()], hashes[keep], slot[keep], named[keep], plain[keep], of[keep]
 
-    def windows(self, hashes: np.ndarray, slot: np.ndarray, length: int) -> np.ndarray:
-        """Hashes of the windows of ``length`` tokens, by place, with placeholders for ``slot``."""
+    def windows(self, hashes: np.ndarray, slot: np.ndarray | None, length: int) -> np.ndarray:
+        """Hashes of the windows of ``length`` tokens, by place, with placeholders for ``slot``
+        (None: of the tokens as they stand)."""
         n = max(0, len(hashes) - length + 1)
-        hashes = hashes.copy()
-        for k, x in self.place.items():
-            hashes[slot == k] = x
-        h = np.full(n, np.uint64(length))
+        h = np.full(n, np.uint64(length if slot is not None else length << 32))
+        if slot is not None:
+            hashes = hashes.copy()
+            for k, x in self.place.items():
+                hashes[slot == k] = x
         for k in range(length):
             h = (h ^ hashes[k:k + n]) * _MIX
             h ^= h >> np.uint64(29)
@@ -141,18 +145,19 @@ def slots_of(tokens: list[str], slot: np.ndarray, place: int, length: int, own:
             for i in range(place, place + length) if slot[i] != LITERAL]
 
 
-WINDOWS = "id long, place long, length long, h long, slots array<string>, n long"
+WINDOWS = "id long, place long, length long, h long, slots array<string>, offsets array<int>, templates long, n long"
 
 
 def template_windows(rows: DataFrame, id_column: str, window: int, literals: int, bits: np.ndarray | None = None,
                      lengths: list[int] | None = None) -> DataFrame:
     """Windows of every text of ``rows``; with ``bits`` only those the filter lets pass.
-    ``n`` is the number of window places of the text."""
+    ``n`` is the number of window places of the text, ``templates`` of those with enough literal
+    tokens; windows of the tokens as they stand have null ``slots``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = canon()
         schema = pa.schema([("id", pa.int64()), ("place", pa.int64()), ("length", pa.int64()), ("h", pa.int64()),
-                            ("slots", pa.list_(pa.string())), ("n", pa.int64())])
+                            ("slots", pa.list_(pa.string())), ("offsets", pa.list_(pa.int32())), ("templates", pa.int64()), ("n", pa.int64())])
         for batch in slices(batches):
             out: dict[str, list] = {f: [] for f in schema.names}
             rows = [(i, t) for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()) if t and i is not None]
@@ -164,14 +169,15 @@ def template_windows(rows: DataFrame, id_column: str, window: int, literals: int
                 for length in lengths or [min(window, len(tokens))]:
                     if length < LEAST or length > len(tokens):
                         continue
-                    fits = of[:len(of) - length + 1] == of[length - 1:]
-                    if bits is None:  # only the benchmark's windows need literal tokens
-                        fits &= enough(slot, length, min(literals, -(-length // 2)) if length < window else literals)
-                    n = np.bincount(of[:len(fits)][fits], minlength=len(group))
+                    fits = literal = bare = of[:len(of) - length + 1] == of[length - 1:]
+                    if bits is None:  # a document's window is what the item's window is
+                        rich = enough(slot, length, min(literals, -(-length // 2)) if length < window else literals)
+                        literal, bare = fits & rich, fits & ~rich
+                    n, templates = (np.bincount(of[:len(x)][x], minlength=len(group)) for x in (fits, literal))
                     known: list[np.ndarray] = []
-                    for form in (slot, named) if bits is None else (named, plain, slot):
+                    for form in (slot, named, None) if bits is None else (named, plain, slot, None):
                         h = c.windows(hashes, form, length)
-                        hit = fits.copy()
+                        hit = (bare if form is None else literal).copy()
                         for other in known:
                             hit &= h != other
                         known.append(h)
@@ -181,8 +187,11 @@ def template_windows(rows: DataFrame, id_column: str, window: int, literals: int
                         places = np.flatnonzero(hit)
                         for place, x in zip(places.tolist(), h[places].view(np.int64).tolist()):
                             g = int(of[place])
-                            values = slots_of(tokens, form, place, length, slot if bits is None else None)
-                            for name, value in zip(out, (group[g][0], place - int(first[g]), length, x, values, int(n[g]))):
+                            values = offsets = None
+                            if form is not None:
+                                values = slots_of(tokens, form, place, length, slot if bits is None else None)
+                                offsets = np.flatnonzero(form[place:place + length] != LITERAL).tolist()
+                            for name, value in zip(out, (group[g][0], place - int(first[g]), length, x, values, offsets, int(templates[g]), int(n[g]))):
                                 out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
@@ -205,22 +214,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
     lengths = sorted({r["length"] for r in marks})
 
     found = template_windows(docs, "doc_id", window, literals, bits, lengths)
-    item = bench.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "length", "h", F.col("slots").alias("item_slots"), "n")
-    hits = stage(found.drop("n").withColumnRenamed("id", "doc_id").join(item, ["h", "length"]).where(F.size("slots") == F.size("item_slots")).where(
-        "forall(zip_with(item_slots, slots, (a, b) -> not startswith(a, 'same:') or substr(a, 6) = substr(b, 6)), x -> x)"), "bench-hits")
+    item = bench.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "length", "h", F.col("slots").alias("item_slots"), "offsets", "templates", "n")
+    same = F.expr("""slots is null and item_slots is null or size(slots) = size(item_slots)
+        and forall(zip_with(item_slots, slots, (a, b) -> not startswith(a, 'same:') or substr(a, 6) = substr(b, 6)), x -> x)""")
+    hits = stage(found.select(F.col("id").alias("doc_id"), "place", "length", "h", "slots").join(item, ["h", "length"]).where(same), "bench-hits")
     hits = hits.withColumn("diagonal", F.col("place") - F.col("item_place"))
     line = ["doc_id", "item_id", "diagonal"]
-    pairs = hits.select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(
-        *line, F.col("s.item_slots").alias("theirs"), F.col("s.slots").alias("ours")).where("not startswith(theirs, 'same:')").distinct()
-    one = lambda a, b: pairs.groupBy(*line, a).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*line)
-    clash = one("theirs", "ours").unionByName(one("ours", "theirs")).distinct()
+    each = hits.select(*line, "item_place", "h", F.explode(F.arrays_zip("item_slots", "slots", "offsets")).alias("s")).select(
+        *line, "item_place", "h", (F.col("item_place") + F.col("s.offsets")).alias("token"), F.col("s.item_slots").alias("theirs"),
+        F.col("s.slots").alias("ours")).where("not startswith(theirs, 'same:')")
+    pairs = each.groupBy(*line, "theirs", "ours").agg(F.countDistinct("token").alias("tokens"), F.count(F.lit(1)).alias("times"))
+    # the document's value for each of the item's: at most tokens, the item's own in a tie
+    best = pairs.groupBy(*line, "theirs").agg(F.max(F.struct("tokens", F.col("ours") == F.col("theirs"), "times", "ours")).getField("ours").alias("best"),
+                                              F.count(F.lit(1)).alias("values")).where("values > 1").drop("values")
+    clash = each.join(best, [*line, "theirs"]).where("ours != best").select(*line, "item_place", "h").distinct()
     changed = pairs.where(F.col("ours") != F.col("theirs")).select(*line).distinct().withColumn("changed", F.lit(True))
-    good = hits.join(clash, line, "left_anti").join(changed, line, "left")
+    good = hits.join(clash, [*line, "item_place", "h"], "left_anti").join(changed, line, "left")
     spot = good.groupBy("doc_id", "item_id", "item_place").agg(
-        F.max("n").alias("n"), F.min(F.coalesce("changed", F.lit(False))).alias("changed"),
+        F.max("n").alias("n"), F.max("templates").alias("templates"), F.max(F.col("item_slots").isNotNull().cast("int")).alias("template"),
+        F.min(F.coalesce("changed", F.lit(False))).alias("changed"),
         F.min("place").alias("low"), F.max(F.col("place") + F.col("length")).alias("high"))
+    covered = F.greatest(F.count(F.lit(1)) / F.max("n"), F.try_divide(F.sum("template"), F.max("templates")))
     return spot.groupBy("doc_id", "item_id").agg(
-        (F.count(F.lit(1)) / F.max("n")).alias("coverage"), F.when(F.max("changed"), "reparameterised").otherwise("exact").alias("kind"),
+        covered.alias("coverage"), F.when(F.max("changed"), "reparameterised").otherwise("exact").alias("kind"),
         F.min("low").alias("first_place"), F.max("high").alias("last_place")).where(F.col("coverage") >= coverage)
 
 

@@ -184,6 +184,21 @@ def test_decontamination_whatever_else_the_document_says(spark):
     assert (3, 9) not in got and (3, 8) not in got  # other words are no other names
 
 
+def test_decontamination_of_windows_full_of_slots(spark):
+    sums = "12 + 35 = 47, 8 + 9 = 17, 5 + 6 = 11, 1 + 2 = 3, 60 + 7 = 67"
+    people = "the guests were Ann, Bob, Cid, Dan, Eve, Flo, Gus, Hal, Ida, Jon and Kim"
+    loan = ("a loan of 700 is paid back over some years and so of the 700 a part is left at the end of each year while the bank keeps 3 of each hundred "
+            "and the same again for the next loan of 700 that is taken")
+    two = "take 3 red balls and put them with 5 green balls in one old bag and draw some"
+    items = [(1, sums), (2, people), (3, loan), (4, two)]
+    docs = [(10, "Look: " + sums + " so"), (20, "He said that " + people + "."), (21, people.replace("Dan", "Zoe").replace("Jon", "Lou")),
+            (30, loan.replace("the 700", "the 800")), (40, two.replace("3", "4").replace("5", "4")), (50, "1 2 3 4 5 6 7 8 9 10 " * 5)]
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got.pop((21, 2), None) in (None, "reparameterised")
+    assert got == {(10, 1): "exact", (20, 2): "exact", (30, 3): "reparameterised", (40, 4): "reparameterised"}
+
+
 # ---- operator 1
 def test_toxicity(spark, empty):
     rng = np.random.default_rng(1)
