@@ -41,25 +41,6 @@ def round_half_up(c: Column, digits: int) -> Column:
     return (F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
 
 
-EXACT_MAX_DISTINCT = 1_000_000   # distinct values up to which percentiles are exact
-
-
-def quantile_columns(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, Column]:
-    """Per column, a quantile aggregate: exact ``percentile`` (linear
-    interpolation, buffer = value->count map) when the column has at most
-    EXACT_MAX_DISTINCT distinct values, else ``percentile_approx``.  The
-    distinct counts come from one ``approx_count_distinct`` pass."""
-    row = df.agg(*[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    out = {}
-    for i, c in enumerate(columns):
-        x = col(c).cast("double")
-        if (row[f"d{i}"] or 0) <= EXACT_MAX_DISTINCT:
-            out[c] = F.percentile(x, F.array(*[F.lit(p) for p in probs]))
-        else:
-            out[c] = F.percentile_approx(x, probs, 1_000_000)
-    return out
-
-
 def safe_corr(a: Column, b: Column) -> Column:
     """Pearson correlation over rows where both sides are non-null; null when a
     side has no variance (Spark's ``corr`` raises divide-by-zero under ANSI)."""

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..functions.columns import add_utilization_features, age_bucket, col, quantile_columns, round_half_up
-from .ordered import running_totals
+from ..functions.columns import add_utilization_features, age_bucket, col, round_half_up
+from .ordered import quantiles, running_totals
 from .split import hash_fraction
 
 
@@ -150,19 +150,14 @@ def psi(ref: DataFrame, cur: DataFrame, columns: list[str], bins: int = C.PSI_BI
     categories over the union of both sides."""
     num, _ = split_columns(ref, columns)
     probs = [i / bins for i in range(bins + 1)]
-    qs = quantile_columns(ref, num, probs) if num else {}
-    edge_rows = ref.agg(*[qs[c].alias(f"e{i}") for i, c in enumerate(num)]) if num else None
     n_ref_distinct = (ref.select(*[col(c).cast("string").alias(c) for c in columns])
                       .unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
                       .groupBy("column").agg(F.countDistinct("value").alias("nd")))
     # value of each row: decile bin (numeric, many values) or the string category
     long = _long(ref, cur, columns, as_string=True).join(F.broadcast(n_ref_distinct), "column")
     if num:
-        edges = edge_rows.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"),
-                     F.slice(F.array_distinct(F.col(f"e{i}")), 2,
-                             F.size(F.array_distinct(F.col(f"e{i}"))) - 2).alias("inner"))
-            for i, c in enumerate(num)])).alias("r")).select("r.*")
+        distinct = quantiles(ref, num, probs).select("column", F.array_distinct("q").alias("e"))
+        edges = distinct.select("column", F.slice("e", 2, F.greatest(F.size("e") - 2, F.lit(0))).alias("inner"))
         long = long.join(F.broadcast(edges), "column", "left")
         x = F.col("value").cast("double")
         binned = F.size(F.filter("inner", lambda e: e <= x)).cast("string")

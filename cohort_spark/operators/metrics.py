@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.columns import quantile_columns, round_half_up
+from ..functions.columns import round_half_up
 from .common import attach_row
-from .ordered import running_totals
+from .ordered import quantiles, running_totals
 
 
 def tie_table(df: DataFrame, label: str, score: str, groups: list[str] | None = None) -> DataFrame:
@@ -143,7 +143,7 @@ def reliability_curve(df: DataFrame, label: str, score: str, n_bins: int = 10) -
     equal to an edge falls in the lower bin; only non-empty bins are reported."""
     probs = [i / n_bins for i in range(1, n_bins)]
     p = F.col(score).cast("double")
-    edges = df.agg(quantile_columns(df, [score], probs)[score].alias("_e"))
+    edges = quantiles(df, [score], probs).select(F.col("q").alias("_e"))
     j = attach_row(df.select(p.alias("_p"), F.col(label).cast("double").alias("_y")), edges)
     b = F.size(F.filter("_e", lambda e: e < F.col("_p")))
     return (j.groupBy(b.alias("bin")).agg(F.avg("_p").alias("mean_predicted"),

@@ -15,6 +15,9 @@ is (all earlier buckets) + (earlier rows of its own bucket).
 """
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,23 +38,18 @@ def add_bucket(df: DataFrame, key: Column, n_buckets: int | None = None,
     df = df.withColumn("_bkey", key.cast("double"))
     probs = [i / b for i in range(1, b)]
     row = df.agg(F.percentile_approx("_bkey", probs, 10000).alias("q")).first()
-    edges = sorted({float(x) for x in (row["q"] or []) if x is not None})
+    edges = sorted({float(x) for x in (row["q"] or []) if x is not None and math.isfinite(x)})
     splits = [float("-inf")] + edges + [float("inf")]
     if len(splits) < 3:
         return df.withColumn(out, F.lit(0.0)).drop("_bkey")
     bz = Bucketizer(splits=splits, inputCol="_bkey", outputCol=out, handleInvalid="keep")
-    return bz.transform(df).drop("_bkey")
-
-
-import os
-
-# a group this small may be ordered in one task (override for experiments)
-SMALL_GROUP_ROWS = int(os.environ.get("COHORT_SPARK_SMALL_GROUP_ROWS", "1000000"))
+    # nulls come first in the order
+    return bz.transform(df).withColumn(out, F.when(F.col("_bkey").isNull(), F.lit(-1.0)).otherwise(F.col(out))).drop("_bkey")
 
 
 def running_totals(df: DataFrame, key: Column, order: list[Column], values: dict[str, Column],
                    groups: list[str] | None = None, descending: bool = False,
-                   n_buckets: int | None = None, small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+                   n_buckets: int | None = None, small_group_rows: int = 0) -> DataFrame:
     """Inclusive running sums of ``values`` (name -> Column) within ``groups``.
 
     ``key`` is a numeric column that is monotone in ``order`` (it decides the
@@ -59,9 +57,9 @@ def running_totals(df: DataFrame, key: Column, order: list[Column], values: dict
     be deterministic (collapse ties first, or add tie-break columns).
     With ``descending`` the sums run from the largest key down.
 
-    When the largest group has at most ``small_group_rows`` rows (one small
-    count), a per-group window is bounded per task and is used directly;
-    otherwise the bucketed path below keeps every task bounded.
+    The bucketed path below keeps every task bounded at every size.  A caller
+    that knows its groups are small may pass ``small_group_rows``: if the largest
+    group has no more rows than that, one window per group is used.
     """
     groups = list(groups or [])
     # the input is read several times (size check, bucket edges, totals,
@@ -87,7 +85,11 @@ def running_totals(df: DataFrame, key: Column, order: list[Column], values: dict
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumns({f"_l_{k}": F.sum(f"_v_{k}").over(w_in) for k in values})
     # offsets has at most (#groups x #buckets) rows: a bounded broadcast
-    joined = local.join(F.broadcast(offsets), groups + ["_bkt"], "left")
+    # (null is a group as any other)
+    ids = groups + ["_bkt"]
+    offsets = offsets.select(*[F.col(f"`{c}`").alias(f"_g_{i}") for i, c in enumerate(ids)], *[f"_o_{k}" for k in values])
+    match = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"_g_{i}")) for i, c in enumerate(ids)])
+    joined = local.join(F.broadcast(offsets), match, "left").drop(*[f"_g_{i}" for i in range(len(ids))])
     out = joined.withColumns({k: F.col(f"_o_{k}") + F.col(f"_l_{k}") for k in values})
     drop = ["_bkt"] + [f"_{p}_{k}" for k in values for p in ("v", "o", "l")]
     return out.drop(*drop)
@@ -102,7 +104,29 @@ def md5_key(seed: int, key: Column) -> tuple[Column, Column]:
 
 def positions(df: DataFrame, key: Column, order: list[Column], groups: list[str] | None = None,
               out: str = "pos", n_buckets: int | None = None,
-              small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+              small_group_rows: int = 0) -> DataFrame:
     """1-based row position within ``groups`` in ``order`` (a scalable row_number)."""
     return running_totals(df, key, order, {out: F.lit(1).cast("long")}, groups,
                           n_buckets=n_buckets, small_group_rows=small_group_rows)
+
+
+def quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    """(column, q): exact quantiles at ``probs`` (linear interpolation, as
+    ``percentile``) of every column that holds a value, from a (column, value,
+    count) table and its running counts; no buffer grows with the distinct values."""
+    long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+            .unpivot([], columns, "column", "x").where(F.col("x").isNotNull()))
+    freq = long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("c"))
+    cum = running_totals(freq, F.col("x"), [F.col("x")], {"upto": F.col("c")}, ["column"])
+    total = freq.groupBy("column").agg(F.sum("c").alias("n"))
+    j = cum.join(F.broadcast(total), "column")
+    at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+
+    def value(index: Column) -> Column:
+        return F.max(F.when((index >= F.col("upto") - F.col("c")) & (index < F.col("upto")), F.col("x")))
+
+    picked = j.groupBy("column").agg(F.max("n").alias("n"), *[value(F.floor(p)).alias(f"l{i}") for i, p in enumerate(at)],
+                                     *[value(F.ceil(p)).alias(f"h{i}") for i, p in enumerate(at)])
+    q = [F.when(F.col(f"l{i}") == F.col(f"h{i}"), F.col(f"l{i}"))
+         .otherwise((F.ceil(p) - p) * F.col(f"l{i}") + (p - F.floor(p)) * F.col(f"h{i}")) for i, p in enumerate(at)]
+    return picked.select("column", F.array(*q).alias("q"))

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..functions.columns import col, pearson_pairs, quantile_columns, round_half_up
+from ..functions.columns import col, pearson_pairs, round_half_up
 from ..sources import dimensions as D
 from .common import attach_row, top_k_per_group
+from .ordered import quantiles
 
 TARGET_BINARY = "readmitted_30d"
 QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
@@ -160,44 +161,42 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def numeric_summary(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """min, p01..p99, mean, max, std (ddof 1), bias-corrected skew, zeros % (2 dp).
 
-    ``exact`` uses ``percentile`` (linear interpolation) while a column has at
-    most ``EXACT_MAX_DISTINCT`` distinct values, and ``percentile_approx``
-    beyond; ``exact=False`` always uses ``percentile_approx``.
+    ``exact`` takes the quantiles (linear interpolation) from running counts
+    over distinct values; ``exact=False`` uses ``percentile_approx``.
     """
     columns = columns or numeric_columns(df)
-    qs = (quantile_columns(df, columns, QUANTILES) if exact else
-          {c: F.percentile_approx(col(c).cast("double"), QUANTILES, 100000) for c in columns})
     aggs = []
     for i, c in enumerate(columns):
         x = col(c).cast("double")
-        q = qs[c]
-        aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), q.alias(f"q{i}"),
+        aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"),
                  F.avg(x).alias(f"av{i}"), F.stddev_samp(x).alias(f"sd{i}"),
                  F.skewness(x).alias(f"sk{i}"), F.count(x).alias(f"n{i}"),
                  F.count_if(x == 0).alias(f"z{i}")]
+        if not exact:
+            aggs.append(F.percentile_approx(x, QUANTILES, 100000).alias(f"q{i}"))
     one = df.agg(*aggs)
+    names = ["p01", "p05", "p25", "median", "p75", "p95", "p99"]
     rows = []
     for i, c in enumerate(columns):
         n = F.col(f"n{i}").cast("double")
         adj = F.when(n > 2, F.col(f"sk{i}") * F.sqrt(n * (n - 1)) / (n - 2))
         rows.append(F.struct(
             F.lit(c).alias("column"), F.col(f"mn{i}").alias("min"),
-            *[F.col(f"q{i}")[j].alias(name) for j, name in
-              enumerate(["p01", "p05", "p25", "median", "p75", "p95", "p99"])],
+            *([] if exact else [F.col(f"q{i}").alias("q")]),
             F.col(f"av{i}").alias("mean"), F.col(f"mx{i}").alias("max"),
             F.col(f"sd{i}").alias("std"), adj.alias("skew"),
             round_half_up(F.lit(100.0) * F.col(f"z{i}") / n, 2).alias("zeros_pct")))
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    out = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    if exact:
+        out = out.join(F.broadcast(quantiles(df, columns, QUANTILES)), "column", "left")
+    return out.select("column", "min", *[F.col("q")[j].alias(name) for j, name in enumerate(names)],
+                      "mean", "max", "std", "skew", "zeros_pct")
 
 
 def decile_edges(df: DataFrame, columns: list[str], n_bins: int = 10) -> DataFrame:
     """(column, edges) -- distinct quantile edges at 0, 1/n, ..., 1 (exact)."""
     probs = [i / n_bins for i in range(n_bins + 1)]
-    qs = quantile_columns(df, columns, probs)
-    one = df.agg(*[qs[c].alias(f"e{i}") for i, c in enumerate(columns)])
-    return one.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.array_distinct(F.col(f"e{i}")).alias("edges"))
-        for i, c in enumerate(columns)])).alias("r")).select("r.*")
+    return quantiles(df, columns, probs).select("column", F.array_distinct("q").alias("edges"))
 
 
 def decile_rates(df: DataFrame, columns: list[str] | None = None,

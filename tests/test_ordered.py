@@ -4,7 +4,8 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from cohort_spark.operators.ordered import md5_key, positions, running_totals
+from cohort_spark.operators import profile
+from cohort_spark.operators.ordered import md5_key, positions, quantiles, running_totals
 
 
 def test_running_totals_match_bruteforce(spark):
@@ -31,6 +32,35 @@ def test_positions_are_row_numbers_in_hash_order(spark):
         assert list(grp.sort_values("h")["pos"]) == list(range(1, len(grp) + 1))
 
 
+def test_quantiles_are_exact_at_every_size(spark):
+    n = 1_200_000
+    df = spark.range(n).select((F.col("id") * F.col("id")).cast("double").alias("x"), F.lit(1.0).alias("one"),
+                               F.when(F.col("id") < 4, F.col("id")).alias("few"))
+    got = {r["column"]: r for r in profile.numeric_summary(df, ["x", "one", "few"]).collect()}
+    at = 0.25 * (n - 1)
+    low = int(at)
+    assert got["x"]["p25"] == (low + 1 - at) * low ** 2 + (at - low) * (low + 1) ** 2
+    assert (got["one"]["p01"], got["few"]["median"]) == (1.0, 1.5)
+
+
+def test_quantiles_match_percentile(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, float("inf"), -0.0, 0.0, rnd.random()]), rnd.randint(0, 9)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b int")
+    probs = [i / 10 for i in range(11)]
+    got = {r["column"]: r["q"] for r in quantiles(df, ["a", "b"], probs).collect()}
+    for c in ("a", "b"):
+        assert got[c] == df.agg(F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, probs)))).first()[0]
+
+
+def test_null_groups_and_keys_have_running_totals(spark):
+    rows = [(None if i % 3 else "g", None if i < 5 else float(i), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, x double, id long")
+    got = {r["id"]: r["c"] for r in running_totals(df, F.col("x"), [F.col("x"), F.col("id")], {"c": F.lit(1)}, ["g"], n_buckets=4).collect()}
+    for rest in ([i for i in range(200) if i % 3], [i for i in range(200) if not i % 3]):
+        assert [got[i] for i in rest] == list(range(1, len(rest) + 1))
+
+
 def test_constant_key_single_bucket(spark):
     df = spark.createDataFrame([(i, 1.0) for i in range(50)], "id long, x double")
     got = running_totals(df, F.col("x"), [F.col("x"), F.col("id")], {"c": F.lit(1)},
