@@ -89,7 +89,8 @@ def stream_rates(spark, sf_dir):
 def stream_scoring(spark, sf_dir):
     """Structured Streaming run: raw encounter rows written as JSON request
     records (44 contract fields + request id) -> contract split -> cleaning
-    -> features -> LR model -> probability and flag."""
+    -> features -> LR model -> probability and flag.  Refused records are in
+    the table ``rejected`` beside the scored ones."""
     import uuid
 
     from ..sources.readers import request_schema
@@ -108,6 +109,7 @@ def stream_scoring(spark, sf_dir):
         F.col("encounter_id").cast("string").alias("request_id"), *[F.col(f"`{c}`") for c in fields])
     recs.write.mode("overwrite").json(src_dir)
     schema = request_schema().add("request_id", "string")
-    name = f"scored_{uuid.uuid4().hex[:8]}"
-    scoring_stream(spark, src_dir, schema, model, OPERATING_THRESHOLD, name).awaitTermination()
-    return spark.table(name).select("request_id", "readmission_probability", "flag")
+    sink = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scoring-{uuid.uuid4().hex[:8]}"
+    for query in scoring_stream(spark, src_dir, schema, model, OPERATING_THRESHOLD, sink):
+        query.awaitTermination()
+    return spark.read.parquet(f"{sink}/scored").select("request_id", "readmission_probability", "flag")

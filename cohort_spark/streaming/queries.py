@@ -1,7 +1,8 @@
 """Structured Streaming queries.
 
 * ``scoring_stream``: request records -> contract split -> the SAME cleaning
-  and feature transforms as batch -> model -> probability and flag.
+  and feature transforms as batch -> model -> probability and flag; accepted
+  and refused records (with reasons) go to a Parquet table each.
 * ``audit_sink``: append-only audit records, de-duplicated by request id
   within a watermark, written with a checkpoint.
 * ``windowed_rates_stream``: watermarked tumbling-window counts per type.
@@ -10,7 +11,7 @@
 * ``drift_per_batch``: ``foreachBatch`` that evaluates drift + the retrain
   rule for every micro-batch against a fixed reference and appends verdicts.
 
-The audit log and the drift verdicts keep their checkpoint beside their output
+Scored and refused records, the audit log and the drift verdicts keep their checkpoint beside their output
 (or where the caller says), so a query started again goes on after the last
 committed batch.  Queries into in-memory tables, which end with the session,
 take a fresh folder in the session's checkpoint folder at each start.
@@ -59,23 +60,33 @@ def score_records(records: DataFrame, model, threshold: float) -> DataFrame:
                          flag.alias("flag"))
 
 
-def scoring_stream(spark: SparkSession, source_dir: str, schema, model, threshold: float,
-                   sink: str, trigger_available_now: bool = True):
-    """Start the scoring query: JSON records in ``source_dir`` -> memory table
-    ``sink`` (swap the sink for a file/table sink in production)."""
-    recs = (spark.readStream.schema(schema).json(source_dir)
-            .withColumn("request_ts", F.current_timestamp()))
-    out = score_records(recs, model, threshold)
-    w = (out.writeStream.format("memory").queryName(sink).outputMode("append")
-         .option("checkpointLocation", checkpoint_path(spark, sink)))
-    return (w.trigger(availableNow=True) if trigger_available_now else w).start()
-
-
 def checkpoint_beside(path: str) -> str:
     """The one checkpoint folder of a query that writes to ``path``."""
     return f"{path.rstrip('/')}-checkpoint"
 
 
+def rejected_records(records: DataFrame) -> DataFrame:
+    """Records the contract refuses, as they came, with the reasons."""
+    return reject_reasons(records).where(~F.col("accepted")).drop("accepted")
+
+
+def scoring_stream(spark: SparkSession, source_dir: str, schema, model, threshold: float,
+                   sink: str, trigger_available_now: bool = True) -> list:
+    """Start the scoring queries: JSON records in ``source_dir`` -> Parquet
+    tables ``sink``/scored and ``sink``/rejected (with reasons), each with its
+    checkpoint beside it, so queries started again on ``sink`` take up new
+    records only.  Every record goes to one of the two."""
+    def start(name: str, of):
+        path = f"{sink.rstrip('/')}/{name}"
+        recs = (spark.readStream.schema(schema).json(source_dir)
+                .withColumn("request_ts", F.current_timestamp()))
+        w = (of(recs).writeStream.format("parquet").outputMode("append").option("path", path)
+             .option("checkpointLocation", checkpoint_beside(path)))
+        return (w.trigger(availableNow=True) if trigger_available_now else w).start()
+
+    return [start("scored", lambda recs: score_records(recs, model, threshold)), start("rejected", rejected_records)]
+
+
 def audit_sink(scored: DataFrame, path: str, watermark: str = "10 minutes", checkpoint: str | None = None):
     """Append-only audit log; a replayed request id is written once, also by a
     query that was stopped and started again on the same ``path``."""
