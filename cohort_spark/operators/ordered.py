@@ -49,7 +49,7 @@ def add_bucket(df: DataFrame, key: Column, n_buckets: int | None = None,
 
 def running_totals(df: DataFrame, key: Column, order: list[Column], values: dict[str, Column],
                    groups: list[str] | None = None, descending: bool = False,
-                   n_buckets: int | None = None, small_group_rows: int = 0) -> DataFrame:
+                   n_buckets: int | None = None) -> DataFrame:
     """Inclusive running sums of ``values`` (name -> Column) within ``groups``.
 
     ``key`` is a numeric column that is monotone in ``order`` (it decides the
@@ -57,24 +57,14 @@ def running_totals(df: DataFrame, key: Column, order: list[Column], values: dict
     be deterministic (collapse ties first, or add tie-break columns).
     With ``descending`` the sums run from the largest key down.
 
-    The bucketed path below keeps every task bounded at every size.  A caller
-    that knows its groups are small may pass ``small_group_rows``: if the largest
-    group has no more rows than that, one window per group is used.
+    Every task is bounded at every size.
     """
     groups = list(groups or [])
-    # the input is read several times (size check, bucket edges, totals,
-    # windows): persist it (memory, spilling to disk) so upstream work runs
+    # the input is read several times (bucket edges, totals, windows): persist it (memory, spilling to disk) so upstream work runs
     # once; a lost partition is recomputed from its short lineage
     df = df.withColumns({f"_v_{k}": v for k, v in values.items()}).persist(
         StorageLevel.MEMORY_AND_DISK)
     ords = [o.desc() for o in order] if descending else order
-    largest = (df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0) \
-        if small_group_rows else small_group_rows + 1
-    if largest <= small_group_rows:
-        w = (Window.partitionBy(*groups).orderBy(*ords)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = df.withColumns({k: F.sum(f"_v_{k}").over(w) for k in values})
-        return out.drop(*[f"_v_{k}" for k in values])
     df = add_bucket(df, key, n_buckets)
     tot = df.groupBy(*groups, "_bkt").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
     bo = F.col("_bkt").desc() if descending else F.col("_bkt").asc()
@@ -103,11 +93,9 @@ def md5_key(seed: int, key: Column) -> tuple[Column, Column]:
 
 
 def positions(df: DataFrame, key: Column, order: list[Column], groups: list[str] | None = None,
-              out: str = "pos", n_buckets: int | None = None,
-              small_group_rows: int = 0) -> DataFrame:
+              out: str = "pos", n_buckets: int | None = None) -> DataFrame:
     """1-based row position within ``groups`` in ``order`` (a scalable row_number)."""
-    return running_totals(df, key, order, {out: F.lit(1).cast("long")}, groups,
-                          n_buckets=n_buckets, small_group_rows=small_group_rows)
+    return running_totals(df, key, order, {out: F.lit(1).cast("long")}, groups, n_buckets=n_buckets)
 
 
 def quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
@@ -116,17 +104,24 @@ def quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFram
     count) table and its running counts; no buffer grows with the distinct values."""
     long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
             .unpivot([], columns, "column", "x").where(F.col("x").isNotNull()))
-    freq = long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("c"))
-    cum = running_totals(freq, F.col("x"), [F.col("x")], {"upto": F.col("c")}, ["column"])
-    total = freq.groupBy("column").agg(F.sum("c").alias("n"))
-    j = cum.join(F.broadcast(total), "column")
+    return group_quantiles(long, ["column"], "x", probs).drop("n")
+
+
+def group_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float]) -> DataFrame:
+    """(groups, n, q): the same per group for the non-null numbers of one column, ``n`` of them."""
+    freq = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).cast("double").alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_totals(freq, F.col("_x"), [F.col("_x")], {"_upto": F.col("_c")}, groups)
+    names = [f"_g{i}" for i in range(len(groups))]
+    total = freq.groupBy(*[F.col(f"`{g}`").alias(n) for g, n in zip(groups, names)]).agg(F.sum("_c").alias("n"))
+    match = reduce(lambda a, b: a & b, [F.col(f"`{g}`").eqNullSafe(F.col(n)) for g, n in zip(groups, names)])
+    j = cum.join(total, match).drop(*names)
     at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
 
-    def value(index: Column) -> Column:
-        return F.max(F.when((index >= F.col("upto") - F.col("c")) & (index < F.col("upto")), F.col("x")))
+    def picked(index: Column) -> Column:
+        return F.max(F.when((index >= F.col("_upto") - F.col("_c")) & (index < F.col("_upto")), F.col("_x")))
 
-    picked = j.groupBy("column").agg(F.max("n").alias("n"), *[value(F.floor(p)).alias(f"l{i}") for i, p in enumerate(at)],
-                                     *[value(F.ceil(p)).alias(f"h{i}") for i, p in enumerate(at)])
-    q = [F.when(F.col(f"l{i}") == F.col(f"h{i}"), F.col(f"l{i}"))
-         .otherwise((F.ceil(p) - p) * F.col(f"l{i}") + (p - F.floor(p)) * F.col(f"h{i}")) for i, p in enumerate(at)]
-    return picked.select("column", F.array(*q).alias("q"))
+    ends = j.groupBy(*groups).agg(F.max("n").alias("n"), *[picked(F.floor(p)).alias(f"_l{i}") for i, p in enumerate(at)],
+                                  *[picked(F.ceil(p)).alias(f"_h{i}") for i, p in enumerate(at)])
+    q = [F.when(F.col(f"_l{i}") == F.col(f"_h{i}"), F.col(f"_l{i}"))
+         .otherwise((F.ceil(p) - p) * F.col(f"_l{i}") + (p - F.floor(p)) * F.col(f"_h{i}")) for i, p in enumerate(at)]
+    return ends.select(*groups, "n", F.array(*q).alias("q"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import round_half_up
 from ..sources import read_table
+from ..streaming import alerts as AL
 from ..streaming import windows as W
 from .catalog import register
 
@@ -67,22 +68,87 @@ def score_histogram(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming runs
-@register("stream_rates")
-def stream_rates(spark, sf_dir):
-    """Structured Streaming run: the events file as a stream source ->
-    watermarked hourly counts per type (complete mode) -> memory table."""
-    from ..streaming.queries import windowed_rates_stream
+def event_stream(spark, sf_dir, mark: bool = False):
+    """The events file as a stream; with ``mark`` one more event far ahead ends every window."""
     schema = events(spark, sf_dir).schema
-    import uuid
     # a file stream source watches a directory or glob; the glob names the table file
     src = (spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
            .select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value"))
-    name = f"stream_rates_{uuid.uuid4().hex[:8]}"
-    # complete mode so this bounded run can be compared with the batch twin;
-    # a long-running query uses the default append mode (bounded state)
-    q = windowed_rates_stream(src, "1 hour", "10 minutes", name, "complete")
-    q.awaitTermination()
-    return _r(spark.table(name), ["rate_per_sec"])
+    if not mark:
+        return src
+    last = events(spark, sf_dir).agg((F.max("ts").cast("timestamp") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
+    path = fresh_folder(spark, "mark")
+    last.select("ts", F.lit(None).cast("long").alias("user_id"), F.lit(AL.MARK).alias("event_type"), F.lit(None).cast("double").alias("value")).write.parquet(path)
+    return src.unionByName(spark.readStream.schema(src.schema).parquet(path))
+
+
+def fresh_folder(spark, name):
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def monitored(spark, sf_dir, name, **settings):
+    """The table that a monitoring stream over the whole events file leaves."""
+    from ..streaming.queries import monitor_stream
+    query, table = monitor_stream(name, event_stream(spark, sf_dir), fresh_folder(spark, name), **settings)
+    query.awaitTermination()
+    return table.read()
+
+
+@register("stream_rates")
+def stream_rates(spark, sf_dir):
+    """Structured Streaming run of ``rate_tumbling``: hourly counts per type, upserted."""
+    return _r(monitored(spark, sf_dir, "rates"), ["rate_per_sec"])
+
+
+@register("stream_error_share")
+def stream_error_share(spark, sf_dir):
+    """Structured Streaming run of ``error_share``."""
+    return _r(monitored(spark, sf_dir, "error_share"), ["error_share"])
+
+
+@register("stream_served_total")
+def stream_served_total(spark, sf_dir):
+    """Structured Streaming run of ``served_total``: the running total is read off the upserted windows."""
+    return W.running_served(monitored(spark, sf_dir, "served"))
+
+
+@register("stream_histogram")
+def stream_histogram(spark, sf_dir):
+    """Structured Streaming run of ``score_histogram``."""
+    return monitored(spark, sf_dir, "histogram")
+
+
+@register("stream_percentiles")
+def stream_percentiles(spark, sf_dir):
+    """Structured Streaming run of ``latency_percentiles`` by the quantile sketch (0.5 % off at most)."""
+    return _r(W.bin_percentiles(monitored(spark, sf_dir, "value_bins")), ["p50", "p95"])
+
+
+def appended(spark, rows, name):
+    """What a stream in append mode leaves."""
+    path = fresh_folder(spark, name)
+    AL.start(rows, path).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@register("stream_alerts")
+def stream_alerts(spark, sf_dir):
+    """Structured Streaming run of ``alert_for_duration``: breaches that are over, told by keyed state and timers."""
+    marked = AL.without_marks(event_stream(spark, sf_dir, mark=True).withWatermark("ts", "10 minutes"))
+    rules = [AL.Rule("error_share", F.col("error_share") > 0.05, 2)]
+    out = appended(spark, AL.alert_stream(AL.error_share_windows(marked, 3600), rules, 3600), "alerts")
+    return out.where("state = 'resolved'").select("breach_start", "breach_last", F.col("n_windows").cast("long").alias("n_windows"), "firing_from")
+
+
+@register("stream_gaps")
+def stream_gaps(spark, sf_dir):
+    """Structured Streaming run of ``gap_detection``: silences that ended."""
+    marked = AL.without_marks(event_stream(spark, sf_dir, mark=True).withWatermark("ts", "10 minutes"))
+    out = appended(spark, AL.gap_stream(marked, 1800), "gaps")
+    return _r(out.where("state = 'resolved'").select("prev_ts", "ts", "gap_seconds"), ["gap_seconds"])
 
 
 @register("stream_scoring")

@@ -5,7 +5,8 @@
   and refused records (with reasons) go to a Parquet table each.
 * ``audit_sink``: append-only audit records, de-duplicated by request id
   within a watermark, written with a checkpoint.
-* ``windowed_rates_stream``: watermarked tumbling-window counts per type.
+* ``monitor_stream``: rates, error share, served totals, value histogram and the quantile sketch
+  per watermarked window, upserted by window into a table of the shared folder.
 * ``label_feedback_stream``: stream-stream join of predictions with labels
   that arrive later (watermarks on both sides, bounded interval).
 * ``drift_per_batch``: ``foreachBatch`` that evaluates drift + the retrain
@@ -29,6 +30,7 @@ from ..operators.clean import clean_columns
 from ..operators.quality import reject_reasons
 from ..session import ensure_checkpoint_dir
 from . import windows as W
+from .upsert import UpsertTable
 
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
@@ -95,17 +97,26 @@ def audit_sink(scored: DataFrame, path: str, watermark: str = "10 minutes", chec
             .option("checkpointLocation", checkpoint or checkpoint_beside(path)).trigger(availableNow=True).start())
 
 
-def windowed_rates_stream(events: DataFrame, width: str = "1 hour", watermark: str = "10 minutes",
-                          sink: str = "rates", mode: str = "append"):
-    """Watermarked tumbling-window counts per event type.  ``append`` (the
-    production mode) emits a window once the watermark passes its end and
-    drops its state, so state stays bounded; rows later than the watermark are
-    dropped.  ``complete`` keeps every window and re-emits the whole table
-    (used to check a bounded run against the batch result)."""
-    spark = events.sparkSession
-    agg = W.rate_tumbling(events.withWatermark("ts", watermark), width)
-    return (agg.writeStream.format("memory").queryName(sink).outputMode(mode)
-            .option("checkpointLocation", checkpoint_path(spark, sink)).trigger(availableNow=True).start())
+#: What each monitoring stream keeps: window function of a watermarked stream, and its keys.
+MONITORS = {
+    "rates": (W.rate_tumbling, ["window_start", "window_end", "event_type"]),
+    "error_share": (W.error_share, ["window_start"]),
+    "served": (W.served, ["window_start"]),
+    "histogram": (W.score_histogram, ["window_start", "bin"]),
+    "value_bins": (W.value_bins, ["window_start", "side", "bin"]),
+}
+
+
+def monitor_stream(name: str, events: DataFrame, path: str, watermark: str = "10 minutes", **settings):
+    """Start one of ``MONITORS`` over a stream of events: (query, table).
+
+    Update mode: every micro-batch upserts the windows that changed into ``path`` by key, and the
+    watermark drops the state of windows that are over; rows later than the watermark are
+    dropped.  The table is whole after every batch, and a query started again goes on with it."""
+    window, keys = MONITORS[name]
+    rows = window(events.withWatermark("ts", watermark), **settings)
+    table = UpsertTable(events.sparkSession, path, rows.schema, keys)
+    return table.start(rows), table
 
 
 def label_feedback_stream(preds: DataFrame, labels: DataFrame, max_delay: str = "30 days",

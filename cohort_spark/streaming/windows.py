@@ -4,16 +4,19 @@ Each function is written once against a DataFrame, so the same code serves a
 batch table and (where noted) a streaming frame with a watermark.  Event-type
 plays the handler, ``error`` the 5xx status and ``value`` the latency.
 
-Ordered operations over time (gaps, sessions, alert holds) never use one
-global window: rows are cut into time buckets; each bucket is ordered on its
-own and a small per-bucket summary table (one row per bucket) supplies the
-value carried in from the previous bucket.
+Ordered operations over time (gaps, sessions, alert holds) never order events: those of one
+key and time bucket become one segment (first, last, count) by a map-side combined aggregation,
+segments are ordered per key and day, and a table of one row per key and day supplies what is
+carried in from earlier days.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordered import group_quantiles
 
 ERROR_TYPE = "error"
 
@@ -34,14 +37,50 @@ def rate_sliding(df: DataFrame, width: str = "1 hour", slide: str = "15 minutes"
                     "event_type", "n", (F.col("n") / F.lit(float(seconds))).alias("rate_per_sec"))
 
 
-def latency_percentiles(df: DataFrame, width: str = "1 day", exact: bool = True) -> DataFrame:
-    """p50 / p95 of ``value`` per window (T4).  ``exact`` uses ``percentile``;
-    a streaming query must use ``percentile_approx``."""
-    q = (F.percentile("value", F.array(F.lit(0.5), F.lit(0.95))) if exact
-         else F.percentile_approx("value", [0.5, 0.95], 10000))
-    g = df.groupBy(F.window("ts", width).alias("w")).agg(q.alias("q"), F.count(F.lit(1)).alias("n"))
-    return g.select(F.col("w.start").alias("window_start"), F.col("q")[0].alias("p50"),
-                    F.col("q")[1].alias("p95"), "n")
+PERCENTILES = (0.5, 0.95)
+
+
+def latency_percentiles(df: DataFrame, width: str = "1 day") -> DataFrame:
+    """p50 / p95 of ``value`` per window (T4), exact: from a (window, value, count) table and its
+    running counts, so no buffer grows with the values of a window.  A window of null values has
+    null percentiles."""
+    w = df.select(F.window("ts", width)["start"].alias("window_start"), "value")
+    n = w.groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))
+    q = group_quantiles(w, ["window_start"], "value", list(PERCENTILES)).select(F.col("window_start").alias("_w"), "q")
+    return (n.join(q, F.col("window_start") == F.col("_w"), "left")
+            .select("window_start", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"), "n"))
+
+
+def value_bins(df: DataFrame, width: str = "1 day", accuracy: float = 0.005) -> DataFrame:
+    """(window_start, side, bin, n): a mergeable quantile sketch of ``value`` per window.
+
+    Bins grow by gamma = (1 + accuracy) / (1 - accuracy), so a bin's middle is within
+    ``accuracy`` (relative) of each of its values; ``side`` is -1, 0 or 1 by sign, 2 for NaN.
+    Counts of equal bins add, in any order: the state of a stream is one row a window and bin,
+    some ln(largest / smallest) / (2 accuracy) a window however many events it has."""
+    v, gamma = F.col("value").cast("double"), (1 + accuracy) / (1 - accuracy)
+    size = F.least(F.abs(v), F.lit(1.7e308))  # infinite values count with the largest
+    side = F.when(F.isnan(v), 2).when(v > 0, 1).when(v < 0, -1).otherwise(0)
+    index = F.when(side.isin(-1, 1), F.ceil(F.log(size) / F.lit(math.log(gamma)))).otherwise(0).cast("int")
+    g = df.where(v.isNotNull()).groupBy(F.window("ts", width).alias("w"), side.alias("side"), index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return g.select(F.col("w.start").alias("window_start"), "side", "bin", "n")
+
+
+def bin_percentiles(bins: DataFrame, accuracy: float = 0.005, probs: tuple[float, ...] = PERCENTILES) -> DataFrame:
+    """(window_start, p50, p95, n) of ``value_bins``: each percentile (linear interpolation between
+    two order statistics, each taken as its bin's middle) within ``accuracy`` of the exact one
+    where both have one sign, of the larger of the two else."""
+    gamma = (1 + accuracy) / (1 - accuracy)
+    middle = F.when(F.col("side") == 2, F.lit(float("nan"))).otherwise(F.col("side") * F.pow(F.lit(gamma), F.col("bin")) * F.lit(2 / (1 + gamma)))
+    upto = Window.partitionBy("window_start").orderBy("_x")  # rows of one window: its bins
+    b = bins.groupBy("window_start", "side", "bin").agg(F.sum("n").alias("n")).withColumn("_x", middle)
+    b = b.withColumns({"_upto": F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)), "_all": F.sum("n").over(Window.partitionBy("window_start"))})
+    at = [F.lit(p) * (F.col("_all") - 1) for p in probs]
+    pick = lambda i: F.max(F.when((i >= F.col("_upto") - F.col("n")) & (i < F.col("_upto")), F.col("_x")))
+    g = b.groupBy("window_start").agg(F.max("_all").alias("n"), *[pick(F.floor(p)).alias(f"_l{i}") for i, p in enumerate(at)],
+                                      *[pick(F.ceil(p)).alias(f"_h{i}") for i, p in enumerate(at)], *[F.max(p - F.floor(p)).alias(f"_f{i}") for i, p in enumerate(at)])
+    q = [F.col(f"_l{i}") + F.col(f"_f{i}") * (F.col(f"_h{i}") - F.col(f"_l{i}")) for i in range(len(at))]
+    return g.select("window_start", *[c.alias(f"p{round(100 * p)}") for c, p in zip(q, probs)], "n")
 
 
 def error_share(df: DataFrame, width: str = "1 hour") -> DataFrame:
@@ -54,13 +93,21 @@ def error_share(df: DataFrame, width: str = "1 hour") -> DataFrame:
 
 
 def served_total(df: DataFrame, width: str = "1 day") -> DataFrame:
-    """Successful (non-error) events per window and their running total.
-    The running sum is over the per-window table (one row per window)."""
+    """Successful (non-error) events per window and their running total."""
+    return running_served(served(df, width))
+
+
+def served(df: DataFrame, width: str = "1 day") -> DataFrame:
+    """Successful (non-error) events per window."""
     g = (df.where(F.col("event_type") != ERROR_TYPE).groupBy(F.window("ts", width).alias("w"))
          .agg(F.count(F.lit(1)).alias("served")))
+    return g.select(F.col("w.start").alias("window_start"), "served")
+
+
+def running_served(served: DataFrame) -> DataFrame:
+    """Running total over the per-window table (one row per window)."""
     w = Window.orderBy("window_start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (g.select(F.col("w.start").alias("window_start"), "served")
-            .withColumn("served_total", F.sum("served").over(w)))
+    return served.withColumn("served_total", F.sum("served").over(w))
 
 
 def alert_for_duration(windows: DataFrame, condition: Column, window_seconds: int,
@@ -89,54 +136,62 @@ def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def _bucket(ts: Column, seconds: int) -> Column:
-    return F.floor(F.unix_timestamp(ts) / F.lit(seconds)).cast("long")
+def segments(df: DataFrame, keys: list[str], width_seconds: int) -> DataFrame:
+    """(keys, bucket_start, first, last, n): the events of one key in one time bucket.
+
+    An associative summary, combined map-side, so a key with most of the events costs one
+    row a bucket and task.  Where ``width_seconds`` is no more than a gap or session timeout,
+    no silence of that length lies inside a bucket, and the segments decide everything.  On a
+    stream with a watermark each segment is emitted once, when its bucket is over."""
+    g = df.groupBy(*keys, F.window("ts", f"{width_seconds} seconds").alias("w")).agg(
+        F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n"))
+    return g.select(*keys, F.col("w.start").alias("bucket_start"), "first", "last", "n")
+
+
+def _day(ts: Column) -> Column:
+    return F.floor(F.unix_timestamp(ts) / F.lit(86400)).cast("long")
 
 
-def previous_timestamp(df: DataFrame, keys: list[str], bucket_seconds: int = 86400) -> DataFrame:
-    """Add ``prev_ts``: the previous event's ts within ``keys`` (global when
-    empty).  Ordered per (keys, time bucket); the first event of a bucket
-    takes the last ts of the nearest earlier non-empty bucket, looked up in
-    the per-bucket summary (one row per key and bucket)."""
-    d = df.withColumn("_b", _bucket(F.col("ts"), bucket_seconds))
-    summ = d.groupBy(*keys, "_b").agg(F.max("ts").alias("_last"))
-    ws = Window.partitionBy(*keys).orderBy("_b")
-    summ = summ.withColumn("_carry", F.lag("_last").over(ws)).drop("_last")
-    wi = Window.partitionBy(*keys, "_b").orderBy("ts")
-    d = d.withColumn("_lag", F.lag("ts").over(wi))
-    d = d.join(summ, keys + ["_b"], "left")
-    return d.withColumn("prev_ts", F.coalesce("_lag", "_carry")).drop("_lag", "_carry")
+def previous_segment(seg: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``prev_last``, the last event before each segment of its key (of all when ``keys`` is
+    empty), and ``_day``.  Ordered per (keys, day); the first segment of a day takes the last
+    event of the nearest earlier day, from a table of one row per key and day."""
+    d = seg.withColumn("_day", _day(F.col("bucket_start")))
+    days = d.groupBy(*keys, "_day").agg(F.max("last").alias("_last"))
+    days = days.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_day"))).drop("_last")
+    days = days.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_day").alias("_d"), "_carry")
+    d = d.withColumn("_lag", F.lag("last").over(Window.partitionBy(*keys, "_day").orderBy("bucket_start")))
+    match = F.col("_day") == F.col("_d")
+    for i, k in enumerate(keys):
+        match = match & F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}"))
+    return d.join(days, match, "left").withColumn("prev_last", F.coalesce("_lag", "_carry")).select(*seg.columns, "_day", "prev_last")
 
 
 def gap_detection(df: DataFrame, max_gap_seconds: int = 1800, keys: list[str] | None = None) -> DataFrame:
     """Silences: consecutive events more than ``max_gap_seconds`` apart."""
     keys = keys or []
-    d = previous_timestamp(df.select(*keys, "ts"), keys)
-    gap = _micros(F.col("ts")) - _micros(F.col("prev_ts"))
-    return (d.where(F.col("prev_ts").isNotNull() & (gap > F.lit(max_gap_seconds * 1_000_000)))
-            .select(*keys, "prev_ts", "ts", (gap / F.lit(1e6)).alias("gap_seconds")))
-
-
-def sessions(df: DataFrame, key: str = "user_id", gap_seconds: int = 1800,
-             bucket_seconds: int = 86400) -> DataFrame:
-    """Activity sessions per key: a new session starts after ``gap_seconds``
-    of silence (T11).  Equals ``session_window(ts, gap)``; computed per
-    (key, day) so one very active key is spread over many tasks."""
-    d = previous_timestamp(df.select(key, "ts"), [key], bucket_seconds)
-    gap = _micros(F.col("ts")) - _micros(F.col("prev_ts"))
-    d = d.withColumn("_new", (F.col("prev_ts").isNull() | (gap >= F.lit(gap_seconds * 1_000_000))).cast("int"))
-    # session number = sessions started in earlier buckets + running count in this bucket
-    per_b = d.groupBy(key, "_b").agg(F.sum("_new").alias("_nb"))
-    wb = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = per_b.withColumn("_off", F.coalesce(F.sum("_nb").over(wb), F.lit(0))).drop("_nb")
-    wi = Window.partitionBy(key, "_b").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_run", F.sum("_new").over(wi)).join(per_b, [key, "_b"])
-    d = d.withColumn("session", F.col("_off") + F.col("_run"))
-    g = d.groupBy(key, "session").agg(F.min("ts").alias("session_start"), F.max("ts").alias("_last"),
-                                      F.count(F.lit(1)).alias("n_events"))
+    d = previous_segment(segments(df, keys, max_gap_seconds), keys)
+    gap = _micros(F.col("first")) - _micros(F.col("prev_last"))
+    return (d.where(F.col("prev_last").isNotNull() & (gap > F.lit(max_gap_seconds * 1_000_000)))
+            .select(*keys, F.col("prev_last").alias("prev_ts"), F.col("first").alias("ts"), (gap / F.lit(1e6)).alias("gap_seconds")))
+
+
+def sessions(df: DataFrame, key: str = "user_id", gap_seconds: int = 1800) -> DataFrame:
+    """Activity sessions per key: a new session starts after ``gap_seconds`` of silence.
+    Equals ``session_window(ts, gap)``; folded from segments, ordered per (key, day), with the
+    sessions of earlier days carried in from a table of one row per key and day."""
+    d = previous_segment(segments(df, [key], gap_seconds), [key])
+    gap = _micros(F.col("first")) - _micros(F.col("prev_last"))
+    d = d.withColumn("_new", (F.col("prev_last").isNull() | (gap >= F.lit(gap_seconds * 1_000_000))).cast("int"))
+    before = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = d.groupBy(key, "_day").agg(F.sum("_new").alias("_n"))
+    days = days.select(F.col(key).alias("_k"), F.col("_day").alias("_d"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    upto = Window.partitionBy(key, "_day").orderBy("bucket_start").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_run", F.sum("_new").over(upto)).join(days, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_day") == F.col("_d")))
+    g = d.groupBy(key, (F.col("_off") + F.col("_run")).alias("session")).agg(
+        F.min("first").alias("session_start"), F.max("last").alias("_last"), F.sum("n").alias("n_events"))
     return g.select(key, "session_start",
-                    (F.col("_last") + F.make_interval(secs=F.lit(gap_seconds))).alias("session_end"),
-                    "n_events")
+                    (F.col("_last") + F.make_interval(secs=F.lit(gap_seconds))).alias("session_end"), "n_events")
 
 
 def score_histogram(df: DataFrame, width: str = "1 day", bin_width: float = 50.0,

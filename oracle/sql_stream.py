@@ -44,3 +44,8 @@ SQL["session_activity"] = (
 SQL["score_histogram"] = (
     "SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, CAST(LEAST(FLOOR(value / 50.0), 9) AS INTEGER) "
     "AS bin, COUNT(*) AS n FROM events GROUP BY 1, 2")
+
+# the streaming runs of the same windows
+for _stream, _batch in {"stream_rates": "rate_tumbling", "stream_error_share": "error_share", "stream_served_total": "served_total",
+                        "stream_histogram": "score_histogram", "stream_alerts": "alert_for_duration", "stream_gaps": "gap_detection"}.items():
+    SQL[_stream] = SQL[_batch]

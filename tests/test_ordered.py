@@ -12,9 +12,9 @@ def test_running_totals_match_bruteforce(spark):
     rnd = random.Random(7)
     rows = [(rnd.choice(["g1", "g2", "g3"]), i, rnd.random() * 100, rnd.randint(0, 5)) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, id long, x double, v long")
-    for desc, small in ((False, 0), (True, 0), (False, 10_000), (True, 10_000)):
+    for desc in (False, True):
         got = running_totals(df, F.col("x"), [F.col("x"), F.col("id")], {"cum": F.col("v")}, ["g"],
-                             descending=desc, n_buckets=7, small_group_rows=small).toPandas()
+                             descending=desc, n_buckets=7).toPandas()
         pdf = pd.DataFrame(rows, columns=["g", "id", "x", "v"]).sort_values(
             ["g", "x", "id"], ascending=[True, not desc, not desc])
         pdf["cum"] = pdf.groupby("g")["v"].cumsum()
@@ -27,7 +27,7 @@ def test_positions_are_row_numbers_in_hash_order(spark):
     df = spark.range(2000).withColumn("cls", (F.col("id") % 3).cast("int"))
     h, pre = md5_key(42, F.col("id"))
     got = positions(df.withColumns({"h": h, "hp": pre}), F.col("hp"), [F.col("h")], ["cls"],
-                    small_group_rows=0).toPandas()
+                    n_buckets=5).toPandas()
     for _, grp in got.groupby("cls"):
         assert list(grp.sort_values("h")["pos"]) == list(range(1, len(grp) + 1))
 
@@ -64,7 +64,7 @@ def test_null_groups_and_keys_have_running_totals(spark):
 def test_constant_key_single_bucket(spark):
     df = spark.createDataFrame([(i, 1.0) for i in range(50)], "id long, x double")
     got = running_totals(df, F.col("x"), [F.col("x"), F.col("id")], {"c": F.lit(1)},
-                         small_group_rows=0).toPandas()
+                         n_buckets=5).toPandas()
     assert sorted(got["c"]) == list(range(1, 51))
 
 
