@@ -110,6 +110,12 @@ def quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFram
 def group_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float]) -> DataFrame:
     """(groups, n, q): the same per group for the non-null numbers of one column, ``n`` of them."""
     freq = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).cast("double").alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
+    return frequency_quantiles(freq, groups, "_x", "_c", probs)
+
+
+def frequency_quantiles(freq: DataFrame, groups: list[str], value: str, count: str, probs: list[float]) -> DataFrame:
+    """The same from a table with one row per group and value, ``count`` times each."""
+    freq = freq.select(*groups, F.col(value).alias("_x"), F.col(count).alias("_c"))
     cum = running_totals(freq, F.col("_x"), [F.col("_x")], {"_upto": F.col("_c")}, groups)
     names = [f"_g{i}" for i in range(len(groups))]
     total = freq.groupBy(*[F.col(f"`{g}`").alias(n) for g, n in zip(groups, names)]).agg(F.sum("_c").alias("n"))

@@ -70,12 +70,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:8]}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read
     it back: lineage is cut (a lost executor re-reads the table) and later
     jobs keep Parquet column pruning and filter pushdown."""
-    import uuid
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:8]}"
+    path = shared_folder(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

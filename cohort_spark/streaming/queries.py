@@ -132,20 +132,26 @@ def label_feedback_stream(preds: DataFrame, labels: DataFrame, max_delay: str =
                                              "l.label_ts", "l.label")
 
 
-def drift_per_batch(stream: DataFrame, reference: DataFrame, columns: list[str], out_path: str,
-                    checkpoint: str | None = None):
-    """Evaluate column drift, dataset drift and the retrain rule for every
-    micro-batch against ``reference``; one verdict row per batch, written to
-    its own ``batch_id=N`` partition with overwrite, so a micro-batch replayed
-    after a failure rewrites the same output (idempotent)."""
+def drift_per_batch(stream: DataFrame, snapshot, columns: list[str], out_path: str,
+                    label: str | None = None, checkpoint: str | None = None):
+    """Evaluate column drift, dataset drift and the retrain rule for every micro-batch against a
+    written reference ``snapshot`` (no reference row is read); with ``label`` the batch's average
+    precision counts as well.  One verdict row per batch, written to its own ``batch_id=N``
+    partition with overwrite, so a micro-batch replayed after a failure rewrites the same output
+    (idempotent)."""
     from ..operators import drift as DR
+    from ..operators import metrics as M
+    from ..session import materialize
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        share = DR.drift_summary(DR.column_drift(reference, batch, columns))
-        psis = DR.psi(reference, batch, [c for c in C.TOP_SHAP_FEATURES if c in columns])
-        verdict = DR.retrain_decision(share, psis)
+        j = materialize(DR.joint(snapshot, {"batch": batch}, columns), f"drift-batch-{batch_id}")
+        share = DR.drift_summary(DR.column_drift(j, snapshot.facts))
+        psis = DR.psi_of(j, snapshot.facts, [c for c in C.TOP_SHAP_FEATURES if c in columns])
+        ap = None if label is None else M.ranking_metrics(batch, label, "prediction").select(
+            F.lit("batch").alias("batch"), F.col("average_precision").alias("new_data_prauc"))
+        verdict = DR.retrain_decision(share, psis, ap).drop("batch")
         verdict.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     return (stream.writeStream.foreachBatch(handle)

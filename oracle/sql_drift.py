@@ -31,20 +31,25 @@ def _hfrac(seed: str, frac: float) -> str:
             f"4294967296.0 < {frac})")
 
 
+# the registered scorecard and the columns that the vanished batch has lost
+PRED = r6("1.0 / (1.0 + EXP(-(-3.0 + 0.35 * number_inpatient + 0.01 * age_midpoint + 0.03 * time_in_hospital + 0.05 * n_meds_used "
+          "+ CASE WHEN admission_type_grp = 'Emergency' THEN 0.2 ELSE 0.0 END + CASE WHEN diag_1_bucket = 'Circulatory' THEN 0.25 ELSE 0.0 END)))")
+VANISHED = [("medical_specialty", "VARCHAR"), ("number_inpatient", "INTEGER"), ("time_in_hospital", "INTEGER"), ("prediction", "DOUBLE")]
 _MID = "CAST(LEAST(GREATEST(age_midpoint + 20, 5), 95) AS SMALLINT)"
 BASE = (clean_cte(with_score=True) + ",\n"
-        "feat AS (" + feat_select("clean", "target, score AS prediction") + "),\n"
+        "feat AS (" + feat_select("clean", "target") + "),\n"
         "sp AS (SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY target ORDER BY md5('42:' || "
         "CAST(encounter_id AS VARCHAR))) <= CEIL(COUNT(*) OVER (PARTITION BY target) * 0.2) "
         "THEN 'test' ELSE 'train' END AS split FROM feat),\n"
-        "ref AS (SELECT * FROM sp WHERE split = 'train'),\n"
-        "control AS (SELECT * FROM sp WHERE split = 'test'),\n"
-        f"shifted AS (SELECT * REPLACE ({_MID} AS age_midpoint, CASE WHEN {_MID} >= 60 THEN '[60-100)' "
+        f"ref AS (SELECT *, {PRED} AS prediction FROM sp WHERE split = 'train'),\n"
+        f"control AS (SELECT *, {PRED} AS prediction FROM sp WHERE split = 'test'),\n"
+        "vanished AS (SELECT * REPLACE (" + ", ".join(f"NULL::{t} AS {c}" for c, t in VANISHED) + ") FROM control),\n"
+        f"shifted AS (SELECT *, {PRED} AS prediction FROM (SELECT * REPLACE ({_MID} AS age_midpoint, CASE WHEN {_MID} >= 60 THEN '[60-100)' "
         f"WHEN {_MID} >= 30 THEN '[30-60)' ELSE '[0-30)' END AS age_bucket, CASE WHEN {_hfrac('42-diag', 0.4)} "
         "THEN 'Circulatory' ELSE diag_1_bucket END AS diag_1_bucket, CAST(number_inpatient + 2 AS INTEGER) AS "
         "number_inpatient, CAST(service_utilization + 2 AS INTEGER) AS service_utilization, "
         "CAST(number_inpatient + 2 >= 2 AS TINYINT) AS inpatient_ge_2, CASE WHEN "
-        f"{_hfrac('42-adm', 0.3)} THEN 'Emergency' ELSE admission_type_grp END AS admission_type_grp) FROM control),\n"
+        f"{_hfrac('42-adm', 0.3)} THEN 'Emergency' ELSE admission_type_grp END AS admission_type_grp) FROM sp WHERE split = 'test')),\n"
         # columns constant on the reference are not monitored
         "refl AS (SELECT \"column\", value FROM (SELECT " + ", ".join(f"CAST({q(c)} AS VARCHAR) AS {q(c)}" for c in ALL)
         + " FROM ref) UNPIVOT INCLUDE NULLS (value FOR \"column\" IN (" + ", ".join(q(c) for c in ALL) + "))),\n"
@@ -55,8 +60,8 @@ BASE = (clean_cte(with_score=True) + ",\n"
 def _long(batch: str, cols: list[str], typ: str) -> str:
     sel = ", ".join(f"CAST({q(c)} AS {typ}) AS {q(c)}" for c in cols)
     inl = ", ".join(q(c) for c in cols)
-    return (f"SELECT 'ref' AS side, \"column\", value FROM (SELECT {sel} FROM ref) UNPIVOT (value FOR \"column\" IN ({inl})) "
-            f"UNION ALL SELECT 'cur', \"column\", value FROM (SELECT {sel} FROM {batch}) UNPIVOT (value FOR \"column\" IN ({inl}))")
+    return (f"SELECT 'ref' AS side, \"column\", value FROM (SELECT {sel} FROM ref) UNPIVOT INCLUDE NULLS (value FOR \"column\" IN ({inl})) "
+            f"UNION ALL SELECT 'cur', \"column\", value FROM (SELECT {sel} FROM {batch}) UNPIVOT INCLUDE NULLS (value FOR \"column\" IN ({inl}))")
 
 
 def batch_ctes(b: str) -> str:
@@ -66,21 +71,23 @@ fn_{b} AS (SELECT "column", value, COUNT(*) FILTER (WHERE side = 'ref') AS n_ref
   FROM ({_long(b, NUM, 'DOUBLE')}) WHERE "column" NOT IN (SELECT "column" FROM consts) GROUP BY 1, 2),
 fc_{b} AS (SELECT "column", value, COUNT(*) FILTER (WHERE side = 'ref') AS n_ref, COUNT(*) FILTER (WHERE side = 'cur') AS n_cur
   FROM ({_long(b, CATS, 'VARCHAR')}) WHERE "column" NOT IN (SELECT "column" FROM consts) GROUP BY 1, 2),
-tn_{b} AS (SELECT "column", SUM(n_ref) AS tr, SUM(n_cur) AS tc, COUNT(*) AS nv FROM fn_{b} GROUP BY 1),
-tc_{b} AS (SELECT "column", SUM(n_ref) AS tr, SUM(n_cur) AS tc, COUNT(*) AS nv FROM fc_{b} GROUP BY 1),
-jsn_{b} AS (SELECT "column", SQRT(GREATEST(SUM(CASE WHEN p > 0 THEN p * LN(p / m) ELSE 0 END + CASE WHEN qq > 0 THEN qq * LN(qq / m) ELSE 0 END) / 2, 0)) AS js
-  FROM (SELECT f."column", n_ref / tr AS p, n_cur / tc AS qq, (n_ref / tr + n_cur / tc) / 2 AS m FROM fn_{b} f JOIN tn_{b} USING ("column")) GROUP BY 1),
-jsc_{b} AS (SELECT "column", SQRT(GREATEST(SUM(CASE WHEN p > 0 THEN p * LN(p / m) ELSE 0 END + CASE WHEN qq > 0 THEN qq * LN(qq / m) ELSE 0 END) / 2, 0)) AS js
-  FROM (SELECT f."column", n_ref / tr AS p, n_cur / tc AS qq, (n_ref / tr + n_cur / tc) / 2 AS m FROM fc_{b} f JOIN tc_{b} USING ("column")) GROUP BY 1),
-cdf_{b} AS (SELECT f."column", value, SUM(n_ref) OVER w / tr AS fr, SUM(n_cur) OVER w / tc AS fcur,
-  LEAD(value) OVER w AS nxt FROM fn_{b} f JOIN tn_{b} USING ("column") WINDOW w AS (PARTITION BY f."column" ORDER BY value)),
-sd_{b} AS (SELECT "column", STDDEV_POP(value) AS sdr FROM ({_long(b, NUM, 'DOUBLE')}) WHERE side = 'ref' GROUP BY 1),
-wk_{b} AS (SELECT c."column", SUM(CASE WHEN nxt IS NOT NULL THEN ABS(fr - fcur) * (nxt - value) ELSE 0 END) / GREATEST(ANY_VALUE(sdr), 0.001) AS w,
-  MAX(ABS(fr - fcur)) AS ks FROM cdf_{b} c JOIN sd_{b} USING ("column") GROUP BY 1),
-chi_{b} AS (SELECT f."column", ANY_VALUE(tr + tc) * (SUM(n_ref * n_ref / (tr * (n_ref + n_cur)) + n_cur * n_cur / (tc * (n_ref + n_cur))) - 1) AS chi2
+tn_{b} AS (SELECT "column", SUM(n_ref) AS rr, SUM(n_cur) AS rc, COALESCE(SUM(n_ref) FILTER (WHERE value IS NOT NULL), 0) AS tr,
+  COALESCE(SUM(n_cur) FILTER (WHERE value IS NOT NULL), 0) AS tc, COUNT(value) AS nv, COUNT(*) AS k FROM fn_{b} GROUP BY 1),
+tc_{b} AS (SELECT "column", SUM(n_ref) AS rr, SUM(n_cur) AS rc, COALESCE(SUM(n_ref) FILTER (WHERE value IS NOT NULL), 0) AS tr,
+  COALESCE(SUM(n_cur) FILTER (WHERE value IS NOT NULL), 0) AS tc, COUNT(value) AS nv, COUNT(*) AS k FROM fc_{b} GROUP BY 1),
+jsn_{b} AS (SELECT "column", CASE WHEN ANY_VALUE(gone) THEN 1 ELSE SQRT(GREATEST(SUM(CASE WHEN p > 0 THEN p * LN(p / m) ELSE 0 END + CASE WHEN qq > 0 THEN qq * LN(qq / m) ELSE 0 END) / 2, 0)) END AS js
+  FROM (SELECT f."column", (tr > 0) <> (tc > 0) AS gone, n_ref / rr AS p, n_cur / rc AS qq, (n_ref / rr + n_cur / rc) / 2 AS m FROM fn_{b} f JOIN tn_{b} USING ("column")) GROUP BY 1),
+jsc_{b} AS (SELECT "column", CASE WHEN ANY_VALUE(gone) THEN 1 ELSE SQRT(GREATEST(SUM(CASE WHEN p > 0 THEN p * LN(p / m) ELSE 0 END + CASE WHEN qq > 0 THEN qq * LN(qq / m) ELSE 0 END) / 2, 0)) END AS js
+  FROM (SELECT f."column", (tr > 0) <> (tc > 0) AS gone, n_ref / rr AS p, n_cur / rc AS qq, (n_ref / rr + n_cur / rc) / 2 AS m FROM fc_{b} f JOIN tc_{b} USING ("column")) GROUP BY 1),
+cdf_{b} AS (SELECT f."column", value, tr, tc, SUM(n_ref) OVER w / NULLIF(tr, 0) AS fr, SUM(n_cur) OVER w / NULLIF(tc, 0) AS fcur,
+  LEAD(value) OVER w AS nxt FROM fn_{b} f JOIN tn_{b} USING ("column") WHERE value IS NOT NULL WINDOW w AS (PARTITION BY f."column" ORDER BY value)),
+sd_{b} AS (SELECT "column", STDDEV_POP(value) AS sdr FROM ({_long(b, NUM, 'DOUBLE')}) WHERE side = 'ref' AND value IS NOT NULL GROUP BY 1),
+wk_{b} AS (SELECT c."column", CASE WHEN ANY_VALUE((tr > 0) <> (tc > 0)) THEN 1 ELSE SUM(CASE WHEN nxt IS NOT NULL THEN ABS(fr - fcur) * (nxt - value) ELSE 0 END) / GREATEST(ANY_VALUE(sdr), 0.001) END AS w,
+  CASE WHEN ANY_VALUE((tr > 0) <> (tc > 0)) THEN 1 ELSE MAX(ABS(fr - fcur)) END AS ks FROM cdf_{b} c JOIN sd_{b} USING ("column") GROUP BY 1),
+chi_{b} AS (SELECT f."column", ANY_VALUE(rr + rc) * (SUM(n_ref * n_ref / (rr * (n_ref + n_cur)) + n_cur * n_cur / (rc * (n_ref + n_cur))) - 1) AS chi2
   FROM fc_{b} f JOIN tc_{b} USING ("column") GROUP BY 1),
-cd_{b} AS (SELECT w."column", CASE WHEN nv > 5 THEN 'wasserstein' ELSE 'jensenshannon' END AS method,
-  CASE WHEN nv > 5 THEN w ELSE js END AS score FROM wk_{b} w JOIN jsn_{b} USING ("column") JOIN tn_{b} USING ("column")
+cd_{b} AS (SELECT t."column", CASE WHEN nv > 5 THEN 'wasserstein' ELSE 'jensenshannon' END AS method,
+  CASE WHEN nv > 5 THEN w ELSE js END AS score FROM tn_{b} t JOIN jsn_{b} USING ("column") LEFT JOIN wk_{b} USING ("column")
   UNION ALL SELECT "column", 'jensenshannon', js FROM jsc_{b}),
 ds_{b} AS (SELECT COUNT(*) FILTER (WHERE score >= 0.1) AS drifted, COUNT(*) AS n_columns,
   COUNT(*) FILTER (WHERE score >= 0.1) / COUNT(*) AS share FROM cd_{b}),
@@ -110,6 +117,7 @@ def _psi(b: str) -> str:
 
 
 ALL_CTES = BASE + batch_ctes("control") + batch_ctes("shifted")
+VANISHED_CTES = BASE + batch_ctes("vanished")
 
 
 def _both(select_tpl: str) -> str:
@@ -166,9 +174,45 @@ SQL["score_means"] = with_enc(
     "SELECT batch, " + rn("AVG(prediction)", 4) + " AS mean_score FROM (SELECT 'baseline' AS batch, prediction FROM ref "
     "UNION ALL SELECT 'control', prediction FROM control UNION ALL SELECT 'shifted', prediction FROM shifted) GROUP BY 1",
     BASE)
-SQL["what_if_shift"] = with_enc("SELECT encounter_id, " + ", ".join(SHIFTED) + " FROM shifted", BASE)
+SQL["what_if_shift"] = with_enc("SELECT encounter_id, " + ", ".join(SHIFTED) + ", prediction FROM shifted", BASE)
+SQL["drift_vanished"] = with_enc("SELECT \"column\", method, " + r6("score") + " AS score, score >= 0.1 AS drifted FROM cd_vanished", VANISHED_CTES)
+SQL["stream_drift"] = SQL["retrain_decision"]
+_facts = lambda cols, kind: (
+    "SELECT \"column\", '" + kind + "' AS kind, COUNT(*) AS \"rows\", COUNT(*) - COUNT(value) AS missing, COUNT(DISTINCT value) AS n_values, "
+    + (r6("STDDEV_POP(value)") if kind == "numeric" else "CAST(NULL AS DOUBLE)") + " AS std, "
+    + ("CAST(CASE WHEN COUNT(DISTINCT value) > 10 THEN GREATEST(len(list_distinct(quantile_cont(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) - 2, 0) "
+       "ELSE 0 END AS INTEGER)" if kind == "numeric" else "0") + " AS n_edges FROM (" + _long("ref", cols, "DOUBLE" if kind == "numeric" else "VARCHAR")
+    + ") WHERE side = 'ref' GROUP BY 1")
+SQL["reference_snapshot"] = with_enc(_facts(NUM, "numeric") + " UNION ALL " + _facts(CATS, "category"), BASE)
+
+# p-values: Kolmogorov's series, and the incomplete gamma function's power series
+_GQ = ("CASE WHEN {x} <= 0 THEN 1.0 ELSE GREATEST(0.0, 1.0 - list_sum(list_transform(range(0, 3000), lambda i: "
+       "EXP({a} * LN({x}) - {x} + i * LN({x}) - lgamma({a} + i + 1))))) END")
+
+
+def _tests(b: str) -> str:
+    few = (f"(SELECT f.*, rr, rc, k FROM fn_{b} f JOIN tn_{b} USING (\"column\") WHERE nv <= 5 UNION ALL "
+           f"SELECT \"column\", CAST(value AS VARCHAR), n_ref, n_cur, rr, rc, k FROM fc_{b} f JOIN tc_{b} USING (\"column\"))").replace(
+        "SELECT f.*", "SELECT f.\"column\", CAST(value AS VARCHAR) AS value, n_ref, n_cur")
+    lam = "(SQRT(tr * tc / (tr + tc)) * ks)"
+    k_sf = (f"CASE WHEN {lam} <= 0.05 THEN 1.0 ELSE LEAST(1.0, GREATEST(0.0, 2 * list_sum(list_transform(range(1, 200), "
+            f"lambda i: CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END * EXP(-2.0 * i * i * {lam} * {lam}))))) END")
+    return (f"SELECT \"column\", 'ks' AS method, ks AS statistic, {k_sf} AS p FROM wk_{b} JOIN tn_{b} USING (\"column\") WHERE nv > 5 "
+            f"UNION ALL SELECT \"column\", 'z', z, {_GQ.format(a='0.5', x='(z * z / 2)')} FROM (SELECT \"column\", "
+            f"(c / rc - r / rr) / SQRT((r + c) / (rr + rc) * (1 - (r + c) / (rr + rc)) * (1.0 / rr + 1.0 / rc)) AS z FROM (SELECT \"column\", "
+            f"arg_max(n_ref, COALESCE(value, '')) AS r, arg_max(n_cur, COALESCE(value, '')) AS c, ANY_VALUE(rr) AS rr, ANY_VALUE(rc) AS rc "
+            f"FROM {few} WHERE k = 2 GROUP BY 1)) "
+            f"UNION ALL SELECT \"column\", 'chi2', chi2, CASE WHEN k > 1 THEN {_GQ.format(a='((k - 1) / 2)', x='(chi2 / 2)')} ELSE 1.0 END FROM ("
+            f"SELECT \"column\", ANY_VALUE(k) AS k, ANY_VALUE(rr + rc) * (SUM(n_ref * n_ref / (rr * (n_ref + n_cur)) + n_cur * n_cur / (rc * (n_ref + n_cur))) - 1) AS chi2 "
+            f"FROM {few} WHERE k <> 2 GROUP BY 1)")
+
+
+SQL["drift_p_values"] = with_enc(" UNION ALL ".join(
+    f"SELECT '{b}' AS batch, \"column\", method, {rn('statistic', 4)} AS statistic, {rn('p', 4)} AS p_value, p < 0.05 AS drifted FROM ({_tests(b)})"
+    for b in ("control", "shifted")), ALL_CTES)
 SQL["drift_validation"] = with_enc(
     "SELECT c.share >= 0.1 AS control_drift, s.share >= 0.1 AS shifted_drift, k.n_caught, k.n_shifted_features, "
-    "NOT (c.share >= 0.1) AND s.share >= 0.1 AS detector_pass FROM ds_control c, ds_shifted s, "
-    "(SELECT COUNT(*) FILTER (WHERE score >= 0.1) AS n_caught, COUNT(*) AS n_shifted_features FROM cd_shifted "
-    "WHERE \"column\" IN (" + ", ".join(lit(c) for c in SHIFTED) + ")) k", ALL_CTES)
+    "k.prediction_drift, NOT (c.share >= 0.1) AND s.share >= 0.1 AS detector_pass FROM ds_control c, ds_shifted s, "
+    "(SELECT COUNT(*) FILTER (WHERE score >= 0.1 AND \"column\" IN (" + ", ".join(lit(c) for c in SHIFTED) + ")) AS n_caught, "
+    "COUNT(*) FILTER (WHERE \"column\" IN (" + ", ".join(lit(c) for c in SHIFTED) + ")) AS n_shifted_features, "
+    "BOOL_OR(score >= 0.1 AND \"column\" = 'prediction') AS prediction_drift FROM cd_shifted) k", ALL_CTES)

@@ -63,11 +63,11 @@ def test_label_feedback_stream_join(spark, tmp_path):
 
 
 def test_drift_per_batch_and_audit(spark, sf_dir, tmp_path):
-    from cohort_spark.plans.jobs_drift import drift_inputs
+    from cohort_spark.plans import jobs_drift as JD
     from cohort_spark.streaming.queries import audit_sink, drift_per_batch
-    ref, batches, cols = drift_inputs(spark, sf_dir)
+    ref, cols = JD.reference(spark, sf_dir), JD.monitored(spark, sf_dir)
     src = tmp_path / "batch"
-    batches["shifted"].select(*cols).write.parquet(str(src))
+    JD.batches(spark, sf_dir)["shifted"].select(*cols).write.parquet(str(src))
     stream = spark.readStream.schema(spark.read.parquet(str(src)).schema).parquet(str(src))
     out = str(tmp_path / "verdicts")
     drift_per_batch(stream, ref, cols, out).awaitTermination()

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cohort_spark import session
 from cohort_spark.functions.columns import pearson_pairs
-from cohort_spark.operators.drift import chi2_statistic, jensen_shannon
 from cohort_spark.operators.split import stratified_split
 
 
@@ -24,12 +23,6 @@ def test_split_keeps_rows_without_label(spark):
     assert stratified_split(df, "id", "y").count() == 5
 
 
-def test_drift_of_a_column_without_values(spark):
-    freq = spark.createDataFrame([("c", "a", 3, 0), ("c", "b", 2, 0)], "column string, value string, n_ref long, n_cur long")
-    assert jensen_shannon(freq).first()["js"] is None
-    assert chi2_statistic(freq).first()["chi2"] is None
-
-
 def test_cluster_without_a_shared_folder_raises():
     context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None,
                               getConf=lambda: SimpleNamespace(get=lambda k, d=None: d))
