@@ -223,12 +223,13 @@ def field_reasons(fields: list[dict] | None = None) -> list[Column]:
         elif f["type"] == "integer":
             reasons.append(F.when(present & ~c.between(f["min"], f["max"]),
                                   F.lit(f"{name}: out of range")))
-    # semantic rejects
-    reasons.append(F.when(F.col("gender") == C.REJECTED_GENDER,
-                          F.lit("gender: not scoreable")))
-    reasons.append(F.when(F.col("discharge_disposition_id").isin(*C.EXPIRED_HOSPICE_IDS),
-                          F.lit("discharge_disposition_id: expired/hospice")))
-    return reasons
+    return reasons + semantic_reasons()
+
+
+def semantic_reasons() -> list[Column]:
+    """What the contract allows and the model cannot score."""
+    return [F.when(F.col("gender") == C.REJECTED_GENDER, F.lit("gender: not scoreable")),
+            F.when(F.col("discharge_disposition_id").isin(*C.EXPIRED_HOSPICE_IDS), F.lit("discharge_disposition_id: expired/hospice"))]
 
 
 def reject_reasons(df: DataFrame) -> DataFrame:

@@ -9,10 +9,12 @@ from ..functions.columns import col
 from ..functions.icd9 import bucket_icd9, icd9_chapter
 from ..operators import clean as CL
 from ..operators import quality as Q
+from ..operators import requests as RQ
 from ..sources import dimensions as D
 from ..sources.readers import normalize_missing, read_parquet
 from ..functions.columns import round_half_up
-from .catalog import R6, cleaned, featurized, raw, register
+from ..session import materialize
+from .catalog import R6, cleaned, featurized, memo_plan, raw, register
 
 R4 = lambda c: round_half_up(c, 4)
 
@@ -375,27 +377,58 @@ def score_flag(spark, sf_dir):
     return df.select("encounter_id", prob.alias("probability"), flag.alias("flag"))
 
 
+#: The registered audit's model block (fixed values of this library).
+AUDITED_MODEL = {"name": "readmission", "version": "1", "alias": "staging", "threshold": OPERATING_THRESHOLD,
+                 "calibration_method": "none", "load_source": "session"}
+
+
 @register("audit_json")
 def audit_json(spark, sf_dir):
-    """Nested audit record built with ``to_json(struct)``, read back by path."""
-    df = _scored(spark, sf_dir).join(raw(spark, sf_dir).select("encounter_id", "race", "gender"),
-                                     "encounter_id")
+    """The whole audit line of every encounter (F26), read back: id, model block, the 44 inputs as
+    sent, output, latency."""
+    df = raw(spark, sf_dir, "literal")
     prob, flag = FC.score_flag(F.col("score"), OPERATING_THRESHOLD)
-    rec = F.to_json(F.struct(
-        F.md5(F.col("encounter_id").cast("string")).alias("request_id"),
-        F.struct(F.lit("readmission").alias("name"),
-                 F.lit(OPERATING_THRESHOLD).alias("threshold")).alias("model"),
-        F.struct("race", "gender").alias("inputs"),
-        F.struct(prob.alias("readmission_probability"), flag.alias("flag")).alias("output"),
-    ))
-    return df.select(
-        "encounter_id",
-        F.get_json_object(rec, "$.request_id").alias("request_id"),
-        F.get_json_object(rec, "$.output.readmission_probability").cast("double")
-        .alias("probability"),
-        F.get_json_object(rec, "$.output.flag").cast("boolean").alias("flag"),
-        F.get_json_object(rec, "$.inputs.race").alias("race"),
-    )
+    inputs = [f["field"] for f in Q.contract_fields()]
+    line = RQ.audit_record(F.md5(F.col("encounter_id").cast("string")), F.timestamp_seconds(F.col("encounter_id")), AUDITED_MODEL, inputs,
+                           prob, flag, None, F.col("encounter_id") % 1000 / 8)
+    kinds = dict(df.dtypes)
+    sent = ", ".join(f"`{c}`: {kinds[c]}" for c in inputs)
+    back = F.from_json(line, "request_id string, timestamp timestamp, model struct<name: string, version: string, alias: string, threshold: double, "
+                       f"calibration_method: string, load_source: string>, inputs struct<{sent}>, "
+                       "output struct<readmission_probability: double, flag: boolean>, latency_ms double")
+    df = df.select("encounter_id", back.alias("r"))
+    return df.select("encounter_id", "r.request_id", F.unix_seconds("r.timestamp").alias("at"), F.col("r.model.name").alias("model_name"), "r.model.alias",
+                     "r.model.calibration_method", "r.model.load_source", F.col("r.model.threshold").alias("threshold"),
+                     F.col("r.output.readmission_probability").alias("probability"), "r.output.flag", "r.latency_ms", "r.inputs.*")
+
+
+@memo_plan
+def request_lines(spark, sf_dir):
+    """Encounters as raw request lines, some of them broken in ways the contract tells apart
+    (written: requests arrive as files)."""
+    df = raw(spark, sf_dir, "literal")
+    k = F.col("encounter_id")
+    sent = {f["field"]: col(f["field"]).cast("string") for f in Q.contract_fields()}
+    text = {f["field"] for f in Q.contract_fields() if f["type"] != "integer"}
+    said = {c: F.coalesce(F.concat(F.lit('"'), v, F.lit('"')) if c in text else v, F.lit("null")) for c, v in sent.items()}
+    said["time_in_hospital"] = F.when(k % 17 == 3, F.lit('"abc"')).otherwise(said["time_in_hospital"])
+    said["gender"] = F.when(k % 29 == 6, F.lit("null")).otherwise(said["gender"])
+    said["num_medications"] = F.when(k % 31 == 7, F.concat(F.lit('"'), said["num_medications"], F.lit('"'))).otherwise(said["num_medications"])
+    said["race"] = F.when(k % 37 == 8, F.lit("5")).otherwise(said["race"])
+    pairs = [F.concat(F.lit(f'"{c}": '), v) for c, v in said.items()]
+    pairs.append(F.when(k % 19 == 4, F.lit('"ssn": "1"')))
+    body = F.concat_ws(", ", F.concat(F.lit('"request_id": "'), k.cast("string"), F.lit('"')), *pairs)
+    line = F.concat(F.lit("{"), body, F.when(k % 23 == 5, F.lit("")).otherwise(F.lit("}")))
+    return materialize(df.select("encounter_id", line.alias("value")), "request-lines")
+
+
+@register("request_verdicts")
+def request_verdicts(spark, sf_dir):
+    """Contract verdicts on raw request lines (V12-V14): wrong types, unknown keys, missing values
+    and lines that are no JSON object are told apart."""
+    v = RQ.check_requests(request_lines(spark, sf_dir))
+    # written: a filter on the verdict would be pushed into the rules again, a copy a reference
+    return materialize(v.select("encounter_id", "accepted", F.array_join("reasons", "; ").alias("reasons")), "request-verdicts")
 
 
 @register("stage_gate_report")

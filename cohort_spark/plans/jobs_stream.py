@@ -8,7 +8,7 @@ from ..functions.columns import round_half_up
 from ..sources import read_table
 from ..streaming import alerts as AL
 from ..streaming import windows as W
-from .catalog import register
+from .catalog import memo_plan, register
 
 
 def events(spark, sf_dir):
@@ -151,31 +151,42 @@ def stream_gaps(spark, sf_dir):
     return _r(out.where("state = 'resolved'").select("prev_ts", "ts", "gap_seconds"), ["gap_seconds"])
 
 
-@register("stream_scoring")
-def stream_scoring(spark, sf_dir):
-    """Structured Streaming run: raw encounter rows written as JSON request
-    records (44 contract fields + request id) -> contract split -> cleaning
-    -> features -> LR model -> probability and flag.  Refused records are in
-    the table ``rejected`` beside the scored ones."""
-    import uuid
-
-    from ..sources.readers import request_schema
-    from ..session import ensure_checkpoint_dir
-    from ..streaming.queries import scoring_stream
-    from .catalog import raw
-    from .jobs_core import OPERATING_THRESHOLD
-    from .jobs_models import LR_REG, train_test
+@memo_plan
+def scored_requests(spark, sf_dir):
+    """Run the scoring stream over all request lines: the folder of its outputs."""
+    from ..streaming.queries import Scoring, scoring_stream
     from . import models as ML
+    from .jobs_core import AUDITED_MODEL, OPERATING_THRESHOLD, request_lines
+    from .jobs_models import LR_REG, train_test
 
     train, _, cat, num = train_test(spark, sf_dir)
     model = ML.build_lr(cat, num, reg=LR_REG).fit(train)
-    fields = [f.name for f in request_schema().fields]
-    src_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/requests-{uuid.uuid4().hex[:8]}"
-    recs = raw(spark, sf_dir, "literal").select(
-        F.col("encounter_id").cast("string").alias("request_id"), *[F.col(f"`{c}`") for c in fields])
-    recs.write.mode("overwrite").json(src_dir)
-    schema = request_schema().add("request_id", "string")
-    sink = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scoring-{uuid.uuid4().hex[:8]}"
-    for query in scoring_stream(spark, src_dir, schema, model, OPERATING_THRESHOLD, sink):
-        query.awaitTermination()
-    return spark.read.parquet(f"{sink}/scored").select("request_id", "readmission_probability", "flag")
+    contributions = ML.linear_explainer(model, train, cat, num)
+    scoring = Scoring(model, OPERATING_THRESHOLD, AUDITED_MODEL, lambda df: ML.top_factors(contributions(df), cat + num))
+    source, sink = fresh_folder(spark, "requests"), fresh_folder(spark, "scoring")
+    request_lines(spark, sf_dir).select("value").write.text(source)
+    scoring_stream(spark, source, scoring, sink)[0].awaitTermination()
+    return sink
+
+
+@register("stream_scoring")
+def stream_scoring(spark, sf_dir):
+    """Structured Streaming run: raw request lines -> contract split -> cleaning -> features ->
+    null-feature guard -> LR model -> probability, flag and factors.  Refused requests and the
+    audit lines come from the same read (``stream_verdicts``)."""
+    scored = spark.read.parquet(f"{scored_requests(spark, sf_dir)}/scored")
+    return scored.select("request_id", "readmission_probability", "flag", F.size("top_factors").alias("n_factors"))
+
+
+@register("stream_verdicts")
+def stream_verdicts(spark, sf_dir):
+    """What the scoring stream did with every request: scored and audited, or refused with reasons."""
+    sink = scored_requests(spark, sf_dir)
+    audit = spark.read.text(f"{sink}/audit").select(F.get_json_object("value", "$.request_id").alias("id"), F.lit(True).alias("audited"))
+    scored = spark.read.parquet(f"{sink}/scored").select("request_id", F.lit("").alias("reasons"))
+    refused = spark.read.parquet(f"{sink}/rejected").select(
+        # a line that is no object has no id of its own
+        F.coalesce(F.regexp_extract("value", '"request_id": "([0-9]+)"', 1), "request_id").alias("request_id"), F.array_join("reasons", "; ").alias("reasons"))
+    every = scored.unionByName(refused).join(audit, F.col("request_id") == F.col("id"), "left")
+    return every.select(F.col("request_id").cast("long").alias("encounter_id"), (F.col("reasons") == "").alias("accepted"), "reasons",
+                        F.col("audited").isNotNull().alias("audited"))

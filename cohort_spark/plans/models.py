@@ -255,33 +255,34 @@ def comparison_table(rows: list[DataFrame], baseline: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ explanations
-def linear_contributions(model: PipelineModel, scored: DataFrame, train: DataFrame,
-                         cat: list[str], num: list[str]) -> DataFrame:
-    """Exact per-row contributions of a linear model on the margin scale:
-    coef_j · (x_j − mean_j) per assembled slot, summed per original feature
-    (one-hot slots of a categorical add up).  Means come from the training
-    rows; coefficients are a bounded literal vector (one per slot)."""
-    lr = model.stages[-1]
-    coef = lr.coefficients.toArray().tolist()
+def linear_explainer(model: PipelineModel, train: DataFrame, cat: list[str], num: list[str]):
+    """scored rows -> rows with ``contributions``: exact contributions of a linear model on the
+    margin scale, coef_j · (x_j − mean_j) per assembled slot, summed per original feature (one-hot
+    slots of a categorical add up).  Means come from the training rows, once; coefficients are a
+    bounded literal vector (one per slot)."""
+    coef = model.stages[-1].coefficients.toArray().tolist()
     feats = model.transform(train).select(vector_to_array("features").alias("_x"))
-    d = len(coef)
-    means = feats.agg(F.array(*[F.avg(F.col("_x")[i]) for i in range(d)]).alias("m")).first()["m"]
+    means = feats.agg(F.array(*[F.avg(F.col("_x")[i]) for i in range(len(coef))]).alias("m")).first()["m"]
     # slot -> original feature, from the one-hot sizes (alphabetical labels + dropped unknown)
-    sizes = []
-    idx_models = [s for s in model.stages if s.__class__.__name__ == "StringIndexerModel"]
-    labels = idx_models[0].labelsArray if idx_models else []
-    for c, lab in zip(cat, labels):
-        sizes.append((c, len(lab)))           # numLabels slots (unknown slot dropped)
-    sizes += [(c, 1) for c in num]
-    x = vector_to_array("features")
-    contrib = {}
-    pos = 0
-    for name, size in sizes:
-        terms = [(x[pos + i] - F.lit(means[pos + i])) * F.lit(coef[pos + i]) for i in range(size)]
-        contrib[name] = reduce(lambda a, b: a + b, terms) if terms else F.lit(0.0)
-        pos += size
-    assert pos == d, (pos, d)
-    return scored.select("*", F.struct(*[v.alias(k) for k, v in contrib.items()]).alias("contributions"))
+    indexed = [s for s in model.stages if s.__class__.__name__ == "StringIndexerModel"]
+    sizes = [(c, len(labels)) for c, labels in zip(cat, indexed[0].labelsArray if indexed else [])] + [(c, 1) for c in num]
+    assert sum(n for _, n in sizes) == len(coef), (sizes, len(coef))
+
+    def explain(scored: DataFrame) -> DataFrame:
+        x, at, parts = vector_to_array("features"), 0, []
+        for name, size in sizes:
+            terms = [(x[at + i] - F.lit(means[at + i])) * F.lit(coef[at + i]) for i in range(size)]
+            parts.append((reduce(lambda a, b: a + b, terms) if terms else F.lit(0.0)).alias(name))
+            at += size
+        return scored.withColumn("contributions", F.struct(*parts))
+
+    return explain
+
+
+def linear_contributions(model: PipelineModel, scored: DataFrame, train: DataFrame,
+                         cat: list[str], num: list[str]) -> DataFrame:
+    """``linear_explainer`` applied to ``scored``."""
+    return linear_explainer(model, train, cat, num)(scored)
 
 
 def top_factors(contrib: DataFrame, features: list[str], k: int = C.TOP_K_FACTORS) -> DataFrame:

@@ -1,8 +1,8 @@
 """Structured Streaming queries.
 
-* ``scoring_stream``: request records -> contract split -> the SAME cleaning
-  and feature transforms as batch -> model -> probability and flag; accepted
-  and refused records (with reasons) go to a Parquet table each.
+* ``scoring_stream``: raw request lines -> contract split -> the SAME cleaning
+  and feature transforms as batch -> null-feature guard -> model -> probability, flag and
+  factors; scored, refused (with reasons) and audit records by ``foreachBatch`` from one read.
 * ``audit_sink``: append-only audit records, de-duplicated by request id
   within a watermark, written with a checkpoint.
 * ``monitor_stream``: rates, error share, served totals, value histogram and the quantile sketch
@@ -19,16 +19,22 @@ take a fresh folder in the session's checkpoint folder at each start.
 """
 from __future__ import annotations
 
+import logging
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.columns import engineer_features, score_flag
 from ..operators.clean import clean_columns
-from ..operators.quality import reject_reasons
+from ..operators.quality import contract_fields
+from ..operators.requests import audit_record, check_requests, guard_features
 from ..session import ensure_checkpoint_dir
+from ..sources.readers import normalize_missing, request_schema
 from . import windows as W
 from .upsert import UpsertTable
 
@@ -38,55 +44,112 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def prepare_records(records: DataFrame) -> DataFrame:
-    """Intake normalisation: ``?`` and blanks become null (missing), then the
-    contract split; lab ``None`` stays a level."""
-    norm = {}
-    for f in records.schema.fields:
-        if f.dataType.simpleString() == "string" and f.name not in ("_raw", "request_id"):
-            t = F.trim(F.col(f"`{f.name}`"))
-            norm[f.name] = F.when((t != "") & (t != C.MISSING_TOKEN), F.col(f"`{f.name}`"))
-    checked = reject_reasons(records)      # reasons computed on the raw values
-    return checked.withColumns(norm)
+@dataclass(frozen=True)
+class Scoring:
+    """What the scoring stream scores with: a fitted model, its threshold and description, and
+    (where there is one) what adds ``top_factors`` to scored rows."""
 
+    model: object
+    threshold: float
+    about: dict = field(default_factory=dict)
+    explain: Callable[[DataFrame], DataFrame] | None = None
 
-def score_records(records: DataFrame, model, threshold: float) -> DataFrame:
-    """Accepted records -> clean -> features -> model probability -> flag."""
-    acc = prepare_records(records).where("accepted")
-    feats = engineer_features(clean_columns(acc))
-    scored = model.transform(feats)
-    from pyspark.ml.functions import vector_to_array
-    prob = vector_to_array("probability")[1]
-    shown, flag = score_flag(prob, threshold)
-    return scored.select("request_id", "request_ts", shown.alias("readmission_probability"),
-                         flag.alias("flag"))
+    @staticmethod
+    def checked(lines: DataFrame) -> DataFrame:
+        """Every request with its typed ``inputs``, ``reasons`` and ``accepted`` by the contract."""
+        c = check_requests(lines)
+        return c.select(*lines.columns, "request_id", F.struct(*[F.col(f"`{f}`") for f in request_fields()]).alias("inputs"), "reasons", "accepted")
 
+    def judged(self, checked: DataFrame) -> DataFrame:
+        """``checked`` requests, the accepted ones with probability, flag and factors, or refused
+        after all: the same cleaning and features as in batch, then the null-feature guard."""
+        sent = checked.select("*", "inputs.*")
+        cleaned = clean_columns(normalize_missing(sent, [f.name for f in request_schema().fields if f.dataType.simpleString() == "string"]))
+        feats = engineer_features(cleaned.where("accepted"))
+        guarded = guard_features(feats, [c for c in feats.columns if c not in KEEP])
+        refused = guarded.where(~F.col("accepted"))
+        scored = self.model.transform(guarded.where("accepted"))
+        shown, flag = score_flag(vector_to_array("probability")[1], self.threshold)
+        scored = scored.withColumns({"readmission_probability": shown, "flag": flag})
+        scored = self.explain(scored) if self.explain else scored.withColumn("top_factors", F.lit(None).cast(FACTORS))
+        keep = checked.columns
+        out = ["readmission_probability", "flag", "top_factors"]
+        blank = {"readmission_probability": F.lit(None).cast("double"), "flag": F.lit(None).cast("boolean"), "top_factors": F.lit(None).cast(FACTORS)}
+        rest = checked.where(~F.col("accepted")).unionByName(refused.select(*keep)).withColumns(blank)
+        return scored.select(*keep, *out).unionByName(rest)
 
-def checkpoint_beside(path: str) -> str:
-    """The one checkpoint folder of a query that writes to ``path``."""
-    return f"{path.rstrip('/')}-checkpoint"
+
+FACTORS = "array<struct<feature:string,value:string,contribution:double,direction:string>>"
+#: Columns that go through scoring untouched.
+KEEP = ("value", "request_id", "arrived", "reasons", "accepted", "inputs")
 
 
-def rejected_records(records: DataFrame) -> DataFrame:
-    """Records the contract refuses, as they came, with the reasons."""
-    return reject_reasons(records).where(~F.col("accepted")).drop("accepted")
+def request_fields() -> list[str]:
+    return [f["field"] for f in contract_fields()]
 
 
-def scoring_stream(spark: SparkSession, source_dir: str, schema, model, threshold: float,
-                   sink: str, trigger_available_now: bool = True) -> list:
-    """Start the scoring queries: JSON records in ``source_dir`` -> Parquet
-    tables ``sink``/scored and ``sink``/rejected (with reasons), each with its
-    checkpoint beside it, so queries started again on ``sink`` take up new
-    records only.  Every record goes to one of the two."""
-    def start(name: str, of):
-        path = f"{sink.rstrip('/')}/{name}"
-        recs = (spark.readStream.schema(schema).json(source_dir)
-                .withColumn("request_ts", F.current_timestamp()))
-        w = (of(recs).writeStream.format("parquet").outputMode("append").option("path", path)
-             .option("checkpointLocation", checkpoint_beside(path)))
-        return (w.trigger(availableNow=True) if trigger_available_now else w).start()
+def checkpoint_beside(path: str) -> str:
+    """The one checkpoint folder of a query that writes to ``path``."""
+    return f"{path.rstrip('/')}-checkpoint"
+
 
-    return [start("scored", lambda recs: score_records(recs, model, threshold)), start("rejected", rejected_records)]
+class ScoringSink:
+    """Three outputs of one read of every micro-batch: ``scored``, ``rejected`` (line and reasons)
+    and ``audit`` (JSON lines).  Each is written to its own ``batch_id=N`` folder with overwrite, so a
+    batch that died between two outputs is written again whole: no request twice or lost.  A
+    failing audit is told and does not stop scoring; ``audit_failures`` counts it."""
+
+    def __init__(self, scoring: Scoring, sink: str):
+        self.scoring, self.sink, self.audit_failures = scoring, sink.rstrip("/"), 0
+
+    def path(self, name: str, batch_id: int) -> str:
+        return f"{self.sink}/{name}/batch_id={batch_id}"
+
+    def write_scored(self, judged: DataFrame, batch_id: int) -> None:
+        judged.where("accepted").select("request_id", "scored_at", "readmission_probability", "flag", "top_factors") \
+            .write.mode("overwrite").parquet(self.path("scored", batch_id))
+
+    def write_rejected(self, judged: DataFrame, batch_id: int) -> None:
+        judged.where(~F.col("accepted")).select("request_id", "scored_at", "value", "reasons") \
+            .write.mode("overwrite").parquet(self.path("rejected", batch_id))
+
+    def write_audit(self, judged: DataFrame, batch_id: int) -> None:
+        latency = F.unix_millis("scored_at") - F.unix_millis("arrived")
+        scored = judged.where("accepted").select("*", "inputs.*")
+        line = audit_record(F.col("request_id"), F.col("scored_at"), {**self.scoring.about, "threshold": self.scoring.threshold}, request_fields(),
+                            F.col("readmission_probability"), F.col("flag"), F.col("top_factors"), latency)
+        scored.select(line.alias("value")).write.mode("overwrite").text(self.path("audit", batch_id))
+
+    def handle(self, batch: DataFrame, batch_id: int) -> None:
+        # one read, one check and one scoring, each written; the three outputs are projections of them
+        checked, judged = (f"{self.sink}/_work/{step}/batch_id={batch_id}" for step in ("checked", "judged"))
+        spark = batch.sparkSession
+        self.scoring.checked(batch).write.mode("overwrite").parquet(checked)
+        self.scoring.judged(spark.read.parquet(checked)).withColumn("scored_at", F.current_timestamp()).write.mode("overwrite").parquet(judged)
+        judged = spark.read.parquet(judged)
+        self.write_scored(judged, batch_id)
+        self.write_rejected(judged, batch_id)
+        try:
+            self.write_audit(judged, batch_id)
+        except Exception as failure:  # noqa: BLE001 -- whatever the sink raises, requests are answered
+            self.audit_failures += 1
+            logging.getLogger(__name__).warning("audit of batch %s failed: %s", batch_id, failure)
+
+
+def request_lines(spark: SparkSession, source_dir: str) -> DataFrame:
+    """Stream of raw request lines with the time their file arrived."""
+    lines = spark.readStream.format("text").load(source_dir)
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("arrived")).where(F.trim("value") != "")
+
+
+def scoring_stream(spark: SparkSession, source_dir: str, scoring: Scoring, sink: str, trigger_available_now: bool = True,
+                   of=ScoringSink):
+    """Start the scoring query: JSON lines in ``source_dir`` -> ``scored``, ``rejected`` and
+    ``audit`` below ``sink``, its checkpoint beside them; started again it takes up new lines only.
+    Returns (query, sink)."""
+    out = of(scoring, sink)
+    w = request_lines(spark, source_dir).writeStream.foreachBatch(out.handle).option("checkpointLocation", checkpoint_beside(sink))
+    return (w.trigger(availableNow=True) if trigger_available_now else w).start(), out
 
 
 def audit_sink(scored: DataFrame, path: str, watermark: str = "10 minutes", checkpoint: str | None = None):

@@ -385,9 +385,27 @@ SQL["verdict"] = with_enc(
     f"THEN 'TN' WHEN score >= {THR} AND label = 0 THEN 'FP' ELSE 'FN' END AS verdict FROM sc", _SCORED)
 SQL["score_flag"] = with_enc(
     f"SELECT encounter_id, {r6('score')} AS probability, score >= {THR} AS flag FROM sc", _SCORED)
+_INPUTS = ", ".join(q(n) for n, _ in contract_fields())
 SQL["audit_json"] = with_enc(
-    f"SELECT encounter_id, md5(CAST(encounter_id AS VARCHAR)) AS request_id, {r6('score')} AS probability, "
-    f"score >= {THR} AS flag, race FROM sc", _SCORED)
+    f"SELECT encounter_id, md5(CAST(encounter_id AS VARCHAR)) AS request_id, encounter_id AS \"at\", 'readmission' AS model_name, 'staging' AS alias, "
+    f"'none' AS calibration_method, 'session' AS load_source, CAST({THR} AS DOUBLE) AS threshold, {r6('score')} AS probability, score >= {THR} AS flag, "
+    f"ROUND(encounter_id % 1000 / 8, 2) AS latency_ms, {_INPUTS} FROM enc")
+
+# request lines with their planted faults
+_SENT = {"time_in_hospital": ("encounter_id % 17 = 3", "time_in_hospital: wrong type"), "gender": ("encounter_id % 29 = 6", "gender: missing"),
+         "race": ("encounter_id % 37 = 8", "race: wrong type")}
+_TOLD = []
+for _name, _spec in contract_fields():
+    _own = _field_reason_sql(_name, _spec)
+    _first = "COALESCE(" + ", ".join(_own) + ")" if _own else "NULL"
+    _TOLD.append(f"CASE WHEN {_SENT[_name][0]} THEN '{_SENT[_name][1]}' ELSE {_first} END" if _name in _SENT else _first)
+_TOLD += ["CASE WHEN gender = 'Unknown/Invalid' AND encounter_id % 29 <> 6 THEN 'gender: not scoreable' END",
+          "CASE WHEN discharge_disposition_id IN (11,13,14,19,20,21) THEN 'discharge_disposition_id: expired/hospice' END",
+          "CASE WHEN encounter_id % 19 = 4 THEN 'ssn: unknown field' END"]
+_VERDICTS = (f"SELECT encounter_id, reasons = '' AS accepted, reasons FROM (SELECT encounter_id, CASE WHEN encounter_id % 23 = 5 THEN "
+             f"'request: not a JSON object' ELSE concat_ws('; ', {', '.join(_TOLD)}) END AS reasons FROM lit)")
+SQL["request_verdicts"] = with_enc(_VERDICTS, LITERAL)
+SQL["stream_verdicts"] = with_enc(f"SELECT *, accepted AS audited FROM ({_VERDICTS})", LITERAL)
 
 SQL["feature_report"] = with_enc(
     "SELECT (SELECT COUNT(*) FROM clean) AS rows_in, 47 AS cols_in, COUNT(*) AS rows_out, 58 AS cols_out, "
