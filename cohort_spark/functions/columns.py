@@ -131,7 +131,7 @@ def age_midpoint(age: Column) -> Column:
 
 
 def age_bucket(mid: Column) -> Column:
-    return F.when(mid < 30, "[0-30)").when(mid < 60, "[30-60)").otherwise("[60-100)")
+    return F.when(mid < 30, "[0-30)").when(mid < 60, "[30-60)").when(mid >= 60, "[60-100)")
 
 
 def age_ordinal(age: Column) -> Column:

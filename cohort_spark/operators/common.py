@@ -19,21 +19,11 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
               .drop("_one_row"))
 
 
-def top_k_per_group(df: DataFrame, groups: list[str], order: list, k: int,
-                    buckets: int | None = None, rank_col: str = "rank") -> DataFrame:
-    """Exact top-k rows per group without one task per group.
-
-    Rows are first ranked inside ``(group, hash bucket)`` partitions and only
-    each bucket's top k survive; the global top k of a group is always among
-    those survivors, so the final per-group window sees at most k x buckets
-    rows per group.  ``order`` must be a total order (add a tie-break).
+def top_k_per_group(df: DataFrame, groups: list[str], order: list, k: int, rank_col: str = "rank") -> DataFrame:
+    """Exact top-k rows per group: Spark keeps each task's top k of a group before the shuffle
+    (a window group limit), so a group's task sees at most k rows of every other task.
+    ``order`` must be a total order (add a tie-break).
     """
     from pyspark.sql import Window
-    b = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
-    keyed = df.withColumn("_tk_b", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns
-                                                       if c not in groups]), F.lit(b)))
-    local = (keyed.withColumn("_tk_r", F.row_number().over(
-        Window.partitionBy(*groups, "_tk_b").orderBy(*order)))
-        .where(F.col("_tk_r") <= k).drop("_tk_r", "_tk_b"))
-    return (local.withColumn(rank_col, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
+    return (df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
             .where(F.col(rank_col) <= k))

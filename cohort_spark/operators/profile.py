@@ -48,22 +48,18 @@ def level_table(df: DataFrame, columns: list[str], target: str = TARGET_BINARY)
             .agg(F.count(F.lit(1)).alias("count"), F.sum("_y").cast("long").alias("positives")))
 
 
-_LEVELS: dict = {}
-
-
 def profile_levels(df: DataFrame) -> DataFrame:
     """Level table of every non-identifier profiled column, checkpointed once
     per input plan and shared by roles, profiles, level stats, lift and
     association (its size is the number of distinct levels, not of rows)."""
-    hit = _LEVELS.get(id(df))
-    if hit is not None and hit[0] is df:
-        return hit[1]
     from ..session import cut_lineage
+    kept = getattr(df, "_profile_levels", None)  # as long as the frame itself
+    if kept is not None:
+        return kept
     src = add_binary_target(df) if TARGET_BINARY not in df.columns else df
     names = [f.name for f in profiled_columns(df) if f.name not in C.KEY_COLS]
-    levels = cut_lineage(level_table(src, names))
-    _LEVELS[id(df)] = (df, levels)
-    return levels
+    df._profile_levels = cut_lineage(level_table(src, names))
+    return df._profile_levels
 
 
 def column_basics(df: DataFrame) -> DataFrame:
@@ -132,12 +128,8 @@ def column_profile(df: DataFrame) -> DataFrame:
 def level_stats(df: DataFrame, top_k: int = C.TOP_LEVELS) -> DataFrame:
     """Top-k levels per categorical-like column with count, pct of ALL rows,
     positives and positive rate; coded ids are decoded to labels."""
-    roles = infer_roles(df)
-    cat_roles = ["coded_id", "binary_flag", "high_card_cat", "categorical"]
-    names = [r.column for r in roles.where(F.col("role").isin(*cat_roles)).select("column").collect()]
-    if not names:
-        return df.sparkSession.createDataFrame([], "column string")
-    levels = profile_levels(df).where(F.col("column").isin(*names))
+    roles = infer_roles(df).where(F.col("role").isin("coded_id", "binary_flag", "high_card_cat", "categorical"))
+    levels = profile_levels(df).join(F.broadcast(roles.select("column")), "column", "left_semi")  # one row per column
     n_all = df.agg(F.count(F.lit(1)).alias("_n"))
     totals = levels.groupBy("column").agg(F.count(F.lit(1)).alias("n_levels_total"))
     top = top_k_per_group(levels, ["column"], [F.desc("count"), F.asc("value")], top_k)
@@ -237,6 +229,26 @@ def target_lift(df: DataFrame, target: str = TARGET_BINARY) -> DataFrame:
         F.when(F.col("_base") > 0, F.col("_mx") / F.col("_base")), 3).alias("target_lift"))
 
 
+def fact_pack(df: DataFrame, top: int = 5) -> DataFrame:
+    """One nested document per profiled column (A7): the column's profile, ``numeric`` (summary of
+    numeric columns), ``levels`` (its top levels by rank), ``target_lift``, ``constant_value`` of a
+    constant column, and whether an identifier is a key (``unique_key``).  Identifiers and
+    constants have no levels, summary or lift."""
+    numeric = numeric_summary(df)
+    numeric = numeric.select("column", F.struct(*[c for c in numeric.columns if c != "column"]).alias("numeric"))
+    levels = level_stats(df, top).groupBy("column").agg(F.sort_array(F.collect_list(F.struct(
+        "rank", "label", "count", "pct", "positives", "positive_rate"))).alias("levels"))  # at most ``top``
+    constants = profile_levels(df).groupBy("column").agg(F.min("value").alias("constant_value"))
+    docs = column_profile(df).join(numeric, "column", "left").join(levels, "column", "left") \
+        .join(target_lift(df).select("column", "target_lift"), "column", "left").join(constants, "column", "left")
+    plain = ~F.col("role").isin("identifier", "constant")
+    return docs.select("column", "family", "role", "n", "n_missing", "pct_missing", "n_unique", "is_constant",
+                       F.when(plain, F.col("numeric")).alias("numeric"), F.when(plain, F.col("levels")).alias("levels"),
+                       F.when(plain, F.col("target_lift")).alias("target_lift"),
+                       F.when(F.col("role") == "constant", F.col("constant_value")).alias("constant_value"),
+                       F.when(F.col("role") == "identifier", F.col("n_unique") == F.col("n")).alias("unique_key"))
+
+
 # ------------------------------------------------------------------ dataset facts
 def target_facts(df: DataFrame) -> DataFrame:
     """Raw label distribution (null included) with positives, base rate and

@@ -40,7 +40,7 @@ def memo_plan(fn):
     """Reuse a derived plan (a DataFrame object: a lazy plan, not cached data)
     per session and arguments, so jobs that share a view build it once."""
     def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args)
+        key = (fn.__name__, spark.sparkContext.applicationId, sf_dir.rstrip("/"), args)
         if key not in _PLANS:
             _PLANS[key] = fn(spark, sf_dir, *args)
         return _PLANS[key]

@@ -45,6 +45,16 @@ def decile_rates(spark, sf_dir):
                     round_half_up(F.col("right"), 6).alias("right"), "count", "positive_rate")
 
 
+@register("fact_pack")
+def fact_pack(spark, sf_dir):
+    """The nested fact documents, their main members laid flat."""
+    d = PR.fact_pack(eda_frame(spark, sf_dir))
+    six = lambda c: round_half_up(F.col(f"numeric.{c}"), 6).alias(c)
+    told = F.transform("levels", lambda s: F.concat(s["label"], F.lit("="), s["count"].cast("string")))
+    return d.select("column", "family", "role", "n", "n_missing", "pct_missing", "n_unique", "is_constant", "constant_value", "unique_key",
+                    "target_lift", six("mean"), six("median"), six("std"), "numeric.zeros_pct", F.array_join(told, "; ").alias("top_levels"))
+
+
 @register("target_lift")
 def target_lift(spark, sf_dir):
     return PR.target_lift(eda_frame(spark, sf_dir))

@@ -157,10 +157,10 @@ def scored_requests(spark, sf_dir):
     from ..streaming.queries import Scoring, scoring_stream
     from . import models as ML
     from .jobs_core import AUDITED_MODEL, OPERATING_THRESHOLD, request_lines
-    from .jobs_models import LR_REG, train_test
+    from .jobs_models import baseline, train_test
 
     train, _, cat, num = train_test(spark, sf_dir)
-    model = ML.build_lr(cat, num, reg=LR_REG).fit(train)
+    model, _ = baseline(spark, sf_dir)
     contributions = ML.linear_explainer(model, train, cat, num)
     scoring = Scoring(model, OPERATING_THRESHOLD, AUDITED_MODEL, lambda df: ML.top_factors(contributions(df), cat + num))
     source, sink = fresh_folder(spark, "requests"), fresh_folder(spark, "scoring")

@@ -10,16 +10,13 @@ executor recomputes from the checkpoint, not from the raw tables.
 from __future__ import annotations
 
 import json
-import random
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,13 +52,25 @@ def with_class_weights(df: DataFrame, label: str = C.TARGET, mode: str = "balanc
     return df.join(F.broadcast(w.select(label, "weight")), label)
 
 
+def lr_penalty(n_rows: int, c: float = 1.0) -> float:
+    """Spark's ``regParam`` for an inverse penalty strength ``c``: the loss is a mean here and a
+    sum there, with class weights that add up to the rows."""
+    return 1.0 / (c * max(n_rows, 1))
+
+
+def fit_weighted(pipeline: Pipeline, rows: DataFrame, mode: str = "balanced") -> PipelineModel:
+    """Fit with class weights taken from the very ``rows`` the model is fitted on (a fold's own)."""
+    return pipeline.fit(with_class_weights(rows.drop("weight"), mode=mode))
+
+
 def _idx(c: str) -> str:
     return f"{c}__idx"
 
 
 def build_lr(cat: list[str], num: list[str], weight_col: str | None = "weight",
-             reg: float = 0.0) -> Pipeline:
-    """One-hot (unknown levels -> all-zero) + standardised numerics + LR."""
+             reg: float = 0.0, elastic_net: float = 0.0, max_iter: int = 2000, tol: float = 1e-4) -> Pipeline:
+    """One-hot (unknown levels -> all-zero) + standardised numerics + LR.  ``max_iter`` is a bound
+    (each L-BFGS iteration is one Spark job); fits stop at ``tol`` long before."""
     stages = []
     oh = []
     if cat:
@@ -73,10 +82,8 @@ def build_lr(cat: list[str], num: list[str], weight_col: str | None = "weight",
     stages.append(VectorAssembler(inputCols=num, outputCol="_num", handleInvalid="keep"))
     stages.append(StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True))
     stages.append(VectorAssembler(inputCols=oh + ["_num_s"], outputCol="features"))
-    # stopping tolerance 1e-4 (the usual lbfgs default of the studied
-    # pipeline's library); every L-BFGS iteration is one Spark job
-    lr = LogisticRegression(featuresCol="features", labelCol=C.TARGET, maxIter=100, tol=1e-4,
-                            regParam=reg, standardization=False)
+    lr = LogisticRegression(featuresCol="features", labelCol=C.TARGET, maxIter=max_iter, tol=tol,
+                            regParam=reg, elasticNetParam=elastic_net, standardization=False)
     if weight_col:
         lr.setWeightCol(weight_col)
     stages.append(lr)
@@ -84,7 +91,8 @@ def build_lr(cat: list[str], num: list[str], weight_col: str | None = "weight",
 
 
 def build_gbt(cat: list[str], num: list[str], weight_col: str | None = "weight",
-              max_iter: int = 30, depth: int = 6, step: float = 0.05, seed: int = C.SPLIT_SEED) -> Pipeline:
+              max_iter: int = 500, depth: int = 6, step: float = 0.05, max_bins: int = 128,
+              subsample: float = 0.8, seed: int = C.SPLIT_SEED) -> Pipeline:
     """Indexed categoricals (no one-hot) + numerics -> gradient-boosted trees."""
     stages = []
     if cat:
@@ -93,7 +101,7 @@ def build_gbt(cat: list[str], num: list[str], weight_col: str | None = "weight",
     stages.append(VectorAssembler(inputCols=[_idx(c) for c in cat] + num, outputCol="features",
                                   handleInvalid="keep"))
     gbt = GBTClassifier(featuresCol="features", labelCol=C.TARGET, maxIter=max_iter, maxDepth=depth,
-                        stepSize=step, subsamplingRate=0.8, maxBins=128, seed=seed)
+                        stepSize=step, subsamplingRate=subsample, maxBins=max_bins, seed=seed)
     if weight_col:
         gbt.setWeightCol(weight_col)
     stages.append(gbt)
@@ -109,7 +117,7 @@ def margin(scored: DataFrame, out: str = "margin") -> DataFrame:
 
 
 def fit_score(pipeline: Pipeline, train: DataFrame, test: DataFrame) -> tuple[PipelineModel, DataFrame]:
-    model = pipeline.fit(train)
+    model = fit_weighted(pipeline, train)
     return model, positive_probability(model.transform(test))
 
 
@@ -117,7 +125,7 @@ def oof_predict(make_pipeline, train: DataFrame, k: int = C.N_FOLDS, fold_col: s
     """Out-of-fold probabilities: fold j is scored by a model fit on the others."""
     parts = []
     for j in range(k):
-        model = make_pipeline().fit(train.where(F.col(fold_col) != j))
+        model = fit_weighted(make_pipeline(), train.where(F.col(fold_col) != j))
         parts.append(positive_probability(model.transform(train.where(F.col(fold_col) == j))))
     keep = [c for c in parts[0].columns if not c.endswith(("__idx", "__oh")) and c not in
             ("_num", "_num_s", "features", "rawPrediction", "probability")]
@@ -130,40 +138,6 @@ def fold_metrics(oof: DataFrame, fold_col: str = "fold") -> DataFrame:
     return M.ranking_metrics(oof, C.TARGET, "prediction", [fold_col])
 
 
-class AveragePrecisionEvaluator(Evaluator):
-    """Step-rule average precision on the positive-class probability."""
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        scored = positive_probability(dataset, "_p1")
-        row = M.ranking_metrics(scored, C.TARGET, "_p1").first()
-        return float(row["average_precision"] or 0.0)
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
-def random_search(pipeline: Pipeline, grid: dict, n_trials: int, train: DataFrame,
-                  fold_col: str = "fold", k: int = C.N_FOLDS, seed: int = C.SPLIT_SEED,
-                  parallelism: int = 2):
-    """Random subset of a parameter grid, scored by mean CV average precision
-    with the given fold column; returns (best model, table of trials)."""
-    builder = ParamGridBuilder()
-    for param, values in grid.items():
-        builder = builder.addGrid(param, values)
-    maps = builder.build()
-    random.Random(seed).shuffle(maps)
-    maps = maps[:n_trials]
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps,
-                        evaluator=AveragePrecisionEvaluator(), foldCol=fold_col, numFolds=k,
-                        parallelism=parallelism, seed=seed)
-    model = cv.fit(train)
-    rows = [(i, json.dumps({p.name: v for p, v in m.items()}, sort_keys=True), float(s))
-            for i, (m, s) in enumerate(zip(maps, model.avgMetrics))]
-    spark = train.sparkSession
-    table = spark.createDataFrame(rows, "trial int, params string, mean_cv_ap double")
-    return model.bestModel, table
-
-
 # ------------------------------------------------------------------ calibration
 def fit_platt(cal: DataFrame, margin_col: str = "margin", label: str = C.TARGET):
     """Sigmoid calibration: a one-feature logistic regression on the margin."""
@@ -190,21 +164,51 @@ def apply_calibrator(model, scored: DataFrame, method: str, out: str = "calibrat
     return t.drop("_cal_f", "_cal_prob", "_cal_raw", "_cal_pred")
 
 
-def calibrated_ensemble(make_pipeline, train: DataFrame, test: DataFrame, method: str,
-                        k: int = C.N_FOLDS, fold_col: str = "fold", key: str = "encounter_id") -> DataFrame:
-    """k (base, calibrator) pairs: base fit on the other folds, calibrator on
-    the held-out fold; the test probability is the mean of the k calibrated
-    probabilities."""
-    parts = []
+CALIBRATORS = {"isotonic": fit_isotonic, "sigmoid": fit_platt}
+
+
+def cross_fit(make_pipeline, rows: DataFrame, k: int = C.N_FOLDS, fold_col: str = "fold"):
+    """k pairs (base model, its held-out fold scored by it): no base model has seen the rows that
+    its calibrator will be fitted on."""
     for j in range(k):
-        base = make_pipeline().fit(train.where(F.col(fold_col) != j))
-        held = margin(positive_probability(base.transform(train.where(F.col(fold_col) == j))))
-        cal = fit_platt(held) if method == "sigmoid" else fit_isotonic(held)
-        t = margin(positive_probability(base.transform(test)))
-        t = apply_calibrator(cal, t, method, "calibrated")
-        parts.append(t.select(key, F.col(C.TARGET), F.col("calibrated")))
-    u = reduce(lambda a, b: a.unionByName(b), parts)
-    return u.groupBy(key, C.TARGET).agg(F.avg("calibrated").alias("prediction"))
+        base = fit_weighted(make_pipeline(), rows.where(F.col(fold_col) != j))
+        yield base, margin(positive_probability(base.transform(rows.where(F.col(fold_col) == j))))
+
+
+def calibrated_ensembles(make_pipeline, rows: DataFrame, scored: DataFrame, methods: list[str], k: int = C.N_FOLDS,
+                         fold_col: str = "fold", key: str = "encounter_id") -> dict[str, DataFrame]:
+    """Per method, ``scored`` rows with ``prediction``: the mean over k pairs of the calibrated
+    probabilities.  A base model is fitted once for all methods."""
+    parts: dict[str, list[DataFrame]] = {m: [] for m in methods}
+    for base, held in cross_fit(make_pipeline, rows, k, fold_col):
+        held = held.select(C.TARGET, "margin", "prediction").persist()
+        raw = margin(positive_probability(base.transform(scored))).select(key, F.col(C.TARGET), "margin", "prediction")
+        for m in methods:
+            calibrator = CALIBRATORS[m](held)
+            parts[m].append(apply_calibrator(calibrator, raw, m, "calibrated").select(key, C.TARGET, "calibrated"))
+        held.unpersist()
+    return {m: reduce(DataFrame.unionByName, ps).groupBy(key, C.TARGET).agg(F.avg("calibrated").alias("prediction")) for m, ps in parts.items()}
+
+
+def calibrate(make_pipeline, train: DataFrame, dev: DataFrame, val: DataFrame, test: DataFrame,
+              save=lambda df, name: df) -> tuple[DataFrame, str, DataFrame]:
+    """Cross-fitted calibration end to end (M8-M11, E14): (table, chosen method, test scores).
+
+    Both methods are fitted as pairs on ``dev`` (with folds) and compared on ``val`` with a raw
+    model of all dev rows; the method of the lowest Brier score is refitted on all of ``train``
+    and scores ``test`` once, beside a raw model of all train rows.  ``save`` writes a frame that
+    is read more than once."""
+    on_val = {"raw": positive_probability(fit_weighted(make_pipeline(), dev).transform(val)).select("encounter_id", C.TARGET, "prediction")}
+    on_val |= calibrated_ensembles(make_pipeline, dev, val, list(CALIBRATORS))
+    on_val = {m: save(df, f"val-{m}") for m, df in on_val.items()}
+    first = comparison_table([metric_row(df, m) for m, df in on_val.items()], "raw")
+    briers = {r["model"]: r["brier"] for r in first.select("model", "brier").collect()}  # three rows
+    chosen = choose_calibrator({m: briers[m] for m in CALIBRATORS})
+    raw = positive_probability(fit_weighted(make_pipeline(), train).transform(test)).select("encounter_id", C.TARGET, "prediction")
+    on_test = {"raw": save(raw, "test-raw"), chosen: save(calibrated_ensembles(make_pipeline, train, test, [chosen])[chosen], "test-calibrated")}
+    last = comparison_table([metric_row(df, m) for m, df in on_test.items()], "raw")
+    table = first.withColumn("split", F.lit("val")).unionByName(last.withColumn("split", F.lit("test")))
+    return table.withColumn("chosen", F.col("model") == chosen), chosen, on_test[chosen]
 
 
 def choose_calibrator(briers: dict[str, float]) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,18 +20,21 @@ def get_spark(master: str | None = None, partitions: int | None = None,
     from pyspark import SparkConf
     # a submit names its own master; local threads only where nothing does
     master = master or os.environ.get("COHORT_SPARK_MASTER") or SparkConf().get("spark.master", "local[8]")
-    parts = partitions or int(os.environ.get("COHORT_SPARK_PARTITIONS", "8"))
     builder = (
         SparkSession.builder.master(master).appName(app)
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("COHORT_SPARK_DRIVER_MEMORY", "16g"))
     )
+    # on a cluster the submit sizes shuffles and the driver
+    local = master.startswith("local")
+    if partitions or "COHORT_SPARK_PARTITIONS" in os.environ or local:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions or os.environ.get("COHORT_SPARK_PARTITIONS", "8")))
+    if local:
+        builder = builder.config("spark.driver.memory", os.environ.get("COHORT_SPARK_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -70,6 +74,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def shuffles_cleaned(spark: SparkSession):
+    """Within it, a query's shuffle files go when the query is done: right for queries whose result
+    is written and read back, as nothing computes from their shuffles again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     import uuid
@@ -82,5 +99,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     jobs keep Parquet column pruning and filter pushdown."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_cleaned(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

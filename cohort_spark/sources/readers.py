@@ -67,8 +67,9 @@ def normalize_missing(df: DataFrame, columns: list[str] | None = None) -> DataFr
 
 
 def read_raw_csv(spark: SparkSession, path: str, mode: str = "pipeline") -> DataFrame:
-    """Raw encounter CSV (S1-S3) with a declared schema and a missing mode."""
-    df = (spark.read.schema(raw_schema()).option("header", True)
+    """Raw encounter CSV (S1-S3) with a declared schema and a missing mode.  Read literally an
+    empty string field stays an empty string; numbers are null where nothing stands."""
+    df = (spark.read.schema(raw_schema()).option("header", True).option("nullValue", "\u0000").option("emptyValue", "")
           .option("mode", "PERMISSIVE").csv(path))
     return apply_missing_mode(df, mode)
 

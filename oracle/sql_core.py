@@ -80,7 +80,7 @@ def feat_select(src: str, keep: str = "target") -> str:
     cols.append("CAST(number_inpatient >= 2 AS TINYINT) AS inpatient_ge_2")
     mid = "(TRY_CAST(regexp_extract(age, '\\[(\\d+)-', 1) AS INTEGER) + 5)"
     cols.append(f"CAST({mid} AS SMALLINT) AS age_midpoint")
-    cols.append(f"CASE WHEN {mid} < 30 THEN '[0-30)' WHEN {mid} < 60 THEN '[30-60)' ELSE '[60-100)' END AS age_bucket")
+    cols.append(f"CASE WHEN {mid} < 30 THEN '[0-30)' WHEN {mid} < 60 THEN '[30-60)' WHEN {mid} >= 60 THEN '[60-100)' END AS age_bucket")
     cols.append(map_case("admission_type_id", C.ADMISSION_TYPE_GROUP, "Unknown") + " AS admission_type_grp")
     cols.append(map_case("admission_source_id", C.ADMISSION_SOURCE_GROUP, "Unknown") + " AS admission_source_grp")
     cols.append(map_case("discharge_disposition_id", C.DISCHARGE_DISPOSITION_GROUP, "Unknown")

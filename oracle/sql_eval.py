@@ -13,7 +13,7 @@ SPLIT = (clean_cte(with_score=True) + ",\n"
          "THEN 'test' ELSE 'train' END AS split FROM clean),\n"
          f"t AS (SELECT encounter_id, target AS label, score, '[' || CAST({_MID} - 5 AS VARCHAR) || '-' || "
          f"CAST({_MID} + 5 AS VARCHAR) || ')' AS age_10yr, CASE WHEN {_MID} < 30 THEN '[0-30)' "
-         f"WHEN {_MID} < 60 THEN '[30-60)' ELSE '[60-100)' END AS age_coarse, gender, race "
+         f"WHEN {_MID} < 60 THEN '[30-60)' WHEN {_MID} >= 60 THEN '[60-100)' END AS age_coarse, gender, race "
          "FROM sp WHERE split = 'test')")
 CURVE = (SPLIT + ",\n"
          "ties AS (SELECT score, CAST(SUM(label) AS BIGINT) AS pos, CAST(COUNT(*) - SUM(label) AS BIGINT) AS neg "

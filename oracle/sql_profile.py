@@ -92,6 +92,22 @@ SQL["target_lift"] = with_enc(
     "(SELECT AVG(CAST(readmitted_30d AS DOUBLE)) AS b FROM eda) base",
     LEVELS + ",\n" + _DEC_VALUES + ",\n" + _LEVEL_STATS + ",\n" + _DECILES[len(EDA) + 2:])
 
+_LIFT = ("lift AS (SELECT \"column\", CASE WHEN b > 0 THEN " + rn("mx / b", 3) + " END AS target_lift FROM ("
+         "SELECT \"column\", MAX(positive_rate) AS mx FROM dr GROUP BY 1 UNION ALL "
+         "SELECT \"column\", MAX(positive_rate) FROM ls WHERE count >= 30 GROUP BY 1) t, "
+         "(SELECT AVG(CAST(readmitted_30d AS DOUBLE)) AS b FROM eda) base)")
+SQL["fact_pack"] = with_enc(
+    f"SELECT r.\"column\", COALESCE(f.family, 'Other') AS family, role, n, n_missing, {rn('100.0 * n_missing / n', 3)} AS pct_missing, n_unique, "
+    "n_unique <= 1 AS is_constant, CASE WHEN role = 'constant' THEN cv END AS constant_value, CASE WHEN role = 'identifier' THEN n_unique = n END AS unique_key, "
+    "CASE WHEN role NOT IN ('identifier', 'constant') THEN target_lift END AS target_lift, "
+    + ", ".join(f"CASE WHEN role NOT IN ('identifier', 'constant') THEN ns.{c} END AS {c}" for c in ("mean", "median", "std", "zeros_pct"))
+    + ", CASE WHEN role NOT IN ('identifier', 'constant') THEN top_levels END AS top_levels FROM roles r LEFT JOIN fam f ON r.\"column\" = f.\"column\" "
+    "LEFT JOIN lift l ON r.\"column\" = l.\"column\" LEFT JOIN ns ON r.\"column\" = ns.\"column\" "
+    "LEFT JOIN (SELECT \"column\", string_agg(label || '=' || count, '; ' ORDER BY rank) AS top_levels FROM ls WHERE rank <= 5 GROUP BY 1) t ON r.\"column\" = t.\"column\" "
+    "LEFT JOIN (SELECT \"column\", MIN(value) AS cv FROM lv GROUP BY 1) c ON r.\"column\" = c.\"column\"",
+    LEVELS + ",\n" + _FAM_VALUES + ",\n" + _DEC_VALUES + ",\n" + _LEVEL_STATS + ",\n" + _DECILES[len(EDA) + 2:] + ",\n" + _LIFT
+    + ",\nns AS (" + " UNION ALL ".join(_num_summary(c) for c in NUMERIC) + ")")
+
 SQL["target_facts"] = with_enc(
     f"SELECT readmitted AS value, COUNT(*) AS count, (SELECT COUNT(*) FROM eda) AS n_rows, "
     f"(SELECT CAST(SUM(readmitted_30d) AS BIGINT) FROM eda) AS binary_positives, "

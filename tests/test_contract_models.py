@@ -43,9 +43,9 @@ def test_extra_field_rejected(spark):
 def test_linear_contributions_add_up_to_margin(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
     from cohort_spark.plans import models as ML
-    from cohort_spark.plans.jobs_models import LR_REG, train_test
+    from cohort_spark.plans.jobs_models import penalty, train_test
     train, test, cat, num = train_test(spark, sf_dir)
-    model, scored = ML.fit_score(ML.build_lr(cat, num, reg=LR_REG), train, test)
+    model, scored = ML.fit_score(ML.build_lr(cat, num, reg=penalty(spark, sf_dir)), train, test)
     contrib = ML.linear_contributions(model, scored, train, cat, num)
     total = sum((F.col(f"contributions.`{f}`") for f in cat + num), F.lit(0.0))
     rows = contrib.select((vector_to_array("rawPrediction")[1] - total).alias("d"),

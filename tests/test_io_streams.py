@@ -31,9 +31,9 @@ def test_json_records_keep_raw_line(spark, tmp_path):
 
 def test_model_bundle_round_trip(spark, sf_dir, tmp_path):
     from cohort_spark.plans import models as ML
-    from cohort_spark.plans.jobs_models import LR_REG, train_test
+    from cohort_spark.plans.jobs_models import penalty, train_test
     train, test, cat, num = train_test(spark, sf_dir)
-    model, scored = ML.fit_score(ML.build_lr(cat, num, reg=LR_REG), train, test)
+    model, scored = ML.fit_score(ML.build_lr(cat, num, reg=penalty(spark, sf_dir)), train, test)
     path = str(tmp_path / "bundle")
     ML.save_bundle(model, 0.091046, path, {"calibration_method": "none"})
     loaded, meta = ML.load_bundle(spark, path)
