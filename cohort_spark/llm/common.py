@@ -1,12 +1,15 @@
 """Helpers shared by the training-data operators."""
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shuffles_cleaned
 
 #: The white space of word and line contracts: [\x20\x09-\x0D], fixed.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -24,7 +27,8 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     a lost executor re-reads the table)."""
     path = shared_path(df.sparkSession, name)
     out = df.write.option("compression", "zstd")
-    (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
+    with shuffles_cleaned(df.sparkSession):
+        (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -46,6 +50,28 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+#: What empties the tables that operators keep in a Python worker, by owner.
+_TABLES: dict[str, Callable[[], None]] = {}
+
+
+def worker_table(owner: str, empty: Callable[[], None]) -> None:
+    _TABLES[owner] = empty
+
+
+def working_for(owner: str | None = None) -> None:
+    """Called by tasks as they start: Spark reuses Python workers, so what an earlier operator's
+    tasks left in this one is emptied, all but the table of ``owner``, and memory that Arrow and
+    the C library keep for later is given back."""
+    for name, empty in _TABLES.items():
+        if name != owner:
+            empty()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
 def slices(batches, rows: int = 1000):
     """Arrow batches of at most ``rows`` rows, so a task holds few whole texts at a time."""
     for batch in batches:

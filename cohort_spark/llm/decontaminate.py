@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, slices, stage, table
+from .common import documents, slices, stage, table, worker_table, working_for
 
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?…\n%$€£]")
 #: Unit names and symbols (fixed values).
@@ -133,7 +133,12 @@ def enough(slot: np.ndarray, length: int, literals: int) -> np.ndarray:
 _CANON: list[Canon] = []
 
 
+worker_table("templates", _CANON.clear)
+
+
 def canon() -> Canon:
+    """One table per worker process; for a task that reads templates."""
+    working_for("templates")
     if not _CANON:
         _CANON.append(Canon())
     return _CANON[0]

@@ -171,12 +171,15 @@ def encoded(docs: DataFrame, vocabulary: str | None, end_id: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, uid, end = tokens.encoder(vocab), TaskContext.get().partitionId() << 40, np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches):
-            ids = [np.frombuffer(enc.encode(t.as_py()) + end, dtype="<u4") for t in batch.column("text")]
-            yield pa.RecordBatch.from_pydict({
-                "uid": np.arange(uid, uid + len(ids)), "doc_id": batch.column("doc_id"),
-                "n": np.array([len(x) for x in ids], dtype=np.int64), "ids": [x.astype(kind).tobytes() for x in ids]})
-            uid += len(ids)
+        for batch in slices(batches, 200):
+            raw = [enc.encode(t) + end for t in batch.column("text").to_pylist()]
+            n = np.array([len(x) // 4 for x in raw], dtype=np.int64)
+            ids = np.frombuffer(b"".join(raw), "<u4").astype(kind)  # one buffer a slice
+            ends = (np.concatenate([[0], np.cumsum(n)]) * ids.itemsize).astype(np.int32)
+            column = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + len(n))), batch.column("doc_id"), pa.array(n), column],
+                                             ["uid", "doc_id", "n", "ids"])
+            uid += len(n)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return stage(rows.mapInArrow(encode, "uid long, doc_id long, n long, ids binary"), "pack-ids")
@@ -241,7 +244,7 @@ def pack(docs: DataFrame, capacity: int = 1024, vocabulary: str | None = None, e
     wide = vocabulary_kind(vocabulary, end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 200):
             out: dict[str, list] = {k: [] for k in ("uid", "doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
             for uid, doc, n, raw, parts in zip(*(batch.column(c) for c in ("uid", "doc_id", "n", "ids", "pieces"))):
                 values = np.frombuffer(raw.as_py(), dtype=wide).astype("<u4")
