@@ -13,11 +13,12 @@ rows, a tenth as frequent or less in clean ones) they hold.
 
 Results for odd input: null and empty texts, or texts of unknown words, get the severity
 of no evidence; rows with null or other-valued labels are not learned from; repeated
-rows are scored each; a doc_id labelled twice takes its larger label; without both classes
+rows are scored each (of repeated labelled rows at most 2 ``sample`` are learned from); a doc_id labelled twice takes its larger label; without both classes
 among the labels nothing is rejected (severity 0); an empty table gives no rows; further columns pass through.
 """
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, table
+from .common import documents, slices, table, working_for
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -52,7 +53,7 @@ class Ordinal:
         return np.diff(below, axis=1)
 
     def score(self, words: set[str]) -> float:
-        return sum(self.weights[w] for w in self.weights.keys() & words)
+        return math.fsum(self.weights[w] for w in self.weights.keys() & words)  # whatever the set's order
 
 
 def chosen_features(flat: np.ndarray, of: np.ndarray, names: list[str], grades: np.ndarray, weight: np.ndarray,
@@ -131,12 +132,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[li
     few = F.broadcast(pick[0].unionByName(pick[1]))  # at most ``sample`` rows
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        working_for()
+        for batch in slices(batches, 200):
             yield pa.RecordBatch.from_pydict({
                 "toxic": batch.column("toxic").cast(pa.int64()), "words": [" ".join(sorted(words_of(t.as_py()))) for t in batch.column("text")]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few, "doc_id").select("toxic", "text")
-    got = rows.mapInArrow(words, "toxic long, words string").limit(2 * sample).collect()
+    # a labelled doc_id may repeat without end: no more than 2 * sample of its rows, by hash
+    got = rows.mapInArrow(words, "toxic long, words string").orderBy(F.xxhash64("words"), "words", "toxic").limit(2 * sample).collect()
     at: dict[str, int] = {}
     rows = [np.array([at.setdefault(w, len(at)) for w in r["words"].split()], np.int32) for r in got]
     toxic = [r["toxic"] for r in got]
@@ -159,6 +162,7 @@ def score(docs: DataFrame, model: Ordinal, cut: float = 0.5) -> DataFrame:
     def graded(texts):
         import pandas as pd
 
+        working_for()
         p = model.probabilities(np.array([model.score(words_of(t)) for t in texts], dtype=float))
         return pd.DataFrame({"severity": p @ np.arange(p.shape[1]), "p_toxic": 1 - p[:, 0], "grade": p.argmax(axis=1).astype("int32")})
 
