@@ -125,14 +125,18 @@ def clean_report(raw: DataFrame, key: str = "patient_nbr",
 
 # ------------------------------------------------------------------ P12, P13
 def role_split(df: DataFrame, exclude=(*C.KEY_COLS, C.TARGET)) -> DataFrame:
-    """(column, role) by declared type: strings categorical, numbers numeric."""
-    rows = []
-    for f in df.schema.fields:
-        if f.name in exclude:
-            continue
-        role = "categorical" if isinstance(f.dataType, T.StringType) else "numeric"
-        rows.append((f.name, role))
-    return df.sparkSession.createDataFrame(rows, "column string, role string")
+    """(column, role, n_present): strings are categorical, numbers numeric; with the rows that have
+    a value, in one aggregation."""
+    kept = [f for f in df.schema.fields if f.name not in exclude]
+    roles = {f.name: "categorical" if isinstance(f.dataType, T.StringType) else "numeric" for f in kept}
+    return labelled_counts(df, roles, "role")
+
+
+def labelled_counts(df: DataFrame, labels: dict[str, str], name: str) -> DataFrame:
+    """(column, ``name``, n_present) of the columns that ``labels`` names."""
+    one = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(labels)])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(v).alias(name), F.col(f"n{i}").alias("n_present"))
+                                          for i, (c, v) in enumerate(labels.items())])).alias("r")).select("r.*")
 
 
 def zero_variance_columns(df: DataFrame, exclude=(*C.KEY_COLS, C.TARGET)) -> DataFrame:

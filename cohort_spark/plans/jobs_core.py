@@ -344,12 +344,10 @@ def age_ordinal(spark, sf_dir):
 
 @register("column_family")
 def column_family(spark, sf_dir):
-    """Family of every column of the raw table (default ``Other``)."""
+    """Family of every column of the raw table (default ``Other``) and its rows with a value."""
     df = raw(spark, sf_dir)
-    cols = spark.createDataFrame([(c,) for c in df.columns], "column string")
-    fam = D.family_table(spark)
-    return (cols.join(F.broadcast(fam), "column", "left")
-            .select("column", F.coalesce("family", F.lit("Other")).alias("family")))
+    families = {c: f for f, cols in C.COLUMN_FAMILY.items() for c in cols}
+    return CL.labelled_counts(df, {c: families.get(c, "Other") for c in df.columns}, "family")
 
 
 def _scored(spark, sf_dir):

@@ -15,6 +15,7 @@ from ..operators import fairness as FA
 from ..operators import metrics as M
 from ..operators import split as S
 from ..operators.assoc import hash_row_split
+from ..operators.common import attach_row
 from .catalog import features_scored, memo_plan, raw, register
 from .jobs_core import OPERATING_THRESHOLD
 
@@ -142,10 +143,9 @@ def threshold_sensitivity(spark, sf_dir):
 def operating_point(spark, sf_dir):
     """Confusion counts at the recall-0.50 threshold, with alert volume per day."""
     t = test_scores(spark, sf_dir)
-    thr = M.thresholds_for_recall(t, "label", "score", [C.TARGET_RECALL]).first()["threshold"]
-    op = M.confusion_at(t, "label", "score", float(thr))
-    return M.rounded(op.withColumn("threshold", F.lit(float(thr)))
-                     .withColumn("alerts_per_day", F.col("flag_rate") * C.DISCHARGES_PER_DAY))
+    thr = M.thresholds_for_recall(t, "label", "score", [C.TARGET_RECALL]).select("threshold")
+    op = M.confusion_at(attach_row(t, thr), "label", "score", F.col("threshold"))
+    return M.rounded(attach_row(op, thr).withColumn("alerts_per_day", F.col("flag_rate") * C.DISCHARGES_PER_DAY))
 
 
 @register("confusion")

@@ -318,9 +318,9 @@ SELECT (SELECT COUNT(*) FROM raw) AS rows_raw,
 """, clean_cte())
 
 _CLEAN_COLS = [c for c in C.RAW_COLUMNS if c not in C.DROPPED_IN_CLEANING + C.KEY_COLS + ["readmitted"]]
-SQL["role_split"] = "SELECT * FROM (VALUES " + ", ".join(
-    f"({lit(c)}, {lit('categorical' if is_string(c) else 'numeric')})" for c in _CLEAN_COLS
-) + ") AS t(\"column\", role)"
+SQL["role_split"] = with_enc(" UNION ALL ".join(
+    f"SELECT {lit(c)} AS \"column\", {lit('categorical' if is_string(c) else 'numeric')} AS role, COUNT({q(c)}) AS n_present FROM clean"
+    for c in _CLEAN_COLS), clean_cte())
 
 _ZV = [c for c in C.RAW_COLUMNS if c not in C.KEY_COLS]
 SQL["zero_variance_columns"] = with_enc(
@@ -372,9 +372,8 @@ SQL["age_ordinal"] = with_enc(
     "SELECT encounter_id, age, CAST(" + map_case("age", {lit(a): i for i, a in enumerate(C.AGE_ORDER)}, None)
     + " AS INTEGER) AS age_ordinal FROM raw", RAW)
 _FAM = {c: f for f, cols in C.COLUMN_FAMILY.items() for c in cols}
-SQL["column_family"] = "SELECT * FROM (VALUES " + ", ".join(
-    f"({lit(c)}, {lit(_FAM.get(c, 'Other'))})" for c in C.RAW_COLUMNS + ["score"]
-) + ") AS t(\"column\", family)"
+SQL["column_family"] = with_enc(" UNION ALL ".join(
+    f"SELECT {lit(c)} AS \"column\", {lit(_FAM.get(c, 'Other'))} AS family, COUNT({q(c)}) AS n_present FROM raw" for c in C.RAW_COLUMNS + ["score"]), RAW)
 
 _SCORED = RAW + ",\nsc AS (SELECT encounter_id, score, CAST(COALESCE(readmitted = '<30', FALSE) AS TINYINT) AS label, race FROM raw)"
 SQL["risk_band"] = with_enc(
