@@ -8,7 +8,8 @@ rest of a document never decides what its passage looks like; where the item tak
 literal, the document must hold the same word.  Every item window of ``window`` tokens
 with at least ``literals`` literal ones is hashed; document windows that
 pass a bit filter of fixed size, made of the benchmark's windows, are
-hash-joined with them.  Item windows with fewer literal tokens are hashed over their
+hash-joined first with each item's rarest windows, one of which a contaminated document must hold,
+then, for the pairs found, with all.  Item windows with fewer literal tokens are hashed over their
 tokens as they stand, so a copy of them matches whatever they hold.  Along one alignment (document
 place minus item place) the slots must be consistent: each of the item's values stands for one
 value of the document (the one it meets at most places; its own in a tie), and windows
@@ -19,8 +20,8 @@ tokens.  Items shorter than the window are one window of their own length (five
 ``kind`` is ``exact`` if all slots hold the item's own values, else ``reparameterised``.
 
 Results for odd input: null and empty texts, and items under five tokens, match nothing;
-a null doc_id or item_id takes no part; rows repeating a doc_id are one document; repeated
-items match alike; an empty table on either side gives no rows; further columns are ignored.
+a null item_id takes no part; rows repeating a doc_id are one document, rows without one are a
+document a text; repeated items match alike; very long texts are read whole, in slices of a few; an empty table on either side gives no rows; further columns are ignored.
 """
 from __future__ import annotations
 
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, slices, stage, table, worker_table, working_for
@@ -205,24 +206,53 @@ def template_windows(rows: DataFrame, id_column: str, window: int, literals: int
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 5, coverage: float = 0.5,
                  filter_bits: int = 1 << 22) -> DataFrame:
-    """doc_id, item_id, coverage, kind, first_place, last_place (template tokens) of every
-    contaminated document and item."""
-    spark = docs.sparkSession
+    """doc_id, item_id, coverage, kind, first_place, last_place (template tokens), text_hash of every
+    contaminated document and item; text_hash (xxhash64) tells documents without a doc_id apart."""
     bench = stage(template_windows(benchmark, "item_id", window, literals), "bench-windows")
     # a filter of fixed size: more benchmark windows only let more document windows pass to the join
-    marks = bench.select(F.expr(f"cast(pmod(cast(h as decimal(20,0)) + if(h < 0, 18446744073709551616bd, 0bd), {filter_bits}) as int) as at"), "length").distinct().collect()
-    if not marks:
-        return spark.createDataFrame([], "doc_id long, item_id long, coverage double, kind string, first_place long, last_place long")
-    bits = np.zeros(filter_bits // 8, np.uint8)
-    for r in marks:
-        bits[r["at"] >> 3] |= 1 << (r["at"] & 7)
-    lengths = sorted({r["length"] for r in marks})
-
-    found = template_windows(docs, "doc_id", window, literals, bits, lengths)
+    at = F.expr(f"cast(pmod(cast(h as decimal(20,0)) + if(h < 0, 18446744073709551616bd, 0bd), {filter_bits}) as long)")
+    words = bench.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+    marks = np.zeros(filter_bits // 64, np.int64)
+    for r in words.collect():  # at most filter_bits / 64 rows
+        marks[r["word"]] = r["bits"]
+    lengths = sorted(r["length"] for r in bench.select("length").distinct().collect())  # window at most
+    ids = F.col("doc_id").cast("long")
+    named = matches(docs.select(ids.alias("doc_id"), "text").where("doc_id IS NOT NULL"), bench, marks.view(np.uint8), lengths, window, literals, coverage)
+    out = named.withColumn("text_hash", F.lit(None).cast("long"))
+    nameless = docs.select(ids.alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NULL AND text IS NOT NULL")
+    if nameless.isEmpty():
+        return out
+    other = matches(nameless.select(F.xxhash64("text").alias("doc_id"), "text"), bench, marks.view(np.uint8), lengths, window, literals, coverage)
+    return out.unionByName(other.withColumn("text_hash", F.col("doc_id")).withColumn("doc_id", F.lit(None).cast("long")))
+
+
+def candidates(found: DataFrame, bench: DataFrame, coverage: float) -> DataFrame:
+    """doc_id, item_id that can reach the coverage.  Of an item's ``n`` window places (or of its
+    ``templates``) a document must hold ``ceil(coverage n)``, so at least one of the rarest
+    ``n - ceil(coverage n) + 1``, rare by how many document windows there are: windows that many
+    items and documents share propose no pair unless an item has little else."""
+    often = found.groupBy("h", "length").agg(F.count(F.lit(1)).alias("times"))
+    places = bench.join(often, ["h", "length"], "left").groupBy(F.col("id").alias("item_id"), "place").agg(
+        F.sum(F.coalesce("times", F.lit(0))).alias("times"), F.max("n").alias("n"), F.max("templates").alias("templates"),
+        F.max(F.col("slots").isNotNull().cast("int")).alias("template"))
+    by = Window.partitionBy("item_id").orderBy("times", "place")  # rows of one item: its places
+    rank, of_templates = F.row_number().over(by), F.sum("template").over(by.rowsBetween(Window.unboundedPreceding, 0))
+    reach = lambda n: n - F.ceil(n * coverage - 1e-9) + 1
+    total = F.count(F.lit(1)).over(Window.partitionBy("item_id"))
+    rare = places.withColumns({"rank": rank, "template_rank": of_templates, "all": total}).where(
+        (F.col("rank") <= reach(F.greatest("all", "n"))) | ((F.col("template") == 1) & (F.col("template_rank") <= reach(F.col("templates")))))
+    probe = bench.select(F.col("id").alias("item_id"), "place", "h", "length").join(rare.select("item_id", "place"), ["item_id", "place"])
+    return found.select("doc_id", "h", "length").join(probe.select("item_id", "h", "length").distinct(), ["h", "length"]).select("doc_id", "item_id").distinct()
+
+
+def matches(docs: DataFrame, bench: DataFrame, bits: np.ndarray, lengths: list[int], window: int, literals: int, coverage: float) -> DataFrame:
+    """``contaminated`` for documents with ids, against written benchmark windows."""
+    found = stage(template_windows(docs, "doc_id", window, literals, bits, lengths).select(F.col("id").alias("doc_id"), "place", "length", "h", "slots"), "doc-windows")
+    pairs = stage(candidates(found, bench, coverage), "bench-candidates")
     item = bench.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "length", "h", F.col("slots").alias("item_slots"), "offsets", "templates", "n")
     same = F.expr("""slots is null and item_slots is null or size(slots) = size(item_slots)
         and forall(zip_with(item_slots, slots, (a, b) -> not startswith(a, 'same:') or substr(a, 6) = substr(b, 6)), x -> x)""")
-    hits = stage(found.select(F.col("id").alias("doc_id"), "place", "length", "h", "slots").join(item, ["h", "length"]).where(same), "bench-hits")
+    hits = stage(pairs.join(item, "item_id").join(found, ["doc_id", "h", "length"]).where(same), "bench-hits")
     hits = hits.withColumn("diagonal", F.col("place") - F.col("item_place"))
     line = ["doc_id", "item_id", "diagonal"]
     each = hits.select(*line, "item_place", "h", F.explode(F.arrays_zip("item_slots", "slots", "offsets")).alias("s")).select(
@@ -247,4 +277,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literal
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, as it stands or with other numbers, names and units."""
-    return contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("text_hash")
