@@ -43,9 +43,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: documents that hold a benchmark item go."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    """Operator 3: documents that hold a benchmark item go, those without a doc_id by their text."""
+    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
+    named = found.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    nameless = found.where("doc_id IS NULL").select(F.col("text_hash").alias("__hash")).distinct()
+    mine = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    return docs.join(named, "doc_id", "left_anti").join(nameless, mine == F.col("__hash"), "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
