@@ -8,7 +8,7 @@ candidates its prefix would meet, as estimated from the counters, and a pair mus
 their two ``m`` before it is verified on the full sets.
 
 Only reachability is asked for, so no pairs are listed within a group that is already
-known to hang together.  In the star rounds every class is compared, under each of its
+known to hang together.  In the star rounds, which go on until one finds no link, every class is compared, under each of its
 prefix shingles, with one class of each of two components there (drawn by hash, anew for each shingle);
 the links found give new components.  The last round takes, exactly, all pairs under a shingle whose components
 differ.  Bounds that lose nothing thin them out: what lies before a shared shingle in no other
@@ -30,8 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, slices, stage
-from .tokens import release
+from .common import documents, slices, stage, working_for
 
 COUNTERS, SLICES = 1 << 18, 64
 NEED_BITS = 1 << 23
@@ -92,7 +91,7 @@ def sets_and_counters(docs: DataFrame, size: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        release()
+        working_for()
         counts = np.zeros(COUNTERS, np.int64)
         some = False
         for batch in slices(batches):
@@ -205,10 +204,12 @@ def with_unshared(rows: DataFrame, percent: int) -> DataFrame:
     return rows.where((F.col("n") - F.col("u")) * 100 >= F.col("n") * percent)
 
 
-def mixed(known: DataFrame, percent: int) -> DataFrame:
-    """Postings under shingles held in two components (``c``): only those can link further."""
+def mixed(known: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Postings under shingles held in two components (``c``): only those can link further.  The
+    parities come in here, by class, once most postings are gone."""
     two = known.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("h")
-    return stage(with_unshared(known.join(two, "h"), percent), "jaccard-mixed")
+    rows = with_unshared(known.join(two, "h"), percent)
+    return stage(rows.join(classes.select("key", "n", *PARITY), ["key", "n"]), "jaccard-mixed")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -258,28 +259,28 @@ def components(edges: DataFrame) -> DataFrame:
     """key and the smallest key reachable, for every key with an edge, by rounds of large
     and small stars until nothing changes; each round is a written table."""
     edges = stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "jaccard-edges")
-    before = None
     while True:
+        # stars already, if every node is either the smaller one of its edges or has a single smaller one
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up")))
+        if ends.groupBy("x").agg(F.min("up").alias("low"), F.sum("up").alias("ups")).where("ups > 1 or ups = 1 and low = 0").isEmpty():
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
         # large star: neighbours above a node go to the node's smallest
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         # small star: a node and its neighbours below go to its smallest
         least = large.groupBy("u").agg(F.min("v").alias("low"))
         small = (large.join(least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
                  .unionByName(least.select("u", F.col("low").alias("v"))).distinct())
         edges = stage(small, "jaccard-edges")
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40))).alias("s")).first()
-        if now == before:
-            break
-        before = now
-    stars = edges.groupBy("u").agg(F.min("v").alias("low"))
+    stars = edges.select("u", F.col("v").alias("low"))
     return stars.select(F.col("u").alias("key"), "low").unionByName(stars.select(F.col("low").alias("key"), "low").distinct())
 
 
-def join_components(docs: DataFrame, size: int = 3, percent: int = 90, stars: int = 1) -> DataFrame:
+def join_components(docs: DataFrame, size: int = 3, percent: int = 90, stars: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row.
-    ``stars`` rounds against shingles' end classes come before the exact round."""
+    Rounds against shingles' end classes, until one finds no link or ``stars`` are done, come before
+    the exact round, which gives the same components after any number of them."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = stage(sets_and_counters(docs, size), "jaccard-base")
     counters = summed_counters(base)
@@ -289,13 +290,14 @@ def join_components(docs: DataFrame, size: int = 3, percent: int = 90, stars: in
 
     index = stage(postings(docs, counters, size, percent), "jaccard-postings")
     often = index.groupBy("h").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("h")
-    index = stage(index.join(often, "h").join(classes.drop("doc_id"), ["key", "n"]), "jaccard-shared")
-
-    known, links, tried, found = index.withColumn("low", F.lit(None).cast("long")), None, None, None
-    for step in (*["star"] * stars, "all"):
-        if found is not None:
-            known = index.join(found, "key", "left")
-        known = mixed(known.withColumn("c", F.coalesce("low", "key")).select("h", *SIDE[:4], *PARITY, "c"), percent)
+    index = stage(index.join(often, "h"), "jaccard-shared")
+
+    classes = stage(classes, "jaccard-classes")
+    links, tried, found, step, done = None, None, None, "star", 0
+    while step:
+        known = index.withColumn("low", F.lit(None).cast("long")) if found is None else index.join(found, "key", "left")
+        known = mixed(known.withColumn("c", F.coalesce("low", "key")).select("h", *SIDE[:4], "c"), classes, percent)
+        index = known.select("h", *SIDE[:4])  # what is one component's now stays so
         left = known.select("h", *side("a"), F.col("c").alias("ac"))
         if step == "star":  # a class each of two components, by an order of the shingle's own
             end = F.struct(F.xxhash64("h", "c").alias("x"), F.xxhash64("h", "key").alias("y"), "c", *SIDE)
@@ -310,11 +312,14 @@ def join_components(docs: DataFrame, size: int = 3, percent: int = 90, stars: in
         pairs = stage(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "jaccard-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         more = stage(verified(pairs, docs, classes, size, percent), "jaccard-links")
-        links = more if links is None else links.unionByName(more)
-        found = stage(components(links), "jaccard-found")
-    final = found
-
-    label = classes.join(final, "key", "left").withColumn("low", F.coalesce("low", "key"))
+        none = more.isEmpty()
+        if not none:
+            links = more if links is None else links.unionByName(more)
+            found = stage(components(links), "jaccard-found")
+        done += 1
+        step = None if step == "all" else "all" if none or done == stars else "star"
+
+    label = classes.withColumn("low", F.col("key")) if found is None else classes.join(found, "key", "left").withColumn("low", F.coalesce("low", "key"))
     smallest = label.groupBy("low").agg(F.min("doc_id").alias("component_id"))
     label = label.join(smallest, "low").select("key", "component_id")
     return rows.join(label, "key", "left").select(

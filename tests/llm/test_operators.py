@@ -163,7 +163,7 @@ def test_decontamination(spark, empty):
     df = spark.createDataFrame([(i, t, 1, "n") for i, t in rows], "doc_id long, text string, n int, slots string")
     bench = spark.createDataFrame([(9, ITEM, 0), (8, None, 0), (None, ITEM, 0)], "item_id long, text string, place int")
     got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.contaminated(df, bench).collect()}
-    assert got == {(1, 9): "exact", (2, 9): "reparameterised", (6, 9): "exact"}
+    assert got == {(1, 9): "exact", (2, 9): "reparameterised", (6, 9): "exact", (None, 9): "exact"}
     swapped = spark.createDataFrame([(1, clash)], "doc_id long, text string")
     rows = decontaminate.contaminated(swapped, bench, coverage=0.95).collect()
     assert not rows  # Alice stands for two names
@@ -358,3 +358,22 @@ def test_pipeline_stages(spark):
             assert docs.columns == P.COLUMNS and docs.count() <= before
             before = docs.count()
     assert docs.select("doc_id").distinct().count() == before
+
+
+def test_components_of_chains_and_stars(spark):
+    rng = np.random.default_rng(4)
+    for edges in ([], [(1, 2)], [(k, k + 1) for k in range(40)], [(0, k) for k in range(1, 30)] + [(100 + k, 100 + 2 * k) for k in range(1, 30)],
+                  [tuple(map(int, rng.integers(0, 60, 2))) for _ in range(50)]):
+        root = {}
+
+        def find(a):
+            while root.setdefault(a, a) != a:
+                a = root[a]
+            return a
+
+        for a, b in edges:
+            if a != b:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+        got = {r["key"]: r["low"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {k: find(k) for k in root}
