@@ -163,14 +163,14 @@ def slot_rows(plan: list[tuple[dict[int, int], int]], left: dict[int, int], capa
 
 
 # ------------------------------------------------------------------ Spark
-def encoded(docs: DataFrame, vocabulary: str | None, end_id: int) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: str | None, end_id: int, table: int = tokens.MAX_CACHED) -> DataFrame:
     """uid, doc_id, n and ids (unsigned 16-bit if the vocabulary allows, else 32) of each row,
     written in the shared folder."""
     vocab = vocabulary or tokens.default_vocabulary()
     kind = vocabulary_kind(vocab, end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, uid, end = tokens.encoder(vocab), TaskContext.get().partitionId() << 40, np.array([end_id], "<u4").tobytes()
+        enc, uid, end = tokens.encoder(vocab, table), TaskContext.get().partitionId() << 40, np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, 200):
             raw = [enc.encode(t) + end for t in batch.column("text").to_pylist()]
             n = np.array([len(x) // 4 for x in raw], dtype=np.int64)
@@ -232,14 +232,15 @@ def placed(lengths: DataFrame, capacity: int, gap: float = 0.002) -> DataFrame:
 
 
 def pack(docs: DataFrame, capacity: int = 1024, vocabulary: str | None = None, end_id: int = 0,
-         gap: float = 0.002) -> DataFrame:
-    """Pack ``docs`` (doc_id, text) into sequences of at most ``capacity`` ids.
+         gap: float = 0.002, table: int = tokens.MAX_CACHED) -> DataFrame:
+    """Pack ``docs`` (doc_id, text) into sequences of at most ``capacity`` ids.  ``table`` bounds what
+    a worker remembers of encoded chunks: memory against time, the same pieces.
 
     One row per piece: uid (of the input row), doc_id, start (ids of the document
     before it), length, ids (little-endian unsigned 32-bit), doc_tokens,
     sequence_id, offset (the piece's place in its sequence, gapless from 0).
     """
-    ids = encoded(docs, vocabulary, end_id)
+    ids = encoded(docs, vocabulary, end_id, table)
     pieces = placed(ids.select("uid", "n"), capacity, gap)
     wide = vocabulary_kind(vocabulary, end_id)
 

@@ -30,6 +30,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.most = MAX_CACHED
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.met = bytearray(1 << SIGHT_BITS - 3)  # a bit by hash: most chunks come once and need no entry
@@ -40,7 +41,7 @@ class Encoder(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.raw(chunk)
-        if len(chunk) <= MAX_CHUNK and len(self) < MAX_CACHED:
+        if len(chunk) <= MAX_CHUNK and len(self) < self.most:
             at = hash(chunk) & (1 << SIGHT_BITS) - 1
             if self.met[at >> 3] >> (at & 7) & 1:
                 self[chunk] = ids
@@ -55,11 +56,13 @@ class Encoder(dict):
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary file; for a task that encodes."""
+def encoder(path: str, most: int = MAX_CACHED) -> Encoder:
+    """One encoder per worker process and vocabulary file, of ``most`` table entries; for a task
+    that encodes."""
     working_for("chunks")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].most = most
     return _ENCODERS[path]
 
 
