@@ -34,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: of each component (5-word shingles, similarity 0.8) the smallest doc_id stays."""
-    found = join_components(docs, size=5, percent=80)
+    found = join_components(docs, size=5, percent=80, stars=1)
     keeps = F.max((F.col("doc_id") == F.col("component_id")).cast("int"))
     losers = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(keeps.alias("keeps")).where("keeps = 0").select("doc_id")
     kept = docs.join(losers, "doc_id", "left_anti")
@@ -52,8 +52,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: what is left, in sequences of at most 1024 ids."""
-    return pieces_with_crc(pack(docs))
+    """Operator 4: what is left, in sequences of at most 1024 ids; executors are full after four
+    stages, so its workers remember fewer chunks."""
+    return pieces_with_crc(pack(docs, table=300_000))
 
 
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
