@@ -12,8 +12,8 @@ block in it is kept but those under elements that are no article text by name
 A name is a word of a class or id, unless another word there takes it back (``no-comments``,
 ``has-sidebar``, ``content-with-menu``), a form, a fieldset or a header.  It only proposes: where the
 element holds more than half of the page's content by the path scores it is the page's wrapper
-and stays (on a page with an article: if it holds or is part of one; elements named for comments
-must hold an article), and a section of an
+and stays (on a page with an article: if it holds one, or is part of one and holds nearly all of
+it; elements named for comments must hold an article), and a section of an
 article named for related work or discussion stays if it is text and not a list of links.
 
 Results for odd input: null or empty html, and pages without content, give the empty
@@ -240,7 +240,8 @@ def decide(tree: list[Element], found: list[Block], texts: list[str], share: flo
     for n, own in enumerate(tree[1:], 1):
         inside[n] = inside[own.parent] or tree[own.parent].tag in ("article", "main")
         # of a page with an article, only what holds it or stands in it can be the wrapper
-        wraps = 2 * own.content > total and (own.holds or (own.kind != REMARK and (inside[n] or not articles)))
+        most = 10 * own.content > 9 * total if inside[n] else 2 * own.content > total
+        wraps = most and (own.holds or (own.kind != REMARK and (inside[n] or not articles)))
         text = own.kind == SECTION and own.plain >= 200 and own.linked <= 0.3 * own.plain
         own.off = tree[own.parent].off or (own.kind is not None and not wraps and not text)
 
