@@ -72,6 +72,19 @@ def working_for(owner: str | None = None) -> None:
         pass
 
 
+def tidy(task: Callable, owner: str | None = None) -> Callable:
+    """A task over Arrow batches that leaves its worker as lean at its end: idle workers stay beside
+    the executor's later tasks."""
+    def run(batches):
+        working_for(owner)
+        try:
+            yield from task(batches)
+        finally:
+            working_for(owner)
+
+    return run
+
+
 def slices(batches, rows: int = 1000):
     """Arrow batches of at most ``rows`` rows, so a task holds few whole texts at a time."""
     for batch in batches:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, slices, stage, table, worker_table, working_for
+from .common import documents, slices, stage, table, tidy, worker_table, working_for
 
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?…\n%$€£]")
 #: Unit names and symbols (fixed values).
@@ -201,7 +201,7 @@ def template_windows(rows: DataFrame, id_column: str, window: int, literals: int
                                 out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
-    return rows.select(F.col(id_column).cast("long").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(read, WINDOWS)
+    return rows.select(F.col(id_column).cast("long").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(read, "templates"), WINDOWS)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, literals: int = 5, coverage: float = 0.5,

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, slices, stage, working_for
+from .common import documents, slices, stage, tidy
 
 COUNTERS, SLICES = 1 << 18, 64
 NEED_BITS = 1 << 23
@@ -91,7 +91,6 @@ def sets_and_counters(docs: DataFrame, size: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        working_for()
         counts = np.zeros(COUNTERS, np.int64)
         some = False
         for batch in slices(batches):
@@ -113,7 +112,7 @@ def sets_and_counters(docs: DataFrame, size: int) -> DataFrame:
             none = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_pydict({"doc_id": none, "n": none, "key": none, **{p: none for p in PARITY}, "part": np.arange(SLICES), "counts": [x.tobytes() for x in parts]})
 
-    return docs.mapInArrow(read, f"doc_id long, n long, key long, {', '.join(f'{p} long' for p in PARITY)}, part long, counts binary")
+    return docs.mapInArrow(tidy(read), f"doc_id long, n long, key long, {', '.join(f'{p} long' for p in PARITY)}, part long, counts binary")
 
 
 def summed_counters(rows: DataFrame) -> np.ndarray:
@@ -158,7 +157,7 @@ def postings(docs: DataFrame, counters: np.ndarray, size: int, percent: int) ->
                     "n": np.concatenate(n).astype(np.int64), "m": np.concatenate(m).astype(np.int64),
                     "at": np.concatenate(at).astype(np.int64)})
 
-    rows = docs.select("text").mapInArrow(read, "h long, key long, n long, m long, at long")
+    rows = docs.select("text").mapInArrow(tidy(read), "h long, key long, n long, m long, at long")
     return rows.groupBy("h", "key", "n").agg(F.min("m").alias("m"), F.min("at").alias("at"))
 
 
@@ -234,7 +233,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
                     "key": [int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64)) for s in sets],
                     "own": [s.tobytes() for s in sets]}, schema=pa.schema([("key", pa.int64()), ("own", pa.binary())]))
 
-    sets = docs.select("text", F.coalesce(at, F.lit(0)).alias("at")).mapInArrow(hashed, "key long, own binary")
+    sets = docs.select("text", F.coalesce(at, F.lit(0)).alias("at")).mapInArrow(tidy(hashed), "key long, own binary")
     # other texts under a marked bit, or under a repeated doc_id, have another key and go
     sets = stage(sets.join(needed.select("key"), "key", "left_semi").groupBy("key").agg(F.first("own").alias("own")), "jaccard-sets")
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import documents, shuffle_width, slices, stage
+from .common import documents, shuffle_width, slices, stage, tidy
 
 
 # ------------------------------------------------------------------ the driver's linear program
@@ -182,7 +182,7 @@ def encoded(docs: DataFrame, vocabulary: str | None, end_id: int, table: int = t
             uid += len(n)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stage(rows.mapInArrow(encode, "uid long, doc_id long, n long, ids binary"), "pack-ids")
+    return stage(rows.mapInArrow(tidy(encode, "chunks"), "uid long, doc_id long, n long, ids binary"), "pack-ids")
 
 
 def placed(lengths: DataFrame, capacity: int, gap: float = 0.002) -> DataFrame:
@@ -256,7 +256,7 @@ def pack(docs: DataFrame, capacity: int = 1024, vocabulary: str | None = None, e
             yield pa.RecordBatch.from_pydict(out, schema=_PIECES)
 
     return ids.join(pieces, "uid").select("uid", "doc_id", "n", "ids", "pieces").mapInArrow(
-        cut, "uid long, doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+        tidy(cut, "chunks"), "uid long, doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 _PIECES = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, slices, table, working_for
+from .common import documents, slices, table, tidy, working_for
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -132,14 +132,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[li
     few = F.broadcast(pick[0].unionByName(pick[1]))  # at most ``sample`` rows
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        working_for()
         for batch in slices(batches, 200):
             yield pa.RecordBatch.from_pydict({
                 "toxic": batch.column("toxic").cast(pa.int64()), "words": [" ".join(sorted(words_of(t.as_py()))) for t in batch.column("text")]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few, "doc_id").select("toxic", "text")
     # a labelled doc_id may repeat without end: no more than 2 * sample of its rows, by hash
-    got = rows.mapInArrow(words, "toxic long, words string").orderBy(F.xxhash64("words"), "words", "toxic").limit(2 * sample).collect()
+    got = rows.mapInArrow(tidy(words), "toxic long, words string").orderBy(F.xxhash64("words"), "words", "toxic").limit(2 * sample).collect()
     at: dict[str, int] = {}
     rows = [np.array([at.setdefault(w, len(at)) for w in r["words"].split()], np.int32) for r in got]
     toxic = [r["toxic"] for r in got]
@@ -162,8 +161,9 @@ def score(docs: DataFrame, model: Ordinal, cut: float = 0.5) -> DataFrame:
     def graded(texts):
         import pandas as pd
 
-        working_for()
         p = model.probabilities(np.array([model.score(words_of(t)) for t in texts], dtype=float))
+        del texts
+        working_for()
         return pd.DataFrame({"severity": p @ np.arange(p.shape[1]), "p_toxic": 1 - p[:, 0], "grade": p.argmax(axis=1).astype("int32")})
 
     out = docs.withColumn("__grade", graded(F.col("text").cast("string")))
