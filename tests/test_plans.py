@@ -6,7 +6,7 @@ from cohort_spark.plans.catalog import QUERIES
 
 ROWS_ONLY = {"score_lr", "score_gbt", "oof_scores", "cv_fold_metrics", "hyper_search",
              "calibration_delta", "calibrated_ensemble", "model_comparison", "top_factors",
-             "global_importance", "stream_rates", "stream_scoring", "stream_drift"}
+             "global_importance", "stream_scoring"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"]
 
 
