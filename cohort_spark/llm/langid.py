@@ -1,7 +1,7 @@
 """Operator 7: language by a bidirectional gated recurrent network over bytes.
 
-The network reads the UTF-8 bytes of each run of letters (longer ones in pieces of
-``PIECE`` bytes, none dropped) forward and backward and labels every position; a
+The network reads the UTF-8 bytes of each run of letters and their combining marks (longer ones in
+pieces of ``PIECE`` bytes, cut between characters, none dropped) forward and backward and labels every position; a
 document's probabilities are the mean of its positions' over the whole text.  As
 the state starts anew at every run, a run met again has the same labels: each worker keeps a
 bounded table of their sums.  Trained in numpy by backpropagation through time with Adam
@@ -16,8 +16,10 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +28,33 @@ from pyspark.sql import functions as F
 
 from .common import documents
 
-LETTERS = re.compile(r"[^\W\d_]+")
 PIECE = 24
 MAX_KNOWN = 200_000
 
 
+@lru_cache(maxsize=1)
+def letters() -> re.Pattern:
+    """Runs of letters with their combining marks; fractions, numerals and the like are none,
+    though they are word characters of regular expressions."""
+    def ranges(kinds: str, low: int, high: int) -> str:
+        points = np.array([c for c in range(low, high) if unicodedata.category(chr(c))[0] in kinds])
+        return "".join(f"{chr(r[0])}-{chr(r[-1])}" for r in np.split(points, np.flatnonzero(np.diff(points) > 1) + 1))
+
+    # characters of the first plane are looked up in one table; the ranges beyond are tried there only
+    near, more = ranges("L", 0, 0x10000), ranges("LM", 0, 0x10000)
+    return re.compile(rf"(?:[{near}][{more}]*|(?=[\U00010000-\U0010ffff])[{ranges('L', 0x10000, 0x110000)}]+)+")
+
+
 def pieces(run: str) -> list[bytes]:
-    raw = run.encode("utf-8", "replace")
-    return [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
+    """The run's bytes in pieces of ``PIECE`` at most, cut between characters."""
+    raw, out, at = run.encode("utf-8", "replace"), [], 0
+    while at < len(raw):
+        end = min(at + PIECE, len(raw))
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(raw[at:end])
+        at = end
+    return out
 
 
 def padded(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -172,7 +193,7 @@ class Labeller:
     def document_probabilities(self, texts: list[str | None]) -> Iterator[np.ndarray | None]:
         if len(self.row) > MAX_KNOWN:
             self.__init__(self.net)
-        found = [LETTERS.findall(t) if t else [] for t in texts]
+        found = [letters().findall(t) if t else [] for t in texts]
         new = list(dict.fromkeys(w for ws in found for w in ws if w not in self.row))
         if new:
             total, count = self.net.sums(new)
@@ -205,7 +226,7 @@ def train(docs: DataFrame, per_lang: int = 250, hidden: int = 16, steps: int = 6
     seen: Counter = Counter()
     size: Counter = Counter()
     for r in sorted(few, key=lambda r: (r["lang"], r["text"])):
-        for run, n in Counter(LETTERS.findall(r["text"])).items():
+        for run, n in Counter(letters().findall(r["text"])).items():
             for raw in pieces(run):
                 seen[raw, r["lang"]] += n
                 size[r["lang"]] += n
