@@ -67,10 +67,12 @@ def normalize_missing(df: DataFrame, columns: list[str] | None = None) -> DataFr
 
 
 def read_raw_csv(spark: SparkSession, path: str, mode: str = "pipeline") -> DataFrame:
-    """Raw encounter CSV (S1-S3) with a declared schema and a missing mode.  Read literally an
-    empty string field stays an empty string; numbers are null where nothing stands."""
-    df = (spark.read.schema(raw_schema()).option("header", True).option("nullValue", "\u0000").option("emptyValue", "")
+    """Raw encounter CSV (S1-S3) with a declared schema and a missing mode.  An empty
+    string field is an empty string (Spark's reader makes it null, and nothing else), which only
+    the ``eda`` mode calls missing; numbers are null where nothing stands."""
+    df = (spark.read.schema(raw_schema()).option("header", True)
           .option("mode", "PERMISSIVE").csv(path))
+    df = df.fillna("", subset=[f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
     return apply_missing_mode(df, mode)
 
 
