@@ -50,21 +50,21 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-#: What empties the tables that operators keep in a Python worker, by owner.
-_TABLES: dict[str, Callable[[], None]] = {}
+#: What empties the tables that operators keep in a Python worker, by owner; true if there was something.
+_TABLES: dict[str, Callable[[], bool]] = {}
 
 
-def worker_table(owner: str, empty: Callable[[], None]) -> None:
+def worker_table(owner: str, empty: Callable[[], bool]) -> None:
     _TABLES[owner] = empty
 
 
-def working_for(owner: str | None = None) -> None:
+def working_for(owner: str | None = None, trim: bool = False) -> None:
     """Called by tasks as they start: Spark reuses Python workers, so what an earlier operator's
-    tasks left in this one is emptied, all but the table of ``owner``, and memory that Arrow and
-    the C library keep for later is given back."""
-    for name, empty in _TABLES.items():
-        if name != owner:
-            empty()
+    tasks left in this one is emptied, all but the table of ``owner``; then, or to ``trim``, memory
+    that Arrow and the C library keep for later is given back."""
+    emptied = [empty() for name, empty in _TABLES.items() if name != owner]
+    if not (trim or any(emptied)):
+        return
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -80,7 +80,7 @@ def tidy(task: Callable, owner: str | None = None) -> Callable:
         try:
             yield from task(batches)
         finally:
-            working_for(owner)
+            working_for(owner, trim=True)
 
     return run
 

@@ -134,7 +134,14 @@ def enough(slot: np.ndarray, length: int, literals: int) -> np.ndarray:
 _CANON: list[Canon] = []
 
 
-worker_table("templates", _CANON.clear)
+def release() -> bool:
+    """Drop this worker's table; whether there was one."""
+    there = bool(_CANON)
+    _CANON.clear()
+    return there
+
+
+worker_table("templates", release)
 
 
 def canon() -> Canon:

@@ -66,12 +66,13 @@ def encoder(path: str, most: int = MAX_CACHED) -> Encoder:
     return _ENCODERS[path]
 
 
-def release() -> None:
-    """Empty the chunk tables of this worker process."""
-    for known in _ENCODERS.values():
-        if known:
-            known.clear()
-            known.met = bytearray(len(known.met))
+def release() -> bool:
+    """Empty the chunk tables of this worker process; whether they held anything."""
+    filled = [known for known in _ENCODERS.values() if known]
+    for known in filled:
+        known.clear()
+        known.met = bytearray(len(known.met))
+    return bool(filled)
 
 
 worker_table("chunks", release)

@@ -163,7 +163,7 @@ def score(docs: DataFrame, model: Ordinal, cut: float = 0.5) -> DataFrame:
 
         p = model.probabilities(np.array([model.score(words_of(t)) for t in texts], dtype=float))
         del texts
-        working_for()
+        working_for(trim=True)
         return pd.DataFrame({"severity": p @ np.arange(p.shape[1]), "p_toxic": 1 - p[:, 0], "grade": p.argmax(axis=1).astype("int32")})
 
     out = docs.withColumn("__grade", graded(F.col("text").cast("string")))
