@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_half_up
 from ..operators import assoc as A
 from ..operators import profile as PR
-from .catalog import memo_plan, raw, register
+from ..sources.readers import apply_missing_mode
+from .catalog import encounter_view, memo_plan, raw, register
 
 
 @memo_plan
@@ -91,9 +92,15 @@ def missingness_rank(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- association
+@memo_plan
+def eda_view(spark, sf_dir):
+    """``eda_frame`` computed where it is read: for jobs that take one pass over few columns."""
+    return PR.add_binary_target(apply_missing_mode(encounter_view(spark, sf_dir), "eda").drop("score"))
+
+
 @register("corr_pearson")
 def corr_pearson(spark, sf_dir):
-    return A.corr_pearson(eda_frame(spark, sf_dir))
+    return A.corr_pearson(eda_view(spark, sf_dir))
 
 
 @register("corr_spearman")
