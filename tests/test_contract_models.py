@@ -66,3 +66,12 @@ def test_stage_gate_stops_on_bad_data(spark, sf_dir, tmp_path):
     with pytest.raises(SuiteFailed, match="in_set:gender"):
         run_stages(bad, str(tmp_path / "out"))
     assert not os.path.exists(tmp_path / "out" / "clean")
+
+
+def test_extra_fields_of_odd_lines(spark):
+    lines = ['{"race": null, "b": {"c": 1}, "a": [1, {"z": 2}], "b": 3}', "{}", "[1]", "", None]
+    df = spark.createDataFrame([(v,) for v in lines], "j string")
+    shown = df.select("j", Q.extra_fields(F.col("j"), ["race"]).alias("x"))
+    assert [r.x for r in shown.collect()] == [["a", "b"], [], None, None, None]
+    # only keys are read, no values
+    assert "from_json" not in shown._jdf.queryExecution().optimizedPlan().toString()
