@@ -1,6 +1,8 @@
 """Oracle SQL: monitoring windows over ``events``."""
 from __future__ import annotations
 
+import math
+
 from .sql import SQL, r6
 
 SQL["rate_tumbling"] = (
@@ -49,3 +51,11 @@ SQL["score_histogram"] = (
 for _stream, _batch in {"stream_rates": "rate_tumbling", "stream_error_share": "error_share", "stream_served_total": "served_total",
                         "stream_histogram": "score_histogram", "stream_alerts": "alert_for_duration", "stream_gaps": "gap_detection"}.items():
     SQL[_stream] = SQL[_batch]
+
+# the sketch takes every value as the middle of its bin; bins grow by gamma
+_gamma = (1 + 0.005) / (1 - 0.005)
+_middle = (f"CASE WHEN isnan(value) THEN value WHEN value = 0 THEN 0.0e0 ELSE sign(value) * "
+           f"pow({_gamma!r}e0, CEIL(LN(LEAST(ABS(value), 1.7e308)) / {math.log(_gamma)!r}e0)) * {2 / (1 + _gamma)!r}e0 END")
+SQL["stream_percentiles"] = (
+    "SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, " + r6("quantile_cont(x, 0.5)") + " AS p50, " + r6("quantile_cont(x, 0.95)")
+    + f" AS p95, COUNT(*) AS n FROM (SELECT ts, {_middle} AS x FROM events WHERE value IS NOT NULL) GROUP BY 1")
