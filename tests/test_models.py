@@ -104,3 +104,42 @@ def test_search_refits_the_best_and_scores_test_once(spark, rows):
 
 def test_penalty_is_that_of_a_summed_loss():
     assert ML.lr_penalty(1000) == 1e-3 and ML.lr_penalty(500, 2.0) == 1e-3
+
+
+@pytest.fixture(scope="module")
+def levelled(spark):
+    # fold 0 alone holds the level z
+    data = [(i, int(i * 7 % 5 == 0), ["a", "b", "c"][i % 3] if i % 50 else "z", float(i % 11), i % 5) for i in range(200)]
+    return spark.createDataFrame(data, f"encounter_id long, {C.TARGET} int, c string, x double, fold int").cache()
+
+
+def test_a_classifier_is_given_features_that_are_kept(levelled, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+    given, fit = [], LogisticRegression._fit
+
+    def spy(self, rows):
+        given.append((set(rows.columns), rows.storageLevel.useMemory, rows.storageLevel.useDisk))
+        return fit(self, rows)
+
+    monkeypatch.setattr(LogisticRegression, "_fit", spy)
+    ML.fit_weighted(ML.build_lr(["c"], ["x"], reg=0.01), levelled)
+    assert given == [({C.TARGET, "weight", "features"}, True, True)]
+
+
+def test_rows_encoded_once_give_what_each_fold_s_own_levels_give(levelled, monkeypatch):
+    from pyspark.ml.feature import StringIndexer
+    own = {r["encounter_id"]: r["prediction"] for r in ML.oof_predict(lambda: ML.build_lr(["c"], ["x"], reg=0.01), levelled).collect()}
+    fits, fit = [], StringIndexer._fit
+    monkeypatch.setattr(StringIndexer, "_fit", lambda self, rows: fits.append(1) or fit(self, rows))
+    rows = ML.encoded(ML.lr_encoder(["c"], ["x"]).fit(levelled), levelled)
+    got = {r["encounter_id"]: r["prediction"] for r in ML.oof_predict(lambda: ML.lr_on_encoded(["c"], reg=0.01), rows).collect()}
+    assert len(fits) == 1 and got.keys() == own.keys() and len(got) == 200
+    assert all(got[k] == pytest.approx(own[k], abs=1e-9) for k in own)
+
+
+def test_search_indexes_levels_once_a_family(levelled, monkeypatch):
+    from pyspark.ml.feature import StringIndexer
+    fits, fit = [], StringIndexer._fit
+    monkeypatch.setattr(StringIndexer, "_fit", lambda self, rows: fits.append(1) or fit(self, rows))
+    table = TU.search(TU.LR, levelled.where("encounter_id < 160"), levelled.where("encounter_id >= 160"), ["c"], ["x"], trials=1).collect()
+    assert len(fits) == 1 and len(table) == 1 and table[0]["test_ap"] is not None
