@@ -16,7 +16,7 @@ from .. import constants as C
 from ..functions.columns import col, pearson_pairs, round_half_up
 from ..sources import dimensions as D
 from .common import attach_row, top_k_per_group
-from .ordered import quantiles
+from .ordered import frequency_quantiles, quantiles
 
 TARGET_BINARY = "readmitted_30d"
 QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
@@ -65,23 +65,31 @@ def profile_levels(df: DataFrame) -> DataFrame:
 def column_basics(df: DataFrame) -> DataFrame:
     """(column, n, n_missing, n_unique) for every profiled column.
 
-    Missing counts and identifier cardinalities come from one aggregation;
-    other distinct counts from the shared level table.
+    Missing counts come from one aggregation, the cardinality of each identifier from one over
+    it alone (distinct counts beside others would expand every row), other distinct counts
+    from the shared level table.  Checkpointed once per input
+    plan, as roles, profiles, level stats and lift all ask for it (one row a column).
     """
+    from ..session import cut_lineage
+    kept = getattr(df, "_column_basics", None)  # as long as the frame itself
+    if kept is not None:
+        return kept
     fields = profiled_columns(df)
     names = [f.name for f in fields]
     ids = [c for c in names if c in C.KEY_COLS]
     miss = df.agg(F.count(F.lit(1)).alias("n"),
-                  *[F.count_if(col(c).isNull()).alias(f"m{i}") for i, c in enumerate(names)],
-                  *[F.countDistinct(col(c)).alias(f"u{i}") for i, c in enumerate(ids)])
+                  *[F.count_if(col(c).isNull()).alias(f"m{i}") for i, c in enumerate(names)])
+    for i, c in enumerate(ids):
+        miss = attach_row(miss, df.select(col(c).alias("_u")).where("_u is not null").distinct().agg(F.count(F.lit(1)).alias(f"u{i}")))
     miss_long = miss.select("n", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("n_missing"),
                  (F.col(f"u{ids.index(c)}") if c in ids else F.lit(None)).cast("long").alias("id_unique"))
         for i, c in enumerate(names)])).alias("r")).select("r.column", "n", "r.n_missing", "r.id_unique")
     uniq = profile_levels(df).groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
-    return (miss_long.join(uniq, "column", "left")
-            .withColumn("n_unique", F.coalesce("id_unique", "n_unique", F.lit(0)).cast("long"))
-            .drop("id_unique"))
+    df._column_basics = cut_lineage(miss_long.join(uniq, "column", "left")
+                                    .withColumn("n_unique", F.coalesce("id_unique", "n_unique", F.lit(0)).cast("long"))
+                                    .drop("id_unique"))
+    return df._column_basics
 
 
 def approx_basics(df: DataFrame) -> DataFrame:
@@ -185,28 +193,30 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None, exact: bool
                       "mean", "max", "std", "skew", "zeros_pct")
 
 
-def decile_edges(df: DataFrame, columns: list[str], n_bins: int = 10) -> DataFrame:
-    """(column, edges) -- distinct quantile edges at 0, 1/n, ..., 1 (exact)."""
+def decile_edges(values: DataFrame, n_bins: int = 10) -> DataFrame:
+    """(column, edges) -- distinct quantile edges at 0, 1/n, ..., 1 (exact) of (column, x, n)."""
     probs = [i / n_bins for i in range(n_bins + 1)]
-    return quantiles(df, columns, probs).select("column", F.array_distinct("q").alias("edges"))
+    return frequency_quantiles(values, ["column"], "x", "n", probs).select("column", F.array_distinct("q").alias("edges"))
 
 
 def decile_rates(df: DataFrame, columns: list[str] | None = None,
                  target: str = TARGET_BINARY) -> DataFrame:
     """Positive rate per quantile bin: right-closed bins, lowest value included.
 
-    Edges (<= 11 per column) are broadcast; rows are unpivoted and binned with
-    an array lookup, then one aggregate per (column, bin).
+    Rows are unpivoted and counted by distinct value once; edges (<= 11 per column, broadcast)
+    and bins (an array lookup) come from those counts.
     """
+    from ..session import cut_lineage
     columns = columns or numeric_columns(df)
-    edges = decile_edges(df, columns)
-    long = (df.select(F.col(target).alias("_y"), *[col(c).cast("double").alias(c) for c in columns])
-            .unpivot(["_y"], columns, "column", "x").where(F.col("x").isNotNull()))
-    j = long.join(F.broadcast(edges), "column")
+    y = F.col("_y").cast("double")
+    values = cut_lineage(df.select(F.col(target).alias("_y"), *[col(c).cast("double").alias(c) for c in columns])
+                         .unpivot(["_y"], columns, "column", "x").where(F.col("x").isNotNull())
+                         .groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("_s"), F.count(y).alias("_ny")))
+    j = values.join(F.broadcast(decile_edges(values)), "column")
     n_below = F.size(F.filter("edges", lambda e: e < F.col("x")))
     binned = j.withColumn("bin", F.greatest(n_below, F.lit(1))).where(F.size("edges") >= 2)
-    agg = binned.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count"),
-                                              F.avg(F.col("_y").cast("double")).alias("rate"),
+    agg = binned.groupBy("column", "bin").agg(F.sum("n").alias("count"),
+                                              F.try_divide(F.sum("_s"), F.sum("_ny")).alias("rate"),
                                               F.first("edges").alias("edges"))
     left = F.element_at("edges", F.col("bin"))
     left = F.when(F.col("bin") == 1, left - F.lit(0.001)).otherwise(left)

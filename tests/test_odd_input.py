@@ -51,3 +51,20 @@ def test_correlations_keep_a_few_sums_a_pair(spark):
     pairs = [(p, q) for i, p in enumerate(cols) for q in cols[i + 1:]]
     plan = pearson_pairs(df, pairs)._jdf.queryExecution().optimizedPlan().toString()
     assert "covar_pop" not in plan and "stddev_pop" not in plan
+
+
+def test_basics_expand_no_row_and_deciles_read_rows_once(spark, tmp_path, monkeypatch):
+    from cohort_spark.operators import profile as PR
+    made, cut = [], session.cut_lineage
+    monkeypatch.setattr(session, "cut_lineage", lambda df: made.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut(df))
+    rows = [(i, i // 3, float(i % 7) if i % 11 else None, None if i % 13 == 0 else "<30" if i % 4 == 0 else "NO") for i in range(200)]
+    df = PR.add_binary_target(spark.createDataFrame(rows, "encounter_id long, patient_nbr long, time_in_hospital double, readmitted string"))
+    basics = {r["column"]: (r["n"], r["n_missing"], r["n_unique"]) for r in PR.column_basics(df).collect()}
+    assert basics == {"encounter_id": (200, 0, 200), "patient_nbr": (200, 0, 67), "time_in_hospital": (200, 19, 7)}
+    assert PR.column_basics(df) is PR.column_basics(df) and not any("gid" in p for p in made)
+    got = PR.decile_rates(df, ["time_in_hospital"])
+    assert sum(r["count"] for r in got.collect()) == 181
+    assert "readmitted" not in got._jdf.queryExecution().optimizedPlan().toString()  # bins come from the counted values
+    zero = [r["positive_rate"] for r in got.collect() if r["bin"] == 1]
+    mine = [r for r in rows if r[2] is not None and r[2] <= got.where("bin = 1").first()["right"]]
+    assert zero == [pytest.approx(sum(r[3] == "<30" for r in mine) / len(mine), abs=1e-5)]
