@@ -1,20 +1,21 @@
-"""Operator 9: Jaccard join of word n-gram sets by adaptive multi-match prefixes.
+"""Operator 9: Jaccard join of word n-gram sets by agreeing cells of the hash space.
 
 A document is the set of its ``size``-word shingles (64-bit hashes); documents with
-equal sets are one class from there on.  Shingles are ordered by estimated frequency (a counter table of fixed
-size over all documents), rare first.  With overlap ``o = ceil(t n)`` needed, two similar sets share at
-least ``m`` shingles of their first ``n - o + m``; each class picks its own ``m`` by the
-candidates its prefix would meet, as estimated from the counters, and a pair must share as many as the smaller of
-their two ``m`` before it is verified on the full sets.
+equal sets are one class from there on.  Two similar sets of which the smaller has n shingles differ in
+at most ``k = (1 - t) / t n``.  The hash space is cut into more than k cells, so that among the first k + 1 + s of
+them at least s + 1 hold the same shingles in both; each class has one signature for each of its first cells, a hash of
+all that is in it, and similar classes share one.  The number of cells grows with the size, in bands;
+a class whose larger partners may lie in the next band signs there as well.  Cells empty in both
+are no signature: the s spare cells stand in for them, and a class with more than s empty cells signs
+again over another order of the hash space.
 
 Only reachability is asked for, so no pairs are listed within a group that is already
-known to hang together.  In the star rounds, which go on until one finds no link, every class is compared, under each of its
-prefix shingles, with one class of each of two components there (drawn by hash, anew for each shingle);
-the links found give new components.  The last round takes, exactly, all pairs under a shingle whose components
-differ.  Bounds that lose nothing thin them out: what lies before a shared shingle in no other
-class's prefix is not shared; the parities of 256 cells of the hash space bound from below
-how much two sets differ.  Every link between different components is verified, and no cap is set
-anywhere.
+known to hang together.  In the first star round each class is compared, under each of its signatures, with the
+smallest class there; in further ones with one class of each of two components (drawn by hash, anew for each
+signature); the links found give new components.  The last round takes, exactly, all pairs under a signature whose
+components differ; it comes once they are few, or no star round finds a link any more.  A bound that loses nothing
+thins pairs out: the parities of 256 cells of the hash space bound from below how much two sets
+differ.  Every link between different components is verified, and no cap is set anywhere.
 
 Results for odd input: a null or empty text (or one without words) has no shingles and links
 with nothing; fewer words than ``size`` are one shingle; a null doc_id takes part but lends its
@@ -23,7 +24,9 @@ empty table gives no rows; further columns are ignored.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +35,12 @@ from pyspark.sql import functions as F
 
 from .common import documents, slices, stage, tidy
 
-COUNTERS, SLICES = 1 << 18, 64
 NEED_BITS = 1 << 23
-MATCHES = (1, 2, 3, 4, 6, 8)
+#: Sizes of a band, largest to smallest; orders of the hash space, of which the last signs empty cells too.
+BAND, ORDERS = 1.5, 3
+#: Classes that a task remembers to have signed; all pairs are few if they are no more than FEW a posting
+#: (each is a comparison of a few longs); postings of a signature that meet in one task.
+SIGNED, FEW, BLOCK = 1 << 18, 256, 2000
 PARITY = ("p0", "p1", "p2", "p3")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -55,27 +61,51 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     return np.unique(out * _B)
 
 
-def least_overlap(n: int, percent: int) -> int:
-    return -(-percent * n // 100)
+def may_differ(n: int, percent: int) -> int:
+    """In how many shingles a set of ``n`` and a similar one, no smaller, differ at most."""
+    return (100 - percent) * n // percent
 
 
-def prefix(own: np.ndarray, counters: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """The prefix's shingles and the matches it asks for: the longest prefixes cost more
-    postings, more matches leave fewer candidates to verify."""
-    n = len(own)
-    often = counters[own % np.uint64(COUNTERS)]
-    order = np.lexsort((own, often))
-    base = n - least_overlap(n, percent)
-    reach = np.cumsum(often[order])
-    best, cost = 1, np.inf
-    for m in MATCHES:
-        if base + m > n or m > max(1, n - base):
-            break
-        met = float(reach[base + m - 1])
-        own_cost = met + met / m ** 2 * max(1.0, n / 64)  # postings read, sets verified
-        if own_cost < cost:
-            best, cost = m, own_cost
-    return own[order[:base + best]], best
+@cache
+def bands(percent: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The largest size of each band; its cells and how many of them are spare.  Sets too small to
+    be similar to any other are below the first band."""
+    tops, cells = [], []
+    low = -(-percent // (100 - percent)) if percent < 100 else 1 << 40
+    while low < 1 << 40:
+        top = max(low, int(low * BAND))
+        least = may_differ(top, percent) + 1
+        spare = 1 + int(least * math.exp(-low / least))
+        tops.append(top)
+        cells.append((least + spare, spare))
+        low = top + 1
+    return np.array(tops, np.int64), cells
+
+
+def signatures(own: np.ndarray, percent: int) -> np.ndarray:
+    """One hash for what each of the set's first cells holds, for its band and those of larger partners."""
+    n, (tops, cells) = len(own), bands(percent)
+    if may_differ(n, percent) < 1:
+        return np.zeros(0, np.uint64)
+    out = []
+    for band in range(int(np.searchsorted(tops, n)), int(np.searchsorted(tops, n * 100 // percent)) + 1):
+        count, spare = cells[band]
+        first = may_differ(n, percent) + 1 + spare
+        ids = own
+        for order in range(ORDERS):
+            if order:
+                ids = (ids ^ (ids >> np.uint64(32))) * _A
+                ids = np.sort(ids ^ (ids >> np.uint64(29)))
+            ends = np.searchsorted(((ids >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32), np.arange(first + 1, dtype=np.uint64))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((ids ^ (ids >> np.uint64(31))) * _B)])
+            held = np.diff(ends)
+            place = np.arange(first, dtype=np.uint64) + np.uint64((band * ORDERS + order) << 40)
+            h = ((sums[ends[1:]] - sums[ends[:-1]]) ^ (place * _A)) * _B
+            h = (h ^ (h >> np.uint64(31))) * _A
+            out.append(h if order == ORDERS - 1 else h[held > 0])
+            if first - np.count_nonzero(held) <= spare:
+                break
+    return np.concatenate(out)
 
 
 def parity(own: np.ndarray) -> np.ndarray:
@@ -85,130 +115,103 @@ def parity(own: np.ndarray) -> np.ndarray:
     return np.packbits(cells.astype(np.uint8)).view(np.int64)
 
 
-def sets_and_counters(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (doc_id, n, key) for documents, and (part, counts) for each task's counters."""
+def signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Rows (doc_id, n, key, parities, sigs) for documents; a task gives the signatures of equal sets
+    with one of them, as long as it remembers."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        counts = np.zeros(COUNTERS, np.int64)
-        some = False
+        known: set[int] = set()
         for batch in slices(batches):
             out: dict[str, list] = {"n": [], "key": [], **{p: [] for p in PARITY}}
+            sigs, ends = [np.zeros(0, np.uint64)], [0]
             for text in batch.column("text"):
                 own = shingles(text.as_py(), size)
+                key = int(np.uint64(xxhash.xxh64_intdigest(own.tobytes())).astype(np.int64)) if len(own) else None
                 for p, x in zip(PARITY, parity(own).tolist()):
                     out[p].append(x)
-                np.add.at(counts, (own % np.uint64(COUNTERS)).astype(np.int64), 1)
                 out["n"].append(len(own))
-                out["key"].append(int(np.uint64(xxhash.xxh64_intdigest(own.tobytes())).astype(np.int64)) if len(own) else None)
-            some |= batch.num_rows > 0
-            k = len(out["n"])
+                out["key"].append(key)
+                if len(own) and key not in known:
+                    sigs.append(signatures(own, percent))
+                    known.add(key)
+                    ends.append(ends[-1] + len(sigs[-1]))
+                else:
+                    ends.append(ends[-1])
+            if len(known) > SIGNED:
+                known.clear()
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n": pa.array(out["n"], pa.int64()), "key": pa.array(out["key"], pa.int64()),
-                **{p: pa.array(out[p], pa.int64()) for p in PARITY}, "part": pa.nulls(k, pa.int64()), "counts": pa.nulls(k, pa.binary())})
-        if some:
-            parts = counts.reshape(SLICES, -1)
-            none = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_pydict({"doc_id": none, "n": none, "key": none, **{p: none for p in PARITY}, "part": np.arange(SLICES), "counts": [x.tobytes() for x in parts]})
-
-    return docs.mapInArrow(tidy(read), f"doc_id long, n long, key long, {', '.join(f'{p} long' for p in PARITY)}, part long, counts binary")
+                **{p: pa.array(out[p], pa.int64()) for p in PARITY},
+                "sigs": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sigs).view(np.int64)))})
 
+    return docs.mapInArrow(tidy(read), f"doc_id long, n long, key long, {', '.join(f'{p} long' for p in PARITY)}, sigs array<long>")
 
-def summed_counters(rows: DataFrame) -> np.ndarray:
-    """All tasks' counters added up (a table of fixed size)."""
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, part = np.zeros(COUNTERS // SLICES, np.int64), None
-        for batch in batches:
-            for part, x in zip(batch.column("part").to_pylist(), batch.column("counts")):
-                total += np.frombuffer(x.as_py(), np.int64)
-        yield pa.RecordBatch.from_pydict({"part": [part], "counts": [total.tobytes()]})
+def shared(rows: DataFrame) -> DataFrame:
+    """sig, key, low: the classes under signatures that at least two classes have, and the smallest there."""
+    there = Window.partitionBy("sig")
+    rows = rows.select(F.explode("sigs").alias("sig"), "key")
+    rows = rows.withColumn("low", F.min("key").over(there)).withColumn("high", F.max("key").over(there))
+    return stage(rows.where("low <> high").select("sig", "key", "low").distinct(), "jaccard-shared")
 
-    out = np.zeros((SLICES, COUNTERS // SLICES), np.int64)
-    for r in rows.where(F.col("part").isNotNull()).select("part", "counts").groupBy("part").applyInArrow(add, "part long, counts binary").collect():
-        out[r["part"]] = np.frombuffer(r["counts"], np.int64)
-    return out.ravel()
 
+SIDE = ("key", "n", *PARITY)
 
-def postings(docs: DataFrame, counters: np.ndarray, size: int, percent: int) -> DataFrame:
-    """h, key, n, m, at (place in the class's order): one row for each prefix shingle of each class."""
-    table = np.minimum(counters, 2 ** 31 - 1).astype(np.int32)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in slices(batches):
-            h, key, n, m, at = [np.zeros(0, np.uint64)], [], [], [], []
-            for text in batch.column("text"):
-                own = shingles(text.as_py(), size)
-                if not len(own):
-                    continue
-                first, matches = prefix(own, table, percent)
-                h.append(first)
-                k = len(first)
-                key.append(np.full(k, np.uint64(xxhash.xxh64_intdigest(own.tobytes()))))
-                n.append(np.full(k, len(own)))
-                m.append(np.full(k, matches))
-                at.append(np.arange(k))
-            if key:
-                yield pa.RecordBatch.from_pydict({
-                    "h": np.concatenate(h).view(np.int64), "key": np.concatenate(key).view(np.int64),
-                    "n": np.concatenate(n).astype(np.int64), "m": np.concatenate(m).astype(np.int64),
-                    "at": np.concatenate(at).astype(np.int64)})
 
-    rows = docs.select("text").mapInArrow(tidy(read), "h long, key long, n long, m long, at long")
-    return rows.groupBy("h", "key", "n").agg(F.min("m").alias("m"), F.min("at").alias("at"))
+def side(name: str) -> list:
+    """The class columns as name, name_n and so on."""
+    return [F.col(c).alias(name if c == "key" else f"{name}_{c}") for c in SIDE]
 
 
-SIDE = ("key", "n", "m", "at", "u", *PARITY)
+def may_be_similar(percent: int):
+    """Sizes allow the overlap, and the sets do not differ in too many cells."""
+    sizes = F.col("a_n") + F.col("b_n")
+    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITY), F.lit(0))
+    return (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (differ * (100 + percent) <= sizes * (100 - percent))
 
 
-def side(name: str, source: str = "") -> list:
-    """The posting columns as name, name_n, name_m and so on."""
-    return [F.col(f"{source}{c}").alias(name if c == "key" else f"{name}_{c}") for c in SIDE]
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs that may be similar."""
+    return pairs.join(classes.select(*side("a")), "a").join(classes.select(*side("b")), "b").where(may_be_similar(percent)).select("a", "b")
 
 
-def candidates(pairs: DataFrame, percent: int) -> DataFrame:
-    """a, b of pairs (one row per shared prefix shingle, columns of two sides and h) that
-    share enough, and whose order leaves room for the overlap: what both share up to the
-    last shared prefix shingle is all counted, and behind it lie at most the shorter rest."""
-    swap = F.col("a") > F.col("b")
-    one = lambda c: F.when(swap, F.col(f"b{c}")).otherwise(F.col(f"a{c}"))
-    two = lambda c: F.when(swap, F.col(f"a{c}")).otherwise(F.col(f"b{c}"))
-    rows = pairs.where(may_be_similar(percent)).select(
-        "h", one("").alias("a"), two("").alias("b"), F.least("a_m", "b_m").alias("least"), (one("_n") + two("_n")).alias("sizes"),
-        (one("_n") - one("_at")).alias("a_rest"), (two("_n") - two("_at")).alias("b_rest"))
-    room = F.col("shared") - 1 + F.least("a_rest", "b_rest")
-    return (rows.groupBy("a", "b").agg(F.max("least").alias("least"), F.max("sizes").alias("sizes"), F.count(F.lit(1)).alias("shared"),
-                                       F.min("a_rest").alias("a_rest"), F.min("b_rest").alias("b_rest"))
-            .where((F.col("shared") >= F.col("least")) & (room * (100 + percent) >= F.col("sizes") * percent)).select("a", "b"))
+def mixed(index: DataFrame, labels: DataFrame) -> DataFrame:
+    """sig, key, c: the postings under signatures held in two components (``c``): only those can link further."""
+    there = Window.partitionBy("sig")
+    rows = index.select("sig", "key").join(labels, "key")
+    rows = rows.withColumn("x", F.min("c").over(there)).withColumn("y", F.max("c").over(there))
+    return stage(rows.where("x <> y").select("sig", "key", "c"), "jaccard-mixed")
 
 
-def may_be_similar(percent: int):
-    """Sizes allow the overlap, also without the ``u`` earlier shingles that neither can share,
-    and the sets do not differ in too many cells."""
-    sizes = F.col("a_n") + F.col("b_n")
-    room = F.least(F.col("a_n") - F.col("a_u"), F.col("b_n") - F.col("b_u"))
-    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITY), F.lit(0))
-    return (room * (100 + percent) >= sizes * percent) & (differ * (100 + percent) <= sizes * (100 - percent))
+def few_pairs(known: DataFrame) -> bool:
+    """Whether pairs of different components, listed for each signature, are few beside the postings."""
+    per = known.groupBy("sig", "c").agg(F.count(F.lit(1)).cast("double").alias("k")).groupBy("sig").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
+    total = per.agg(F.sum("k").alias("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs")).first()
+    return total["k"] is None or total["pairs"] <= FEW * total["k"]
 
 
-def with_unshared(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows`` with ``u``: how many shingles before this one in its class's order are not in
-    ``rows``.  A partner under this shingle would hold them in its own prefix, so no partner
-    does; postings that this leaves without room for any partner go."""
-    earlier = F.row_number().over(Window.partitionBy("key", "n").orderBy("at")) - 1
-    rows = rows.withColumn("u", (F.col("at") - earlier).cast("long"))
-    return rows.where((F.col("n") - F.col("u")) * 100 >= F.col("n") * percent)
+def star_pairs(known: DataFrame) -> DataFrame:
+    """a, b: each class with a class each of two components, by an order of the signature's own."""
+    end = F.struct(F.xxhash64("sig", "c").alias("x"), F.xxhash64("sig", "key").alias("y"), "c", "key")
+    there = Window.partitionBy("sig")
+    pairs = known.withColumn("lo", F.min(end).over(there)).withColumn("hi", F.max(end).over(there))
+    pairs = pairs.withColumn("e", F.explode(F.array("lo", "hi"))).where("c <> e.c")
+    return pairs.select(F.least("key", "e.key").alias("a"), F.greatest("key", "e.key").alias("b")).distinct()
 
 
-def mixed(known: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Postings under shingles held in two components (``c``): only those can link further.  The
-    parities come in here, by class, once most postings are gone."""
-    two = known.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("h")
-    rows = with_unshared(known.join(two, "h"), percent)
-    return stage(rows.join(classes.select("key", "n", *PARITY), ["key", "n"]), "jaccard-mixed")
+def all_pairs(known: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """a, b: all pairs under a signature whose components differ and that may be similar.  The
+    postings of a common signature are cut into blocks, and each two blocks meet on their own."""
+    blocks = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("sig")) / BLOCK)
+    rows = known.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).join(classes.select(*SIDE), "key")
+    left, right = (rows.select("sig", "i", "j", F.col("c").alias(f"{x}c"), F.col("own").alias(f"{x}_own"), *side(x)) for x in "ab")
+    here = (F.least("a_own", "b_own") == F.col("i")) & (F.greatest("a_own", "b_own") == F.col("j"))
+    pairs = left.join(right, ["sig", "i", "j"]).where((F.col("ac") < F.col("bc")) & here & may_be_similar(percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -278,49 +281,36 @@ def components(edges: DataFrame) -> DataFrame:
 
 def join_components(docs: DataFrame, size: int = 3, percent: int = 90, stars: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row.
-    Rounds against shingles' end classes, until one finds no link or ``stars`` are done, come before
+    Star rounds, until all pairs are few, no link is found or ``stars`` are done, come before
     the exact round, which gives the same components after any number of them."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    base = stage(sets_and_counters(docs, size), "jaccard-base")
-    counters = summed_counters(base)
-    rows = base.where(F.col("part").isNull()).drop("part", "counts")
-    classes = rows.where(F.col("key").isNotNull()).groupBy("key", "n").agg(
-        F.min("doc_id").alias("doc_id"), *[F.first(p).alias(p) for p in PARITY])
-
-    index = stage(postings(docs, counters, size, percent), "jaccard-postings")
-    often = index.groupBy("h").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("h")
-    index = stage(index.join(often, "h"), "jaccard-shared")
-
-    classes = stage(classes, "jaccard-classes")
-    links, tried, found, step, done = None, None, None, "star", 0
-    while step:
-        known = index.withColumn("low", F.lit(None).cast("long")) if found is None else index.join(found, "key", "left")
-        known = mixed(known.withColumn("c", F.coalesce("low", "key")).select("h", *SIDE[:4], "c"), classes, percent)
-        index = known.select("h", *SIDE[:4])  # what is one component's now stays so
-        left = known.select("h", *side("a"), F.col("c").alias("ac"))
-        if step == "star":  # a class each of two components, by an order of the shingle's own
-            end = F.struct(F.xxhash64("h", "c").alias("x"), F.xxhash64("h", "key").alias("y"), "c", *SIDE)
-            ends = known.groupBy("h").agg(F.min(end).alias("lo"), F.max(end).alias("hi"))
-            pairs = left.join(ends, "h").withColumn("e", F.explode(F.array("lo", "hi"))).where("ac <> e.c")
-            pairs = pairs.select("h", *(c for c in left.columns if c not in ("h", "ac")), *side("b", "e."))
-            pairs = pairs.where(may_be_similar(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        else:
-            right = known.select(F.col("h").alias("g"), *side("b"), F.col("c").alias("bc"))
-            pairs = left.join(right, (F.col("h") == F.col("g")) & (F.col("ac") < F.col("bc")) & may_be_similar(percent))
-            pairs = candidates(pairs, percent)
+    rows = stage(signed(docs, size, percent), "jaccard-base")
+    classes = stage(rows.where(F.col("key").isNotNull()).groupBy("key", "n").agg(
+        F.min("doc_id").alias("doc_id"), *[F.first(p).alias(p) for p in PARITY]), "jaccard-classes")
+    index = shared(rows)
+
+    labels = classes.select("key", F.col("key").alias("c"))
+    pairs = possible(index.where("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct(), classes, percent)
+    tried, done, last = None, 0, False
+    while True:
         pairs = stage(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "jaccard-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        more = stage(verified(pairs, docs, classes, size, percent), "jaccard-links")
-        none = more.isEmpty()
+        links = stage(verified(pairs, docs, classes, size, percent), "jaccard-links")
+        none = links.isEmpty()
         if not none:
-            links = more if links is None else links.unionByName(more)
-            found = stage(components(links), "jaccard-found")
+            edges = links if not done else links.join(labels.toDF("a", "ac"), "a").join(labels.toDF("b", "bc"), "b").select(F.col("ac").alias("a"), F.col("bc").alias("b"))
+            found = components(edges).toDF("c", "low")
+            labels = stage(labels.join(found, "c", "left").select("key", F.coalesce("low", "c").alias("c")), "jaccard-labels")
         done += 1
-        step = None if step == "all" else "all" if none or done == stars else "star"
+        if last:
+            break
+        index = mixed(index, labels)  # what is one component's now stays so
+        last = none or done == stars or few_pairs(index)
+        pairs = all_pairs(index, classes, percent) if last else possible(star_pairs(index), classes, percent)
 
-    label = classes.withColumn("low", F.col("key")) if found is None else classes.join(found, "key", "left").withColumn("low", F.coalesce("low", "key"))
-    smallest = label.groupBy("low").agg(F.min("doc_id").alias("component_id"))
-    label = label.join(smallest, "low").select("key", "component_id")
+    label = labels.join(classes.select("key", "doc_id"), "key")
+    smallest = label.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    label = label.join(smallest, "c").select("key", "component_id")
     return rows.join(label, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 

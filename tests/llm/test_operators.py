@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from cohort_spark.llm import bitpack, decontaminate, htmltext, jaccard, langid, linededup, packing, rabitq, tokens, toxicity, warc
+from cohort_spark.llm import bitpack, decontaminate, htmltext, jaccard, langid, linededup, packing, prefixes, rabitq, tokens, toxicity, warc
 from tests.parity import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -152,6 +152,63 @@ def test_jaccard_components(spark, docs):
         assert got == brute_components(rows, size, percent)
 
 
+def test_prefix_join_of_the_pipeline(spark, docs):
+    rng = np.random.default_rng(3)
+    base = [f"w{x}" for x in rng.integers(0, 500, 60)]
+    rows = [(r[0], r[1]) for r in ROWS]
+    for k in range(60):
+        words = list(base)
+        for at in rng.integers(0, 60, 1 + k // 15):
+            words[at] = f"x{rng.integers(0, 30)}"
+        rows.append((100 + k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, prefixes.join_components(df, 5, 80, stars=1).collect()), key=str)
+    assert got == brute_components(rows, 5, 80)
+
+
+def test_similar_sets_share_a_signature():
+    rng = np.random.default_rng(8)
+    for percent in (90, 80, 50, 95):
+        for n in [*range(1, 40), 60, 150, 151, 400, 1300]:
+            for _ in range(6):
+                a = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+                gone = int(rng.integers(0, jaccard.may_differ(n, percent) + 1))  # up to all that may differ, by loss or by exchange
+                new = int(rng.integers(0, gone + 1))
+                kept = a[:n - (gone - new)] if gone else a
+                b = np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, new, dtype=np.uint64)]))
+                a = np.unique(a)
+                both = len(np.intersect1d(a, b))
+                if 100 * both >= percent * (len(a) + len(b) - both) and both < max(len(a), len(b)):
+                    assert np.intersect1d(jaccard.signatures(a, percent), jaccard.signatures(b, percent)).size, (percent, len(a), len(b))
+
+
+def test_jaccard_common_phrases_and_wide_groups(spark, monkeypatch):
+    """What is carried on is near copies, not all that holds a common phrase; a group of copies edited
+    apart from each other takes few rounds, also cut into blocks."""
+    rng = np.random.default_rng(5)
+    phrases = [" ".join(f"w{x}" for x in rng.integers(0, 300, 6)) for _ in range(50)]
+    rows = [(k, " ".join(phrases[x] for x in rng.integers(0, 50, 20))) for k in range(300)]
+    base = [f"v{x}" for x in rng.integers(0, 5000, 120)]
+    for k in range(80):
+        words = list(base)
+        for at in rng.integers(0, 120, 1 + k % 5):
+            words[at] = f"x{rng.integers(0, 5000)}"
+        rows.append((1000 + k, " ".join(words)))
+    staged, write = [], jaccard.stage
+
+    def kept(df, name, *rest):
+        out = write(df, name, *rest)
+        staged.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", kept)
+    monkeypatch.setattr(jaccard, "BLOCK", 10, raising=False)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.join_components(df).collect()), key=str) == brute_components(rows, 3, 90)
+    assert max(n for name, n in staged if name == "jaccard-shared") < 6 * len(rows)
+    assert sum(name == "jaccard-links" for name, _ in staged) <= 2
+
+
 # ---- operator 3
 ITEM = "Alice has 12 apples and gives 5 of them to her friend Bob near the old river bridge. How many apples does Alice keep for 3 days?"
 
