@@ -68,3 +68,15 @@ def test_global_importance_ranks_both_models(spark, fitted, monkeypatch):
     assert linear == sorted(linear, reverse=True)
     tied = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("n", None), ("z", 2.0)], "feature string, v double")
     assert [r.feature for r in ML.ranked(tied, "v", "k").orderBy("k").collect()] == ["z", "a", "b", "n"]
+
+
+def test_workers_need_no_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    trees = [{0: (0.0, 4.0, 1, 2, (0, False, [0.5])), 1: (-1.0, 1.0, -1, -1, None), 2: (1.0, 3.0, -1, -1, None)}]
+    (tmp_path / "code").write_bytes(cloudpickle.dumps((TS.Explainer, trees)))
+    told = subprocess.run([sys.executable, "-c", "import numpy as np; from pyspark import cloudpickle; e, t = cloudpickle.load(open('code', 'rb')); print(e(t)(np.array([[0.0], [1.0]])).tolist())"],
+                          cwd=tmp_path, capture_output=True, text=True, env={}, timeout=120)
+    assert told.stdout.strip() == "[[-1.5], [0.5]]", told.stderr
